@@ -94,3 +94,13 @@ def broadcast_if_small(df: DataFrame, *text_columns: str, **limits: int) -> Data
     skewed partitions.
     """
     return F.broadcast(df) if fits_broadcast(df, *text_columns, **limits) else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan with fewer splits than cores spread over all of them.
+
+    A large table has plenty of splits and is returned as it is; a small one, as
+    a single file, would leave every core but one idle in row-wise work.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
