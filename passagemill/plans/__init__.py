@@ -1,6 +1,7 @@
 """Registered queries by area, each with the SQL that gives the same rows."""
 
-from . import basics
+from . import basics, chunking
 
-QUERIES = {**basics.QUERIES}
-ORACLES = {**basics.ORACLES}
+_AREAS = (basics, chunking)
+QUERIES = {name: query for area in _AREAS for name, query in area.QUERIES.items()}
+ORACLES = {name: sql for area in _AREAS for name, sql in area.ORACLES.items()}

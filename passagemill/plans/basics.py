@@ -274,7 +274,7 @@ QUERIES = {
 _TYPE = f"CASE WHEN {X.table_like_sql('text')} THEN 'table' ELSE 'narrative' END"
 
 
-def _page_items_sql() -> str:
+def page_items_sql() -> str:
     dropped = "html"
     for pattern in E.DROPPED_MARKUP:
         dropped = f"regexp_replace({dropped}, '{pattern}', '', 'g')"
@@ -330,7 +330,7 @@ items AS (
   FROM levels WHERE length(text) > 0)"""
 
 
-_ITEMS = _page_items_sql()
+_ITEMS = page_items_sql()
 
 ORACLES = {
     "file_metadata": r"""SELECT list_extract(string_split(url, '/'), -1) AS file_name, url AS file_path,
