@@ -30,10 +30,15 @@ def typed_part(kind: Column | str = "type") -> Column:
     )
 
 
-def in_rank_order(value: Column) -> Column:
-    """Aggregate: the values of a question's passages in rank order."""
-    pairs = F.array_sort(F.collect_list(F.struct(F.col("rank").alias("r"), value.alias("v"))))
-    return F.transform(pairs, lambda x: x["v"])
+def in_rank_order(*values: Column) -> Column:
+    """Aggregate: structs of the values of a question's passages in rank order.
+
+    The comparison looks at the rank alone, as maps have no order.
+    """
+    return F.array_sort(
+        F.collect_list(F.struct("rank", *values)),
+        lambda a, b: (a["rank"] - b["rank"]).cast("int"),
+    )
 
 
 def source_document() -> Column:
@@ -49,12 +54,18 @@ def context_rows(passages: DataFrame, *, typed: bool = False) -> DataFrame:
     """One row per question: context, sources, types and their counts."""
     p = passages.withColumn("type", effective_type("content_type", "detected_type"))
     part = typed_part() if typed else plain_part()
-    return p.groupBy("qid").agg(
-        F.array_join(in_rank_order(part), SEPARATOR).alias("context"),
-        in_rank_order(source_document()).alias("source_documents"),
-        in_rank_order(F.col("type")).alias("context_types"),
-        F.count("*").cast("int").alias("num_sources"),
+    rows = p.groupBy("qid").agg(
+        in_rank_order("type", part.alias("part"), source_document().alias("doc")).alias("r"),
         F.count_if(F.col("type") == "narrative").cast("int").alias("narrative"),
         F.count_if(F.col("type") == "table").cast("int").alias("table"),
-        F.min_by("text", "rank").alias("best_text"),
+    )
+    return rows.select(
+        "qid",
+        F.array_join("r.part", SEPARATOR).alias("context"),
+        F.col("r.doc").alias("source_documents"),
+        F.col("r.type").alias("context_types"),
+        F.size("r").alias("num_sources"),
+        "narrative",
+        "table",
+        F.element_at("r.doc", 1)["text"].alias("best_text"),
     )
