@@ -54,8 +54,10 @@ def count_runs(values: Column) -> Column:
             ),
         )
 
-    counted = _let(F.array_sort(values), lambda s: _let(run_ends(s), lambda ends: runs(s, ends)))
-    return F.when(F.size(values) > 0, counted)
+    def counted(s: Column) -> Column:
+        return F.when(F.size(s) > 0, _let(run_ends(s), lambda ends: runs(s, ends)))
+
+    return _let(F.sort_array(values), counted)
 
 
 def hashed_word_counts(text: Column | str, dim: int) -> Column:
@@ -77,6 +79,14 @@ def counts_norm(counts: Column | str) -> Column:
     return F.sqrt(squares.cast("double"))
 
 
+def weighted_counts(text: Column | str, dim: int) -> Column:
+    """``struct<counts, norm>``: bucket counts of a text with their Euclidean norm."""
+    return _let(
+        hashed_word_counts(text, dim),
+        lambda c: F.struct(c.alias("counts"), counts_norm(c).alias("norm")),
+    )
+
+
 def dense_from_counts(counts: Column | str, dim: int) -> Column:
     """Unit vector of the bucket counts; the zero vector for null counts."""
     c = _col(counts)

@@ -45,7 +45,7 @@ def nearest_cells(
         )
         return F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)
 
-    ranked = F.array_sort(
+    ranked = F.sort_array(
         F.array(*[F.struct(distance(c).alias("d"), F.lit(i).alias("c")) for i, c in enumerate(centres)])
     )
     return questions.withColumn(

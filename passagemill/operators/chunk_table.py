@@ -31,7 +31,7 @@ def item_numbers(items: Column | str, label: str) -> Column:
 def item_pages(items: Column | str) -> Column:
     """Distinct page numbers, ascending; items without a page are left out."""
     pages = F.transform(items, lambda x: x["page_no"].cast("bigint"))
-    return F.array_sort(F.array_distinct(F.filter(pages, lambda p: p.isNotNull())))
+    return F.sort_array(F.array_distinct(F.filter(pages, lambda p: p.isNotNull())))
 
 
 def chunk_table(chunks: DataFrame) -> DataFrame:

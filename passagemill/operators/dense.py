@@ -15,70 +15,36 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .topk import QUESTION_BLOCK, SCORE_DECIMALS, Best, hit_schema, numpy_values, rank_top
+
 #: Largest question matrix (rows, bytes) shipped to every task.
 SHIP_ROWS = 20_000
 SHIP_BYTES = 64 * 1024 * 1024
 #: Rows per side in one cell of the block form.
 CELL_QUESTIONS = 4_000
 CELL_VECTORS = 50_000
-SCORE_DECIMALS = 6
-#: Questions scored per matrix product, bounding the memory of a product.
-_PRODUCT_ROWS = 512
-
-
-class _Best:
-    """Best k (score descending, id ascending) per question seen so far."""
-
-    def __init__(self, qids: np.ndarray, questions: np.ndarray, k: int):
-        self.qids, self.questions, self.k = qids, questions, k
-        self.scores: list[np.ndarray] = [np.empty(0)] * len(qids)
-        self.ids: list[np.ndarray | None] = [None] * len(qids)
-
-    def add(self, ids: np.ndarray, vectors: np.ndarray, cells: np.ndarray | None = None,
-            probes: list[np.ndarray] | None = None) -> None:
-        if not len(ids):
-            return
-        for low in range(0, len(self.qids), _PRODUCT_ROWS):
-            block = self.questions[low:low + _PRODUCT_ROWS]
-            scores = np.round(block @ vectors.T, SCORE_DECIMALS) + 0.0
-            for i, row in enumerate(scores):
-                q = low + i
-                if probes is None:
-                    self._merge(q, ids, row)
-                else:
-                    near = np.isin(cells, probes[q])
-                    self._merge(q, ids[near], row[near])
-
-    def _merge(self, q: int, ids: np.ndarray, scores: np.ndarray) -> None:
-        held = self.scores[q]
-        if len(held) == self.k:  # only rows that can still enter
-            chosen = scores >= held[-1]
-            if not chosen.any():
-                return
-            ids, scores = ids[chosen], scores[chosen]
-        if len(scores) > 4 * self.k:  # everything below the k-th score is out
-            floor = np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
-            chosen = scores >= floor
-            ids, scores = ids[chosen], scores[chosen]
-        if self.ids[q] is not None:
-            ids = np.concatenate([self.ids[q], ids])
-            scores = np.concatenate([held, scores])
-        order = np.lexsort((ids, -scores))[: self.k]
-        self.ids[q], self.scores[q] = ids[order], scores[order]
-
-    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        filled = [q for q in range(len(self.qids)) if self.ids[q] is not None]
-        if not filled:
-            return self.qids[:0], self.qids[:0], np.empty(0)
-        counts = [len(self.ids[q]) for q in filled]
-        return (
-            np.repeat(self.qids[filled], counts),
-            np.concatenate([self.ids[q] for q in filled]),
-            np.concatenate([self.scores[q] for q in filled]),
-        )
+
+
+def _score(
+    best: Best,
+    questions: np.ndarray,
+    ids: np.ndarray,
+    vectors: np.ndarray,
+    cells: np.ndarray | None,
+    probes: list[np.ndarray] | None,
+) -> None:
+    """Offer one batch of vectors to all questions."""
+    for low in range(0, len(questions), QUESTION_BLOCK):
+        scores = questions[low:low + QUESTION_BLOCK] @ vectors.T
+        scores = np.round(scores, SCORE_DECIMALS) + 0.0
+        for i, row in enumerate(scores):
+            if probes is None:
+                best.offer(low + i, ids, row)
+            else:
+                near = np.isin(cells, probes[low + i])
+                best.offer(low + i, ids[near], row[near])
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -89,10 +55,6 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return flat.astype(np.float64).reshape(len(column), -1)
 
 
-def _values(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    return column.to_numpy(zero_copy_only=False) if isinstance(column, pa.Array) else column.to_numpy()
-
-
 def _checked(vector: str, dim: int):
     size = F.coalesce(F.size(vector), F.lit(-1))
     return F.when(size == dim, F.col(vector)).otherwise(
@@ -133,18 +95,13 @@ def dense_topk(
     q = questions.where(F.col(vector).isNotNull()).select(
         "qid", _checked(vector, dim).alias("v"), *([F.col(probes).alias("probes")] if probes else [])
     )
-    schema = (
-        f"qid {q.schema['qid'].dataType.simpleString()}, "
-        f"id {v.schema['id'].dataType.simpleString()}, score double"
-    )
     limit = min(SHIP_ROWS, SHIP_BYTES // (8 * dim))
     count = q.limit(limit + 1).count()
     if count <= limit:
-        partial = _scan(q.toArrow(), v, k, schema)
+        partial = _scan(q, v, k)
     else:
-        partial = _cells(q, v, k, schema, q.count())
-    order = W.partitionBy("qid").orderBy(F.desc("score"), "id")
-    return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        partial = _cells(q, v, k, q.count())
+    return rank_top(partial, k)
 
 
 def _probe_lists(table: pa.Table) -> list[np.ndarray] | None:
@@ -153,27 +110,29 @@ def _probe_lists(table: pa.Table) -> list[np.ndarray] | None:
     return [np.asarray(p) for p in table.column("probes").to_pylist()]
 
 
-def _scan(q: pa.Table, v: DataFrame, k: int, schema: str) -> DataFrame:
+def _scan(questions: DataFrame, v: DataFrame, k: int) -> DataFrame:
     """Map-side partial top-k; the question matrix travels with the task."""
-    qids = _values(q.column("qid"))
+    q = questions.toArrow()
+    qids = numpy_values(q.column("qid"))
     matrix = _matrix(q.column("v")) if len(qids) else np.zeros((0, 1))
     probes = _probe_lists(q)
+    qid_type = q.schema.field("qid").type
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        held = _Best(qids, matrix, k)
+        held, id_type = Best(qids, k), None
         for batch in batches:
+            id_type = batch.schema.field("id").type
             if len(qids) and batch.num_rows:
-                cells = _values(batch.column("cell")) if probes is not None else None
-                held.add(_values(batch.column("id")), _matrix(batch.column("v")), cells, probes)
-        out_q, out_id, out_s = held.rows()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out_q), pa.array(out_id), pa.array(out_s)], ["qid", "id", "score"]
-        )
+                cells = numpy_values(batch.column("cell")) if probes is not None else None
+                ids = numpy_values(batch.column("id"))
+                _score(held, matrix, ids, _matrix(batch.column("v")), cells, probes)
+        if id_type is not None:
+            yield held.batch(qid_type, id_type)
 
-    return v.mapInArrow(best, schema)
+    return v.mapInArrow(best, hit_schema(questions, v))
 
 
-def _cells(q: DataFrame, v: DataFrame, k: int, schema: str, n_questions: int) -> DataFrame:
+def _cells(q: DataFrame, v: DataFrame, k: int, n_questions: int) -> DataFrame:
     """Block form for question batches too large to ship.
 
     Question block x vector cell meet once each; both sides of a meeting are
@@ -189,21 +148,17 @@ def _cells(q: DataFrame, v: DataFrame, k: int, schema: str, n_questions: int) ->
     )
 
     def meet(a: pa.Table, b: pa.Table) -> pa.Table:
-        probes = _probe_lists(a)
+        held = Best(numpy_values(a.column("qid")), k)
         if a.num_rows and b.num_rows:
-            held = _Best(_values(a.column("qid")), _matrix(a.column("v")), k)
-            held.add(
-                _values(b.column("id")),
-                _matrix(b.column("v")),
-                _values(b.column("cell")) if probes is not None else None,
-                probes,
-            )
-            out = held.rows()
-        else:
-            out = ([], [], [])
-        types = [a.schema.field("qid").type, b.schema.field("id").type, pa.float64()]
-        return pa.table(
-            [pa.array(x, type=t) for x, t in zip(out, types)], names=["qid", "id", "score"]
-        )
-
-    return left.groupBy("qb", "vc").cogroup(right.groupBy("qb", "vc")).applyInArrow(meet, schema)
+            probes = _probe_lists(a)
+            cells_of = numpy_values(b.column("cell")) if probes is not None else None
+            ids = numpy_values(b.column("id"))
+            _score(held, _matrix(a.column("v")), ids, _matrix(b.column("v")), cells_of, probes)
+        types = a.schema.field("qid").type, b.schema.field("id").type
+        return pa.Table.from_batches([held.batch(*types)])
+
+    return (
+        left.groupBy("qb", "vc")
+        .cogroup(right.groupBy("qb", "vc"))
+        .applyInArrow(meet, hit_schema(q, v))
+    )

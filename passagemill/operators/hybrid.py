@@ -80,7 +80,7 @@ def merge_peers(chunks: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     islands = materialize(_islands(light, max_tokens), "peers")
     groups = _group_starts(islands, max_tokens)
     joined = rows.drop("_blk").join(groups, ["doc_id", "no"])
-    ordered = F.array_sort(F.collect_list(F.struct("no", "text", "items")))
+    ordered = F.sort_array(F.collect_list(F.struct("no", "text", "items")))
     return (
         joined.groupBy("doc_id", "grp")
         .agg(
@@ -154,7 +154,7 @@ def _group_starts(islands: DataFrame, max_tokens: int) -> DataFrame:
 def _fold_starts(rows: DataFrame) -> DataFrame:
     """Group starts of runs of bounded length, folded over one array per run."""
     runs = rows.groupBy("doc_id", "island").agg(
-        F.array_sort(F.collect_list(F.struct("no", "n"))).alias("a"), F.min("room").alias("room")
+        F.sort_array(F.collect_list(F.struct("no", "n"))).alias("a"), F.min("room").alias("room")
     )
     empty = F.struct(F.lit(-1).cast("bigint").alias("t"), F.array().cast("array<bigint>").alias("s"))
 

@@ -1,7 +1,8 @@
 """Search index of a passage table: vectors, forward index and term frequencies.
 
-Three catalog tables per index. The forward index is bucketed by ``id``, so the
-keyword search reads it without a shuffle.
+Three catalog tables per index, replaced one by one when the index is rebuilt or
+synced. Each search reads them as they lie: it scores rows in place and shuffles
+only the best k per question and task.
 """
 
 from __future__ import annotations
@@ -21,6 +22,11 @@ from .keyword import document_frequencies, index_columns
 Embedder = Callable[[Column], Column]
 
 
+#: Source columns copied beside the vectors, so that a search can filter on them
+#: in the scan instead of joining the source.
+KEPT = ("content_type",)
+
+
 @dataclass(frozen=True)
 class Provider:
     """Where an index takes its vectors from, and how large they are."""
@@ -57,7 +63,6 @@ class Index:
 
     name: str
     dim: int
-    buckets: int = 8
 
     def vectors(self, spark: SparkSession) -> DataFrame:
         return spark.read.table(f"{self.name}_vectors")
@@ -80,27 +85,36 @@ def _fingerprint(columns: list[str]) -> Column:
     return F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
 
 
+def _indexed_columns(rows: DataFrame, text: str, vector: str | None) -> list[str]:
+    """The columns an index depends on; a change in any of them changes the entry."""
+    kept = [c for c in KEPT if c in rows.columns]
+    return [text, *([vector] if vector else []), *kept]
+
+
 def _rows(
     rows: DataFrame, index: Index, text: str, vector: str | None, embed: Embedder | None
 ) -> DataFrame:
-    """``id, fp, embedding, ok, dl, terms``: what the index holds of each row.
+    """``id, fp, embedding, ok, dl, terms`` and the kept columns of each row.
 
     A vector of another dimension, or one without any weight, is not ``ok`` and
     stays out of dense search.
     """
     make = embed or (lambda t: hash_embedding(t, index.dim))
     value = F.col(vector) if vector else make(F.col(text))
-    inputs = [text] + ([vector] if vector else [])
+    inputs = _indexed_columns(rows, text, vector)
+    kept = [c for c in KEPT if c in rows.columns]
     ok = has_dimension("embedding", index.dim) & F.exists("embedding", lambda x: x != 0)
     words = tokens(F.col(text))
     return rows.select(
         "id",
         _fingerprint(inputs).alias("fp"),
         value.cast("array<float>").alias("embedding"),
+        *kept,
         words.alias("w"),
     ).select(
         "id",
         "fp",
+        *kept,
         "embedding",
         F.coalesce(ok, F.lit(False)).alias("ok"),
         *index_columns("w"),
@@ -143,7 +157,7 @@ def sync_index(
     are embedded and tokenised again; the result equals a rebuild.
     """
     spark = rows.sparkSession
-    inputs = [text] + ([vector] if vector else [])
+    inputs = _indexed_columns(rows, text, vector)
     source = rows.select("id", _fingerprint(inputs).alias("fp"))
     held = index.vectors(spark).select("id", F.col("fp").alias("old"))
     state = source.join(held, "id", "full_outer").where(~F.col("fp").eqNullSafe(F.col("old")))
@@ -174,15 +188,10 @@ def sync_index(
         .where(F.col("df") > 0)
     )
     terms = materialize(terms, "terms")
-    vectors = index.vectors(spark).join(touched, "id", "left_anti").select(*_VECTORS)
+    vectors = index.vectors(spark).join(touched, "id", "left_anti")
     postings = old_postings.join(touched, "id", "left_anti").select(*_POSTINGS)
-    swap_table(vectors.unionByName(fresh.select(*_VECTORS)), f"{index.name}_vectors")
-    swap_table(
-        postings.unionByName(fresh.select(*_POSTINGS)),
-        f"{index.name}_postings",
-        bucket_column="id",
-        buckets=index.buckets,
-    )
+    swap_table(vectors.unionByName(_vectors(fresh)), f"{index.name}_vectors")
+    swap_table(postings.unionByName(fresh.select(*_POSTINGS)), f"{index.name}_postings")
     swap_table(terms, f"{index.name}_terms")
     return counts.asDict()
 
@@ -205,18 +214,16 @@ def create_or_sync_index(
     return True
 
 
-_VECTORS = ("id", "fp", "embedding", "ok")
 _POSTINGS = ("id", "dl", "terms")
 
 
+def _vectors(entries: DataFrame) -> DataFrame:
+    return entries.drop("dl", "terms")
+
+
 def _write(entries: DataFrame, index: Index) -> None:
     spark = entries.sparkSession
     stored = materialize(entries, "entries")
-    swap_table(stored.select(*_VECTORS), f"{index.name}_vectors")
-    swap_table(
-        stored.select(*_POSTINGS),
-        f"{index.name}_postings",
-        bucket_column="id",
-        buckets=index.buckets,
-    )
+    swap_table(_vectors(stored), f"{index.name}_vectors")
+    swap_table(stored.select(*_POSTINGS), f"{index.name}_postings")
     swap_table(document_frequencies(index.postings(spark)), f"{index.name}_terms")

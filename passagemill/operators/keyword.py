@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 from ..functions.vectors import count_runs
-from ..session import fits_broadcast
+from ..session import broadcast_if_small, fits_broadcast, materialize
+from .topk import QUESTION_BLOCK, SCORE_DECIMALS, Best, hit_schema, numpy_values, rank_top
 
 K1 = 1.2
 B = 0.75
 #: Copies of a question term when question terms cannot be broadcast, so that
 #: the passages of a very frequent term are spread over many tasks.
 TERM_SALTS = 32
+#: Largest table of question weights (rows, bytes) shipped to every task.
+SHIP_WEIGHTS = 1_000_000
+SHIP_BYTES = 64 * 1024 * 1024
+#: Passage entries scored in one step inside a task.
+STEP_ENTRIES = 32_768
+PART_SCALE = 1e10
 
 
 def forward_index(passages: DataFrame, *, id_column: str = "id", text: str = "content") -> DataFrame:
@@ -44,57 +55,26 @@ def question_terms(questions: DataFrame) -> DataFrame:
     )
 
 
-def bm25_scores(
-    questions: DataFrame,
-    index: DataFrame,
-    frequencies: DataFrame | None = None,
-    *,
-    k1: float = K1,
-    b: float = B,
-    placed_by_id: bool = False,
-) -> DataFrame:
-    """``qid, id, score`` of every passage sharing a term with the question.
-
-    A passage is one row of the index, and the index is partitioned by ``id``
-    (a bucketed index already is), so all terms of a passage meet in one task
-    and the sum per question and passage needs no further shuffle.
-    ``placed_by_id`` says that the index is a read of a table bucketed by ``id``.
-    """
+def _size(index: DataFrame) -> tuple[int, float]:
+    """Passages and their mean length, from the length column alone."""
     n, total = index.agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0))).first()
-    mean = total / n if n and total else 1.0
+    return n, (total / n if n and total else 1.0)
+
+
+def question_weights(
+    questions: DataFrame, index: DataFrame, frequencies: DataFrame | None, n: int
+) -> DataFrame:
+    """``qid, term, idf`` of every question term that occurs in the index."""
     asked = question_terms(questions)
     if frequencies is None:
-        wanted = asked.select("term").distinct()
-        small = fits_broadcast(wanted, "term")
+        wanted = broadcast_if_small(asked.select("term").distinct(), "term")
         terms = index.select(F.explode("terms.value").alias("term"))
         frequencies = (
-            terms.join(F.broadcast(wanted) if small else wanted, "term", "left_semi")
-            .groupBy("term")
-            .agg(F.count("*").alias("df"))
+            terms.join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
         )
     idf = F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = asked.join(frequencies, "term").select("qid", "term", idf.alias("idf"))
-    placed = index if placed_by_id else index.repartition("id")
-    postings = placed.select("id", "dl", F.explode("terms").alias("p")).select(
-        "id", "dl", F.col("p.value").alias("term"), F.col("p.n").cast("double").alias("tf")
-    )
-    if fits_broadcast(asked, "term"):
-        matched = postings.join(F.broadcast(weights), "term")
-    else:
-        copies = F.explode(F.sequence(F.lit(0), F.lit(TERM_SALTS - 1)))
-        salt = F.pmod(F.xxhash64("id"), F.lit(TERM_SALTS)).cast("int")
-        salted = postings.withColumn("salt", salt)
-        matched = salted.join(weights.withColumn("salt", copies), ["term", "salt"])
-    part = (
-        F.col("idf")
-        * (F.col("tf") * (k1 + 1))
-        / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.lit(mean)))
-    )
-    # Exact decimals make the sum independent of the order of its terms.
-    return (
-        matched.select("qid", "id", part.cast("decimal(20,10)").alias("part"))
-        .groupBy("qid", "id")
-        .agg(F.round(F.sum("part").cast("double"), 6).alias("score"))
+    return broadcast_if_small(asked, "term").join(frequencies, "term").select(
+        "qid", "term", idf.alias("idf")
     )
 
 
@@ -106,12 +86,123 @@ def bm25_topk(
     *,
     k1: float = K1,
     b: float = B,
-    placed_by_id: bool = False,
 ) -> DataFrame:
-    """``qid, id, score, rank``: the k best passages per question by BM25."""
-    scored = bm25_scores(
-        questions, index, frequencies, k1=k1, b=b, placed_by_id=placed_by_id
+    """``qid, id, score, rank``: the k best passages per question by BM25.
+
+    A passage is one row of the index, so it is scored where it lies: a term
+    that occurs in every passage costs arithmetic but emits nothing, and k rows
+    per question and task reach the shuffle. Question weights are shipped to
+    the tasks within a measured bound; above it the scores are joined and
+    summed by Spark (``bm25_scores``).
+    """
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    n, mean = _size(index)
+    weights = materialize(question_weights(questions, index, frequencies, n), "weights")
+    if fits_broadcast(weights, "term", max_rows=SHIP_WEIGHTS, max_bytes=SHIP_BYTES):
+        scored = _scored_in_place(weights, index, k, mean, k1, b)
+    else:
+        scored = _joined_scores(weights, index, mean, k1, b)
+    return rank_top(scored, k)
+
+
+def bm25_scores(
+    questions: DataFrame,
+    index: DataFrame,
+    frequencies: DataFrame | None = None,
+    *,
+    k1: float = K1,
+    b: float = B,
+) -> DataFrame:
+    """``qid, id, score`` of every passage that shares a term with the question."""
+    n, mean = _size(index)
+    return _joined_scores(question_weights(questions, index, frequencies, n), index, mean, k1, b)
+
+
+def _joined_scores(
+    weights: DataFrame, index: DataFrame, mean: float, k1: float, b: float
+) -> DataFrame:
+    """Scores by a join on the term, salted so that a frequent term spreads out."""
+    postings = index.select("id", "dl", F.explode("terms").alias("p")).select(
+        "id",
+        "dl",
+        F.col("p.value").alias("term"),
+        F.col("p.n").cast("double").alias("tf"),
+        F.pmod(F.xxhash64("id"), F.lit(TERM_SALTS)).cast("int").alias("salt"),
+    )
+    copies = F.explode(F.sequence(F.lit(0), F.lit(TERM_SALTS - 1)))
+    matched = postings.join(weights.withColumn("salt", copies), ["term", "salt"])
+    length = k1 * (1 - b + b * F.col("dl") / F.lit(mean))
+    part = F.col("idf") * (F.col("tf") * (k1 + 1)) / (F.col("tf") + length)
+    # Exact decimals make the sum independent of the order of its terms.
+    return (
+        matched.select("qid", "id", part.cast("decimal(20,10)").alias("part"))
+        .groupBy("qid", "id")
+        .agg(F.round(F.sum("part").cast("double"), SCORE_DECIMALS).alias("score"))
     )
-    order = W.partitionBy("qid").orderBy(F.desc("score"), "id")
-    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
+
+def _scored_in_place(
+    weights: DataFrame, index: DataFrame, k: int, mean: float, k1: float, b: float
+) -> DataFrame:
+    shipped = weights.toArrow()
+    vocabulary = pc.unique(shipped.column("term"))
+    term_of = numpy_values(pc.index_in(shipped.column("term"), value_set=vocabulary))
+    qids, question_of = np.unique(numpy_values(shipped.column("qid")), return_inverse=True)
+    idf_of = numpy_values(shipped.column("idf"))
+    order = np.argsort(question_of, kind="stable")
+    term_of, question_of, idf_of = term_of[order], question_of[order], idf_of[order]
+    qid_type = shipped.schema.field("qid").type
+
+    def score(best: Best, ids: np.ndarray, rows: np.ndarray, terms: np.ndarray,
+              top: np.ndarray, bottom: np.ndarray) -> None:
+        """Offer passages: ``rows`` ascending, one entry per passage and known term."""
+        heads = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+        present = ids[rows[heads]]
+        for low in range(0, len(qids), QUESTION_BLOCK):
+            high = min(low + QUESTION_BLOCK, len(qids))
+            a, z = np.searchsorted(question_of, [low, high])
+            used, place = np.unique(term_of[a:z], return_inverse=True)
+            table = np.zeros((len(vocabulary) + 1, high - low))
+            table[used[place], question_of[a:z] - low] = idf_of[a:z]
+            parts = table[terms]
+            parts *= top[:, None]
+            parts /= bottom[:, None]
+            # Whole multiples of 1e-10: their sum does not depend on its order.
+            np.rint(parts * PART_SCALE, out=parts)
+            sums = np.add.reduceat(parts, heads, axis=0)
+            scores = np.round(sums / PART_SCALE, SCORE_DECIMALS)
+            for q in range(high - low):
+                hit = sums[:, q] > 0
+                best.offer(low + q, present[hit], scores[hit, q])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        best, id_type = Best(qids, k), None
+        for batch in batches:
+            id_type = batch.schema.field("id").type
+            lists = batch.column("terms")
+            entries = lists.flatten()
+            found = pc.index_in(entries.field("value"), value_set=vocabulary)
+            known = numpy_values(found.is_valid())
+            if not known.any():
+                continue
+            sizes = numpy_values(pc.fill_null(pc.list_value_length(lists), 0))
+            rows = np.repeat(np.arange(batch.num_rows), sizes)[known]
+            terms = numpy_values(found.drop_null())
+            tf = numpy_values(entries.field("n")).astype(np.float64)[known]
+            dl = numpy_values(batch.column("dl")).astype(np.float64)
+            top, bottom = tf * (k1 + 1), tf + k1 * (1 - b + b * dl[rows] / mean)
+            ids = numpy_values(batch.column("id"))
+            # Steps of bounded size that end between two passages.
+            start = 0
+            while start < len(rows):
+                stop = min(start + STEP_ENTRIES, len(rows))
+                if stop < len(rows):
+                    stop = int(np.searchsorted(rows, rows[stop - 1], side="right"))
+                cut = slice(start, stop)
+                score(best, ids, rows[cut], terms[cut], top[cut], bottom[cut])
+                start = stop
+        if id_type is not None:
+            yield best.batch(qid_type, id_type)
+
+    return index.select("id", "dl", "terms").mapInArrow(scan, hit_schema(weights, index))

@@ -22,7 +22,7 @@ def markdown_tables(
     line = markdown_row([F.col(c) for c in columns.values()])
     body = F.array_join(
         F.transform(
-            F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("l")))),
+            F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("l")))),
             lambda x: x["l"],
         ),
         "\n",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import detected_type, numeric_ratio, tokens, type_weight
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, materialize
 
 PASSAGE_COLUMNS = (
     "qid",
@@ -37,8 +37,8 @@ def attach_passages(hits: DataFrame, source: DataFrame, *columns: str) -> DataFr
     Ranking runs on ids alone; only here do k rows per question meet the text.
     """
     wanted = source.select("id", *columns)
-    # The hits are k rows per question: broadcast after a check of their size.
-    return wanted.join(broadcast_if_small(hits), "id")
+    # k rows per question: ranked once, written, then broadcast behind a size check.
+    return wanted.join(broadcast_if_small(materialize(hits, "hits")), "id")
 
 
 def _meta(name: str, computed: Column, kind: str) -> Column:

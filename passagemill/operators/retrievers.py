@@ -83,8 +83,7 @@ def dense_retriever(
     def retrieve(questions: DataFrame) -> DataFrame:
         vectors = index.vectors(questions.sparkSession)
         if content_type is not None:
-            typed = source.where(F.col("content_type") == content_type).select("id")
-            vectors = vectors.join(typed, "id", "left_semi")
+            vectors = vectors.where(F.col("content_type") == content_type)
         hits = dense_topk(_embedded(questions, index.dim, embed), vectors, k, dim=index.dim)
         return _passages(hits, source, text)
 
@@ -106,7 +105,7 @@ def hybrid_hits(
     spark = questions.sparkSession
     depth = largest_k(questions, k)
     keyword = bm25_topk(
-        questions, index.postings(spark), depth, index.terms(spark), placed_by_id=True
+        questions, index.postings(spark), depth, index.terms(spark)
     )
     dense = dense_topk(
         _embedded(questions, index.dim, embed), index.vectors(spark), depth, dim=index.dim

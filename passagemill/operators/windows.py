@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import detected_type
@@ -16,32 +16,19 @@ CHUNK_OVERLAP = 100
 _LONG_TEXT = 100_000
 
 
-def char_windows(
-    docs: DataFrame,
-    chunk_size: int = CHUNK_SIZE,
-    chunk_overlap: int = CHUNK_OVERLAP,
-    *,
-    text: str = "text",
-) -> DataFrame:
-    """Windows ``[start, start + chunk_size)`` of every text, ``chunk_no`` from 0.
-
-    Consecutive windows share ``chunk_overlap`` characters and the last one ends
-    with the text; an empty or missing text gives none. All other columns are
-    copied to each window. Runs inside the row: no shuffle.
-    """
+def _windows(text: str, chunk_size: int, chunk_overlap: int) -> Column:
+    """Array of the windows of a non-empty text."""
     if chunk_size < 1 or chunk_overlap < 0:
         raise ValueError("chunk_size must be positive and chunk_overlap not negative")
     if chunk_overlap >= chunk_size:
         raise ValueError("chunk_overlap must be smaller than chunk_size")
     step = chunk_size - chunk_overlap
     t, n = F.col(text), F.length(text)
-    starts = F.sequence(
-        F.lit(0), F.greatest(n - chunk_overlap - 1, F.lit(0)), F.lit(step)
-    )
+    starts = F.sequence(F.lit(0), F.greatest(n - chunk_overlap - 1, F.lit(0)), F.lit(step))
     span = math.ceil(chunk_size / step)
     pieces = F.regexp_extract_all(t, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
 
-    def from_pieces(cut):
+    def from_pieces(cut: Column) -> Column:
         return F.transform(
             starts,
             lambda s: F.substring(
@@ -51,23 +38,47 @@ def char_windows(
             ),
         )
 
-    windows = F.when(
+    return F.when(
         n <= _LONG_TEXT, F.transform(starts, lambda s: F.substring(t, s + 1, F.lit(chunk_size)))
     ).otherwise(F.element_at(F.transform(F.array(pieces), from_pieces), 1))
+
+
+def char_windows(
+    docs: DataFrame,
+    chunk_size: int = CHUNK_SIZE,
+    chunk_overlap: int = CHUNK_OVERLAP,
+    *,
+    text: str = "text",
+) -> DataFrame:
+    """Windows ``[start, start + chunk_size)`` of every text, ``chunk_no`` from 0.
+
+    Consecutive windows share ``chunk_overlap`` characters and the last one ends
+    with the text; an empty or missing text gives none. All other columns are
+    copied to each window. Runs inside the row: no shuffle.
+    """
+    windows = _windows(text, chunk_size, chunk_overlap)
     kept = [c for c in docs.columns if c != text]
     return (
-        docs.where(n > 0)
+        docs.where(F.length(text) > 0)
         .select(*kept, F.posexplode(windows).alias("chunk_no", text))
-        .withColumn("start", F.col("chunk_no") * step)
+        .withColumn("start", F.col("chunk_no") * (chunk_size - chunk_overlap))
     )
 
 
 def routed_chunks(
     docs: DataFrame, chunk_size: int = CHUNK_SIZE, chunk_overlap: int = CHUNK_OVERLAP
 ) -> DataFrame:
-    """Table-like texts as one whole chunk, all others cut into windows."""
-    typed = docs.withColumn("content_type", detected_type("text"))
-    tables = typed.where((F.col("content_type") == "table") & (F.length("text") > 0))
-    narratives = typed.where(F.col("content_type") == "narrative")
-    whole = tables.withColumns({"chunk_no": F.lit(0), "start": F.lit(0)})
-    return char_windows(narratives, chunk_size, chunk_overlap).unionByName(whole)
+    """Table-like texts as one whole chunk, all others cut into windows.
+
+    One pass: the type is found once per text and decides how it is cut.
+    """
+    cut = F.when(F.col("content_type") == "table", F.array("text")).otherwise(
+        _windows("text", chunk_size, chunk_overlap)
+    )
+    kept = [c for c in docs.columns if c != "text"]
+    return (
+        docs.where(F.length("text") > 0)
+        .withColumn("content_type", detected_type("text"))
+        .select(*kept, "content_type", F.posexplode(cut).alias("chunk_no", "text"))
+        .withColumn("start", F.col("chunk_no") * (chunk_size - chunk_overlap))
+    )

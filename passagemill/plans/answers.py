@@ -11,6 +11,7 @@ from ..operators.keyword import bm25_topk, forward_index
 from ..operators.qa import RetrievalQA, TwoRouteQA, answer_batch, prompt_rows
 from ..operators.rerank import attach_passages, plain_passages, tag_route
 from ..operators.retrievers import hybrid_retriever, reranking_retriever, two_route_retriever
+from ..session import materialize
 from . import fixtures as X
 from . import search as S
 
@@ -19,9 +20,9 @@ TEMPLATE = "Context:\n{context}\n\nQ: {question}\nA:"
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Windows, tokens, keyword search and one context string per question."""
-    rows = X.passages(spark, sf)
+    rows = materialize(X.passages(spark, sf), "passages")
     asked = X.questions(spark, sf)
-    hits = bm25_topk(asked, forward_index(rows), S.TOP)
+    hits = bm25_topk(asked, materialize(forward_index(rows), "forward"), S.TOP)
     found = attach_passages(hits.drop("score"), rows, "content").withColumnRenamed("content", "text")
     contexts = context_rows(plain_passages(found))
     return asked.join(contexts, "qid", "left").select(

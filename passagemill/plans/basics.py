@@ -19,7 +19,7 @@ from ..functions.text import (
     trim_trailing_slash,
     type_weight,
 )
-from ..functions.vectors import hashed_word_counts, counts_norm, has_dimension
+from ..functions.vectors import has_dimension, weighted_counts
 from ..operators.index import provider, split_by_dimension
 from ..sources import elements as E
 from ..sources.files import file_metadata, scan_files
@@ -111,12 +111,14 @@ def merged_metadata(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def hash_embedding_weights(spark: SparkSession, sf: str) -> DataFrame:
-    docs = X.table(spark, sf, "documents").select("doc_id", hashed_word_counts("text", X.DIM).alias("c"))
-    sized = docs.where(F.col("c").isNotNull()).withColumn("norm", counts_norm("c"))
-    return sized.select("doc_id", "norm", F.explode("c").alias("p")).select(
+    """Non-zero weights of every document's vector."""
+    counted = X.table(spark, sf, "documents").select(
+        "doc_id", F.inline(F.array(weighted_counts("text", X.DIM)))
+    )
+    return counted.select("doc_id", "norm", F.explode("counts").alias("p")).select(
         "doc_id",
         F.col("p.value").alias("bucket"),
-        F.round((F.col("p.n") / F.col("norm")), 6).alias("weight"),
+        F.round(F.col("p.n") / F.col("norm"), 6).alias("weight"),
     )
 
 

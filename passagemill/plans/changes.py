@@ -47,7 +47,7 @@ def feed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _docs_index(spark: SparkSession) -> Index:
-    return Index(f"docs_{uuid4().hex}", X.DIM, spark.sparkContext.defaultParallelism)
+    return Index(f"docs_{uuid4().hex}", X.DIM)
 
 
 def _rows(frame: DataFrame) -> DataFrame:
@@ -88,7 +88,7 @@ def stored_vector_index(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("label "), F.col("label").cast("string")).alias("content"),
         "embedding",
     )
-    index = Index(f"vectors_{uuid4().hex}", 64, spark.sparkContext.defaultParallelism)
+    index = Index(f"vectors_{uuid4().hex}", 64)
     build_index(vectors, index, vector="embedding")
     return _index_rows(spark, index)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,7 +54,7 @@ def passage_index(spark: SparkSession, sf: str) -> tuple[Index, DataFrame]:
     key = (spark.sparkContext.applicationId, sf, "passages")
     if key not in _built:
         rows = materialize(passages(spark, sf), "passages")
-        index = Index(f"passages_{abs(hash(key)) % 10**10}", DIM, spark.sparkContext.defaultParallelism)
+        index = Index(f"passages_{uuid4().hex}", DIM)
         build_index(rows, index)
         _built[key] = (index, rows)
     return _built[key]

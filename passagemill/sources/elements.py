@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_table_like
-from ..session import broadcast_if_small
 
 HEADING_MAX_CHARS = 40
 LINES_PER_PAGE = 20
@@ -181,7 +180,7 @@ def collapse_groups(elements: DataFrame) -> DataFrame:
             F.min("pos").alias("pos"),
             F.array_join(
                 F.transform(
-                    F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]
+                    F.sort_array(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]
                 ),
                 "\n",
             ).alias("text"),
@@ -197,4 +196,4 @@ def collapse_groups(elements: DataFrame) -> DataFrame:
 def exclude_refs(elements: DataFrame, excluded_refs: DataFrame) -> DataFrame:
     """Elements whose ``(doc_id, self_ref)`` is not in ``excluded_refs``."""
     refs = excluded_refs.select("doc_id", "self_ref")
-    return elements.join(broadcast_if_small(refs, "self_ref"), ["doc_id", "self_ref"], "left_anti")
+    return elements.join(refs, ["doc_id", "self_ref"], "left_anti")

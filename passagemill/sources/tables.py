@@ -71,9 +71,7 @@ def append_table(df: DataFrame, name: str) -> None:
         df.write.option("path", path).saveAsTable(name)
 
 
-def swap_table(
-    df: DataFrame, name: str, *, bucket_column: str | None = None, buckets: int = 0
-) -> None:
+def swap_table(df: DataFrame, name: str) -> None:
     """Make ``df`` the table's content.
 
     Rows go to a fresh folder and the table is then pointed there, so ``df`` may
@@ -81,13 +79,7 @@ def swap_table(
     """
     spark = df.sparkSession
     fresh = f"{name}__{uuid.uuid4().hex}"
-    if bucket_column:
-        # Placed as the buckets are, so each bucket is one file.
-        df = df.repartition(buckets, bucket_column)
-    writer = df.write.option("path", work_path(spark, name.replace(".", "-")))
-    if bucket_column:
-        writer = writer.bucketBy(buckets, bucket_column)
-    writer.saveAsTable(fresh)
+    df.write.option("path", work_path(spark, name.replace(".", "-"))).saveAsTable(fresh)
     if spark.catalog.tableExists(name):
         location = (
             spark.sql(f"DESCRIBE FORMATTED {fresh}")
