@@ -1,8 +1,9 @@
-"""Search index of a passage table: vectors, forward index and term frequencies.
+"""Search index of a passage table: one entry per passage, and term frequencies.
 
-Three catalog tables per index, replaced one by one when the index is rebuilt or
-synced. Each search reads them as they lie: it scores rows in place and shuffles
-only the best k per question and task.
+An entry holds the vector, the token count and the distinct terms of a passage;
+a search reads only the columns it needs, scores entries where they lie and
+shuffles the best k per question and task. Both tables are swapped in whole when
+the index is rebuilt or synced.
 """
 
 from __future__ import annotations
@@ -64,19 +65,21 @@ class Index:
     name: str
     dim: int
 
+    def entries(self, spark: SparkSession) -> DataFrame:
+        return spark.read.table(f"{self.name}_entries")
+
     def vectors(self, spark: SparkSession) -> DataFrame:
-        return spark.read.table(f"{self.name}_vectors")
+        return self.entries(spark).drop("dl", "terms")
 
     def postings(self, spark: SparkSession) -> DataFrame:
-        return spark.read.table(f"{self.name}_postings")
+        return self.entries(spark).select("id", "dl", "terms")
 
     def terms(self, spark: SparkSession) -> DataFrame:
         return spark.read.table(f"{self.name}_terms")
 
     def exists(self, spark: SparkSession) -> bool:
         return all(
-            spark.catalog.tableExists(f"{self.name}_{part}")
-            for part in ("vectors", "postings", "terms")
+            spark.catalog.tableExists(f"{self.name}_{part}") for part in ("entries", "terms")
         )
 
 
@@ -91,7 +94,7 @@ def _indexed_columns(rows: DataFrame, text: str, vector: str | None) -> list[str
     return [text, *([vector] if vector else []), *kept]
 
 
-def _rows(
+def _entries(
     rows: DataFrame, index: Index, text: str, vector: str | None, embed: Embedder | None
 ) -> DataFrame:
     """``id, fp, embedding, ok, dl, terms`` and the kept columns of each row.
@@ -139,7 +142,8 @@ def build_index(
     spark = rows.sparkSession
     if not force_rebuild:
         return index.exists(spark)
-    _write(_rows(rows, index, text, vector, embed), index)
+    swap_table(_entries(rows, index, text, vector, embed), f"{index.name}_entries")
+    swap_table(document_frequencies(index.postings(spark)), f"{index.name}_terms")
     return True
 
 
@@ -174,11 +178,10 @@ def sync_index(
         return counts.asDict()
     changed = broadcast_if_small(changes.where(~F.col("gone")).select("id"))
     fresh = materialize(
-        _rows(rows.join(changed, "id", "left_semi"), index, text, vector, embed), "entries"
+        _entries(rows.join(changed, "id", "left_semi"), index, text, vector, embed), "entries"
     )
     touched = broadcast_if_small(changes.select("id"))
-    old_postings = index.postings(spark)
-    removed = document_frequencies(old_postings.join(touched, "id", "left_semi"))
+    removed = document_frequencies(index.postings(spark).join(touched, "id", "left_semi"))
     terms = (
         index.terms(spark)
         .unionByName(removed.select("term", (-F.col("df")).alias("df")))
@@ -187,12 +190,10 @@ def sync_index(
         .agg(F.sum("df").alias("df"))
         .where(F.col("df") > 0)
     )
-    terms = materialize(terms, "terms")
-    vectors = index.vectors(spark).join(touched, "id", "left_anti")
-    postings = old_postings.join(touched, "id", "left_anti").select(*_POSTINGS)
-    swap_table(vectors.unionByName(_vectors(fresh)), f"{index.name}_vectors")
-    swap_table(postings.unionByName(fresh.select(*_POSTINGS)), f"{index.name}_postings")
+    # Terms first: their removals are counted from the entries still in place.
     swap_table(terms, f"{index.name}_terms")
+    kept = index.entries(spark).join(touched, "id", "left_anti")
+    swap_table(kept.unionByName(fresh), f"{index.name}_entries")
     return counts.asDict()
 
 
@@ -213,17 +214,3 @@ def create_or_sync_index(
         build_index(rows, index, **options)
     return True
 
-
-_POSTINGS = ("id", "dl", "terms")
-
-
-def _vectors(entries: DataFrame) -> DataFrame:
-    return entries.drop("dl", "terms")
-
-
-def _write(entries: DataFrame, index: Index) -> None:
-    spark = entries.sparkSession
-    stored = materialize(entries, "entries")
-    swap_table(_vectors(stored), f"{index.name}_vectors")
-    swap_table(stored.select(*_POSTINGS), f"{index.name}_postings")
-    swap_table(document_frequencies(index.postings(spark)), f"{index.name}_terms")

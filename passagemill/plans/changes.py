@@ -56,11 +56,10 @@ def _rows(frame: DataFrame) -> DataFrame:
 
 def _index_rows(spark: SparkSession, index: Index) -> DataFrame:
     """Index entries as scalars: length, distinct terms, vector weight and usability."""
-    entries = index.postings(spark).join(index.vectors(spark), "id")
     norm = F.aggregate(
         "embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")
     )
-    return entries.select(
+    return index.entries(spark).select(
         "id",
         "dl",
         F.coalesce(F.size("terms"), F.lit(0)).alias("n_terms"),
