@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .topk import QUESTION_BLOCK, SCORE_DECIMALS, Best, hit_schema, numpy_values, rank_top
+from .topk import QUESTION_BLOCK, Best, hit_schema, numpy_values, rank_top, round_scores
 
 #: Largest question matrix (rows, bytes) shipped to every task.
 SHIP_ROWS = 20_000
@@ -37,8 +37,7 @@ def _score(
 ) -> None:
     """Offer one batch of vectors to all questions."""
     for low in range(0, len(questions), QUESTION_BLOCK):
-        scores = questions[low:low + QUESTION_BLOCK] @ vectors.T
-        scores = np.round(scores, SCORE_DECIMALS) + 0.0
+        scores = round_scores(questions[low:low + QUESTION_BLOCK] @ vectors.T)
         for i, row in enumerate(scores):
             if probes is None:
                 best.offer(low + i, ids, row)

@@ -27,7 +27,7 @@ def reciprocal_rank_fusion(
     order = W.partitionBy("qid").orderBy(F.desc("score"), "id")
     return (
         both.groupBy("qid", "id")
-        .agg(F.round(F.sum(share).cast("double"), 6).alias("score"))
+        .agg(F.round(F.sum(share), 6).cast("double").alias("score"))
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
     )

@@ -25,7 +25,9 @@ SHIP_WEIGHTS = 1_000_000
 SHIP_BYTES = 64 * 1024 * 1024
 #: Passage entries scored in one step inside a task.
 STEP_ENTRIES = 32_768
+#: Parts are whole multiples of 1 / PART_SCALE; a score is rounded to SCORE_UNIT of them.
 PART_SCALE = 1e10
+SCORE_UNIT = PART_SCALE / 10**SCORE_DECIMALS
 
 
 def forward_index(passages: DataFrame, *, id_column: str = "id", text: str = "content") -> DataFrame:
@@ -138,7 +140,7 @@ def _joined_scores(
     return (
         matched.select("qid", "id", part.cast("decimal(20,10)").alias("part"))
         .groupBy("qid", "id")
-        .agg(F.round(F.sum("part").cast("double"), SCORE_DECIMALS).alias("score"))
+        .agg(F.round(F.sum("part"), SCORE_DECIMALS).cast("double").alias("score"))
     )
 
 
@@ -171,7 +173,7 @@ def _scored_in_place(
             # Whole multiples of 1e-10: their sum does not depend on its order.
             np.rint(parts * PART_SCALE, out=parts)
             sums = np.add.reduceat(parts, heads, axis=0)
-            scores = np.round(sums / PART_SCALE, SCORE_DECIMALS)
+            scores = np.floor((sums + SCORE_UNIT / 2) / SCORE_UNIT) / 10**SCORE_DECIMALS
             for q in range(high - low):
                 hit = sums[:, q] > 0
                 best.offer(low + q, present[hit], scores[hit, q])

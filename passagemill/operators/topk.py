@@ -54,6 +54,12 @@ class Best:
         return pa.RecordBatch.from_arrays(columns, ["qid", "id", "score"])
 
 
+def round_scores(values: np.ndarray) -> np.ndarray:
+    """Values at ``SCORE_DECIMALS``, halves away from zero as SQL rounds them."""
+    scale = 10.0**SCORE_DECIMALS
+    return np.copysign(np.floor(np.abs(values) * scale + 0.5) / scale, values) + 0.0
+
+
 def rank_top(scored: DataFrame, k: int) -> DataFrame:
     """``qid, id, score, rank``: the k best per question; ties go to the smaller id."""
     order = W.partitionBy("qid").orderBy(F.desc("score"), "id")

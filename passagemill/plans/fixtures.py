@@ -162,7 +162,7 @@ tf AS (SELECT id, t, count(*) AS tf FROM (SELECT id, unnest(w) AS t FROM words)
 df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
 qt AS (SELECT DISTINCT qid, unnest({tokens_sql('question')}) AS t FROM questions),
 bm25 AS (
-  SELECT qid, id, round(sum(part)::DOUBLE, 6) AS score FROM (
+  SELECT qid, id, round(sum(part), 6)::DOUBLE AS score FROM (
     SELECT qid, tf.id, (ln(1 + (n - df + 0.5) / (df + 0.5)) * (tf.tf::DOUBLE * 2.2)
         / (tf.tf::DOUBLE + 1.2 * (1 - 0.75 + 0.75 * dl / mean)))::DECIMAL(20,10) AS part
     FROM qt JOIN tf USING (t) JOIN df USING (t) JOIN lens ON lens.id = tf.id, size)
@@ -202,7 +202,7 @@ def hybrid_sql(k: int, depth: int | None = None) -> str:
 {ranked_sql('kw', 'bm25', depth)},
 {ranked_sql('dn', 'dense', depth)},
 fused AS (
-  SELECT qid, id, round(sum(part)::DOUBLE, 6) AS score FROM (
+  SELECT qid, id, round(sum(part), 6)::DOUBLE AS score FROM (
     SELECT qid, id, (1.0::DOUBLE / (60 + rank))::DECIMAL(20,12) AS part FROM kw
     UNION ALL SELECT qid, id, (1.0::DOUBLE / (60 + rank))::DECIMAL(20,12) FROM dn)
   GROUP BY qid, id),

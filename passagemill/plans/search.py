@@ -284,7 +284,7 @@ questions AS (SELECT item_id AS qid, text AS question FROM benchmark),
 SELECT qid, id, score, rank FROM top""",
     "rrf_fusion": f"WITH {X.hybrid_sql(K_HYBRID)} SELECT qid, id, score, rank FROM fused_top",
     "rrf_two_lists": f"""WITH {_V}, {_nearest_sql('a', K_DENSE, 'narrative')}, {_nearest_sql('b', K_DENSE)},
-fused AS (SELECT qid, id, round(sum(part)::DOUBLE, 6) AS score FROM (
+fused AS (SELECT qid, id, round(sum(part), 6)::DOUBLE AS score FROM (
     SELECT qid, id, (1.0::DOUBLE / (60 + rank))::DECIMAL(20,12) AS part FROM a
     UNION ALL SELECT qid, id, (1.0::DOUBLE / (60 + rank))::DECIMAL(20,12) FROM b) GROUP BY qid, id),
 {X.ranked_sql('top', 'fused', K_RERANK)} SELECT qid, id, score, rank FROM top""",

@@ -30,6 +30,10 @@ def build_session(app_name: str = "passagemill", cores: int | str = "*") -> Spar
     )
 
 
+_local_dirs: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, read from ``spark.checkpoint.dir``.
 
@@ -39,11 +43,12 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="passagemill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="passagemill-")
+    return _local_dirs[context.applicationId]
 
 
 def work_path(spark: SparkSession, name: str) -> str:
@@ -56,13 +61,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     Used where a plan would otherwise be evaluated several times. The files
     outlive lost executors, so nothing upstream is recomputed after a failure.
+    ``discard_intermediates`` removes them.
     """
     spark = df.sparkSession
     path = work_path(spark, name)
     df.write.parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard_intermediates(spark: SparkSession) -> int:
+    """Delete what ``materialize`` wrote in this application; returns the number of folders.
+
+    Call it when no result of this library is still to be read.
+    """
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    return len(paths)
+
+
 def fits_broadcast(
     df: DataFrame,
     *text_columns: str,
