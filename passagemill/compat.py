@@ -1,0 +1,51 @@
+"""Familiar names for the retrieval pipeline's parts.
+
+They take and return DataFrames: a table of questions where a single question
+was passed, a table of documents where a list was.
+"""
+
+from pyspark.sql import DataFrame
+
+from .operators.index import build_index as manage_index
+from .operators.index import build_index as manage_index_text
+from .operators.index import create_or_sync_index as create_index_safely
+from .operators.qa import RetrievalQA as EnhancedRetrievalQA
+from .operators.qa import TwoRouteQA as EnhancedHybridRetrievalQA
+from .operators.qa import answer_batch as generate_answers
+from .operators.rerank import rerank_passages
+from .operators.retrievers import dense_retriever as get_retriever
+from .operators.retrievers import hybrid_retriever as get_enhanced_retriever
+from .operators.retrievers import narrative_retriever as get_narrative_retriever
+from .operators.retrievers import reranking_retriever as get_enhanced_retriever_with_reranking
+from .operators.retrievers import table_retriever as get_table_retriever
+from .operators.retrievers import (
+    two_route_retriever as get_enhanced_hybrid_retriever_with_reranking,
+)
+from .operators.windows import char_windows as prepare_narrative_chunks
+from .sources.tables import is_table_empty, table_exists
+
+
+def prepare_table_chunks(table_docs: DataFrame) -> DataFrame:
+    """Table documents pass through unchanged."""
+    return table_docs
+
+
+__all__ = [
+    "EnhancedHybridRetrievalQA",
+    "EnhancedRetrievalQA",
+    "create_index_safely",
+    "generate_answers",
+    "get_enhanced_hybrid_retriever_with_reranking",
+    "get_enhanced_retriever",
+    "get_enhanced_retriever_with_reranking",
+    "get_narrative_retriever",
+    "get_retriever",
+    "get_table_retriever",
+    "is_table_empty",
+    "manage_index",
+    "manage_index_text",
+    "prepare_narrative_chunks",
+    "prepare_table_chunks",
+    "rerank_passages",
+    "table_exists",
+]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -13,6 +15,8 @@ from .dense import dense_topk
 
 #: Rows the cell centres are fitted on; assignment then covers every row.
 FIT_ROWS = 200_000
+#: Questions compared with all centres in one step.
+_DISTANCE_ROWS = 1024
 
 
 def fit_cells(
@@ -36,21 +40,19 @@ def nearest_cells(
     questions: DataFrame, model: KMeansModel, n_probes: int, *, vector: str = "embedding"
 ) -> DataFrame:
     """Add ``probes``: the cells whose centres are nearest to each question."""
-    centres = [[float(x) for x in c] for c in model.clusterCenters()]
-    q = F.col(vector)
-
-    def distance(centre: list[float]):
-        parts = F.zip_with(
-            q, F.lit(centre), lambda a, b: (a.cast("double") - b) * (a.cast("double") - b)
-        )
-        return F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)
-
-    ranked = F.sort_array(
-        F.array(*[F.struct(distance(c).alias("d"), F.lit(i).alias("c")) for i, c in enumerate(centres)])
-    )
-    return questions.withColumn(
-        "probes", F.transform(F.slice(ranked, 1, n_probes), lambda x: x["c"])
-    )
+    centres = np.asarray(model.clusterCenters())
+    squares = (centres**2).sum(axis=1)
+
+    @F.pandas_udf("array<int>")
+    def probes(vectors: pd.Series) -> pd.Series:
+        found = []
+        for start in range(0, len(vectors), _DISTANCE_ROWS):
+            part = np.stack(vectors.iloc[start:start + _DISTANCE_ROWS]).astype(np.float64)
+            distance = squares - 2 * (part @ centres.T)
+            found += list(np.argsort(distance, axis=1, kind="stable")[:, :n_probes])
+        return pd.Series(found, dtype=object)
+
+    return questions.withColumn("probes", probes(F.col(vector)))
 
 
 def ann_topk(

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.vectors import hash_embedding, vector_norm
 from ..operators.chunk_table import chunk_table, item_pages
 from ..operators.headings import heading_scopes, hierarchical_chunks
 from ..operators.hybrid import hybrid_chunks, merge_peers, split_long_chunks, with_items
+from ..operators.ingest import store_chunks
 from ..operators.markdown import markdown_tables
 from ..operators.windows import char_windows, routed_chunks
 from ..sources.elements import collapse_groups, line_elements, page_elements, turn_elements
@@ -95,14 +99,35 @@ def chunk_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents chunked, embedded twice in one pass, saved and read back."""
+    table = f"chunks_{uuid4().hex}"
+    sizes = {"embedding": 64, "other_embedding": 128}
+    embedders = {n: (lambda t, d=d: hash_embedding(t, d)) for n, d in sizes.items()}
+    rows = store_chunks(_lines(spark, sf), table, embedders)
+    again = store_chunks(_lines(spark, sf), table, embedders)
+    return rows.join(again.select("id"), "id").select(
+        "id",
+        "doc_id",
+        "num_tokens",
+        F.size("embedding").alias("dim"),
+        F.size("other_embedding").alias("other_dim"),
+        F.round(vector_norm("embedding"), 4).alias("norm"),
+        F.round(vector_norm("other_embedding"), 4).alias("other_norm"),
+    )
+
+
 def page_sets(spark: SparkSession, sf: str) -> DataFrame:
-    """Distinct pages per document, from rows and from the items of merged chunks."""
+    """Distinct pages per document, from element rows and from the items of chunks."""
     rows = _lines(spark, sf).where(F.col("level").isNull())
-    from_rows = rows.groupBy("doc_id").agg(F.array_sort(F.collect_set("page_no")).alias("pages"))
-    items = rows.groupBy("doc_id").agg(
-        F.collect_list(F.struct("self_ref", "label", "page_no")).alias("items")
+    from_rows = rows.groupBy("doc_id").agg(F.sort_array(F.collect_set("page_no")).alias("pages"))
+    items = with_items(rows.withColumn("headings", F.lit(None).cast("array<string>")))
+    from_items = (
+        items.select("doc_id", F.explode(item_pages("items")).alias("page"))
+        .groupBy("doc_id")
+        .agg(F.sort_array(F.collect_set("page")).alias("of_items"))
     )
-    both = from_rows.join(items.select("doc_id", item_pages("items").alias("of_items")), "doc_id")
+    both = from_rows.join(from_items, "doc_id")
     return both.select("doc_id", _joined("pages"), _joined("of_items"))
 
 
@@ -126,6 +151,7 @@ QUERIES = {
     "split_long_chunks": split,
     "hybrid_chunks": capped,
     "chunk_table": chunk_rows,
+    "stored_chunk_table": stored,
     "page_sets": page_sets,
     "markdown_tables": markdown,
 }
@@ -208,6 +234,15 @@ SELECT row_number() OVER (ORDER BY doc_id, pos) - 1 AS id, len({X.tokens_sql('co
   coalesce(array_to_string(headings, ', '), '') AS chunk_header, content, doc_id,
   row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS chunk_no
 FROM shown""",
+    "stored_chunk_table": f"""WITH {_MERGED},
+shown AS (
+  SELECT *, CASE WHEN headings IS NULL THEN text ELSE array_to_string(headings, chr(10)) || chr(10) || text END
+    AS content FROM merged),
+counted AS (SELECT row_number() OVER (ORDER BY doc_id, pos) - 1 AS id, doc_id,
+  len({X.tokens_sql('content')})::BIGINT AS num_tokens FROM shown)
+SELECT id, doc_id, num_tokens, 64 AS dim, 128 AS other_dim,
+  CASE WHEN num_tokens > 0 THEN 1.0::DOUBLE ELSE 0 END AS norm,
+  CASE WHEN num_tokens > 0 THEN 1.0::DOUBLE ELSE 0 END AS other_norm FROM counted""",
     "page_sets": f"""WITH {X.LINES_SQL}
 SELECT doc_id, array_to_string(list_sort(list(DISTINCT page_no)), '|') AS pages,
   array_to_string(list_sort(list(DISTINCT page_no)), '|') AS of_items

@@ -13,6 +13,7 @@ from ..operators.windows import char_windows
 from ..session import materialize, spread
 
 DIM = 256
+ID_STRIDE = 10_000_000
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -33,11 +34,12 @@ def questions(spark: SparkSession, sf: str) -> DataFrame:
 def passages(spark: SparkSession, sf: str) -> DataFrame:
     """Windows of all documents with their header and detected type.
 
-    The id is made of document and window number, so no numbering pass is needed.
+    The id is made of document and window number, so no numbering pass is needed;
+    a text has far fewer than ``ID_STRIDE`` windows, as it is shorter than 2 GB.
     """
     windows = char_windows(table(spark, sf, "documents"), text="text")
     return windows.select(
-        (F.col("doc_id") * 100_000 + F.col("chunk_no")).alias("id"),
+        (F.col("doc_id") * ID_STRIDE + F.col("chunk_no")).alias("id"),
         "doc_id",
         "chunk_no",
         F.concat_ws(", ", "lang", "source").alias("chunk_header"),
@@ -147,7 +149,7 @@ hier AS (
 
 PASSAGES_SQL = f"""{WINDOWS_SQL},
 passages AS (
-  SELECT doc_id * 100000 + chunk_no AS id, text AS content, lang || ', ' || source AS chunk_header,
+  SELECT doc_id * {ID_STRIDE} + chunk_no AS id, text AS content, lang || ', ' || source AS chunk_header,
     CASE WHEN {table_like_sql('text')} THEN 'table' ELSE 'narrative' END AS content_type
   FROM windows),
 questions AS (
