@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import join_headings, token_count
 from ..session import materialize
-from .scan import number_rows, running_max
+from .scan import block_of, running_max
 
 MAX_TOKENS = 1_000_000
 #: Largest run of neighbours folded as one array; longer runs are linked by joins.
@@ -75,14 +75,10 @@ def merge_peers(chunks: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
         chunks = chunks.withColumn("piece", F.lit(0))
     # Several passes follow, most of them over a few narrow columns.
     chunks = materialize(chunks.withColumn("n", token_count("text")), "chunks")
-    rows = number_rows(chunks, "doc_id", "pos", index="no", tie="piece", keep_block=True)
-    light = rows.select("doc_id", "_blk", "no", "headings", "n")
-    islands = materialize(_islands(light, max_tokens), "peers")
-    groups = _group_starts(islands, max_tokens)
-    joined = rows.drop("_blk").join(groups, ["doc_id", "no"])
+    grouped = _grouped(_islands(chunks, max_tokens))
     ordered = F.sort_array(F.collect_list(F.struct("no", "text", "items")))
     return (
-        joined.groupBy("doc_id", "grp")
+        grouped.groupBy("doc_id", "grp")
         .agg(
             F.min("pos").alias("pos"),
             F.min_by("headings", "no").alias("headings"),
@@ -104,43 +100,60 @@ def hybrid_chunks(chunks: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     return merge_peers(split_long_chunks(chunks, max_tokens), max_tokens)
 
 
-def _islands(light: DataFrame, max_tokens: int) -> DataFrame:
-    """``doc_id, _blk, no, n, room, island``: runs of equal headings, by their first number."""
-    inside = W.partitionBy("doc_id", "_blk").orderBy("no")
+def _islands(chunks: DataFrame, max_tokens: int) -> DataFrame:
+    """Chunks with ``no`` (their place in the document), ``room`` and ``island``.
+
+    An island is a run of equal headings, named by its first number. Place and
+    predecessor are found inside blocks; one summary row per block carries the
+    count and the last headings over to the next block.
+    """
+    blocked = chunks.withColumns({"_blk": block_of("pos"), "_h": F.struct("headings")})
+    place = F.struct("pos", "piece")
+    inside = W.partitionBy("doc_id", "_blk").orderBy("pos", "piece")
     across = W.partitionBy("doc_id").orderBy("_blk")
-    boxed = light.withColumn("h", F.struct("headings"))
-    previous = (
-        boxed.groupBy("doc_id", "_blk")
-        .agg(F.max_by("h", "no").alias("tail"))
-        .select("doc_id", "_blk", F.lag("tail").over(across).alias("tail"))
-    )
-    marked = (
-        boxed.withColumn("before", F.lag("h").over(inside))
-        .join(previous, ["doc_id", "_blk"])
-        .withColumn("before", F.coalesce("before", "tail"))
-        .withColumn("first", ~F.col("h").eqNullSafe(F.col("before")))
+    summary = (
+        blocked.groupBy("doc_id", "_blk")
+        .agg(F.count("*").alias("rows"), F.max_by("_h", place).alias("tail"))
         .select(
             "doc_id",
             "_blk",
-            "no",
-            "n",
-            (F.lit(max_tokens) - token_count(join_headings("headings", "\n"))).alias("room"),
-            F.when(F.col("first"), F.col("no")).alias("start"),
+            F.coalesce(
+                F.sum("rows").over(across.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
+            ).alias("base"),
+            F.lag("tail").over(across).alias("tail"),
+        )
+    )
+    room = F.lit(max_tokens) - token_count(join_headings("headings", "\n"))
+    before = F.coalesce("_before", "tail")
+    marked = (
+        blocked.withColumns(
+            {"_i": F.row_number().over(inside) - 1, "_before": F.lag("_h").over(inside)}
         )
+        .join(summary, ["doc_id", "_blk"])
+        .withColumns({"no": F.col("base") + F.col("_i"), "room": room})
+        .withColumn("_start", F.when(~F.col("_h").eqNullSafe(before), F.col("no")))
+        .drop("_i", "_before", "_h", "base", "tail")
     )
-    return running_max(marked, "doc_id", "no", F.col("start"), "island").drop("start")
+    return running_max(marked, "doc_id", "no", F.col("_start"), "island").drop("_start")
 
 
-def _group_starts(islands: DataFrame, max_tokens: int) -> DataFrame:
-    """``doc_id, no, grp``: the number of the first chunk of every chunk's group."""
+def _grouped(islands: DataFrame) -> DataFrame:
+    """Add ``grp``: the number of the first chunk of every chunk's group."""
     sizes = islands.groupBy("doc_id", "island").agg(
         F.sum("n").alias("total"), F.count("*").alias("rows"), F.min("room").alias("room")
     )
     over = sizes.where(F.col("total") > F.col("room"))
     widest = over.agg(F.max("rows")).first()[0]
     if widest is None:  # every run fits: its start is the group
-        return islands.select("doc_id", "no", F.col("island").alias("grp"))
-    rows = islands.join(over.select("doc_id", "island", "rows"), ["doc_id", "island"])
+        return islands.withColumn("grp", F.col("island"))
+    narrow = materialize(islands.select("doc_id", "_blk", "no", "n", "room", "island"), "peers")
+    groups = _group_starts(narrow, over.select("doc_id", "island", "rows"), widest)
+    return islands.join(groups, ["doc_id", "no"])
+
+
+def _group_starts(islands: DataFrame, over: DataFrame, widest: int) -> DataFrame:
+    """``doc_id, no, grp`` where some runs exceed the limit."""
+    rows = islands.join(over, ["doc_id", "island"])
     starts = _fold_starts(rows.where(F.col("rows") <= FOLD_ROWS))
     if widest > FOLD_ROWS:
         starts = starts.unionByName(_linked_starts(rows.where(F.col("rows") > FOLD_ROWS)))
