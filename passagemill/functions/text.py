@@ -22,6 +22,8 @@ OTHER_DIGITS = (
 )
 #: What counts as numeric in a passage: digits and the signs $ % ,
 NON_NUMERIC_PATTERN = r"[^\p{Nd}" + OTHER_DIGITS + r"$%,]+"
+#: The same for text of ASCII characters alone, which is far cheaper to match.
+NON_NUMERIC_ASCII = r"[^0-9$%,]+"
 
 #: Substrings that mark a passage as a table.
 TABLE_MARKS = ("|", "\t", "  ")
@@ -48,7 +50,10 @@ def token_count(text: Column | str) -> Column:
 def numeric_ratio(text: Column | str) -> Column:
     """Share of characters that are digits or one of ``$ % ,``; 0 for empty text."""
     t = _col(text)
-    kept = F.length(F.regexp_replace(t, NON_NUMERIC_PATTERN, ""))
+    ascii_only = F.octet_length(t) == F.length(t)
+    kept = F.when(
+        ascii_only, F.length(F.regexp_replace(t, NON_NUMERIC_ASCII, ""))
+    ).otherwise(F.length(F.regexp_replace(t, NON_NUMERIC_PATTERN, "")))
     return F.when(F.length(t) > 0, kept.cast("double") / F.length(t)).otherwise(F.lit(0.0))
 
 
@@ -56,7 +61,7 @@ def is_table_like(text: Column | str, ratio: Column | None = None) -> Column:
     t = _col(text)
     ratio = numeric_ratio(t) if ratio is None else ratio
     marks = reduce(lambda a, b: a | b, [F.contains(t, F.lit(m)) for m in TABLE_MARKS])
-    return F.coalesce((ratio > TABLE_RATIO) | marks, F.lit(False))
+    return F.coalesce(marks | (ratio > TABLE_RATIO), F.lit(False))
 
 
 def detected_type(text: Column | str, ratio: Column | None = None) -> Column:
