@@ -139,16 +139,15 @@ def _islands(chunks: DataFrame, max_tokens: int) -> DataFrame:
 
 def _grouped(islands: DataFrame) -> DataFrame:
     """Add ``grp``: the number of the first chunk of every chunk's group."""
-    sizes = islands.groupBy("doc_id", "island").agg(
+    narrow = materialize(islands.select("doc_id", "_blk", "no", "n", "room", "island"), "peers")
+    sizes = narrow.groupBy("doc_id", "island").agg(
         F.sum("n").alias("total"), F.count("*").alias("rows"), F.min("room").alias("room")
     )
-    over = sizes.where(F.col("total") > F.col("room"))
+    over = sizes.where(F.col("total") > F.col("room")).select("doc_id", "island", "rows")
     widest = over.agg(F.max("rows")).first()[0]
     if widest is None:  # every run fits: its start is the group
         return islands.withColumn("grp", F.col("island"))
-    narrow = materialize(islands.select("doc_id", "_blk", "no", "n", "room", "island"), "peers")
-    groups = _group_starts(narrow, over.select("doc_id", "island", "rows"), widest)
-    return islands.join(groups, ["doc_id", "no"])
+    return islands.join(_group_starts(narrow, over, widest), ["doc_id", "no"])
 
 
 def _group_starts(islands: DataFrame, over: DataFrame, widest: int) -> DataFrame:
@@ -157,7 +156,8 @@ def _group_starts(islands: DataFrame, over: DataFrame, widest: int) -> DataFrame
     starts = _fold_starts(rows.where(F.col("rows") <= FOLD_ROWS))
     if widest > FOLD_ROWS:
         starts = starts.unionByName(_linked_starts(rows.where(F.col("rows") > FOLD_ROWS)))
-    marked = islands.join(starts.withColumn("s", F.col("no")), ["doc_id", "no"], "left")
+    starts = materialize(starts.withColumn("s", F.col("no")), "starts")
+    marked = islands.join(starts, ["doc_id", "no"], "left")
     first = F.when(F.col("no") == F.col("island"), F.col("no"))
     return running_max(marked, "doc_id", "no", F.coalesce(F.col("s"), first), "grp").select(
         "doc_id", "no", "grp"
