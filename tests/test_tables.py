@@ -1,5 +1,6 @@
 """Files, catalog tables, upserts, change feed, index sync and streamed refresh."""
 
+import os
 from uuid import uuid4
 
 import pytest
@@ -14,7 +15,7 @@ from passagemill.operators.index import (
     sync_index,
 )
 from passagemill.operators.mutation import change_feed, upsert, upsert_rows
-from passagemill.session import fits_broadcast
+from passagemill.session import discard_intermediates, fits_broadcast, materialize
 from passagemill.sources.elements import collapse_groups, exclude_refs, page_elements
 from passagemill.sources.files import file_metadata, scan_files
 from passagemill.sources.isolation import check_isolated, quarantined, succeeded
@@ -219,3 +220,11 @@ def test_broadcast_limits(spark):
     assert fits_broadcast(frame, "t")
     assert not fits_broadcast(frame, "t", max_rows=99)
     assert not fits_broadcast(frame, "t", max_bytes=10_000)
+
+
+def test_intermediates_can_be_discarded(spark):
+    discard_intermediates(spark)
+    kept = materialize(spark.range(3).toDF("k"), "kept")
+    path = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(path) and kept.count() == 3
+    assert discard_intermediates(spark) == 1 and not os.path.exists(path)
