@@ -24,6 +24,19 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: Bytes of words in lower-cased text: digits, a-z and everything beyond ASCII.
+LETTER = np.zeros(256, bool)
+LETTER[48:58] = LETTER[97:123] = LETTER[128:] = True
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """Lower case of ASCII and Latin-1 letters; no byte moves."""
+    data = LOWER[data]
+    if len(data) > 1:
+        tail = data[1:]
+        high = (data[:-1] == 0xC3) & (tail >= 0x80) & (tail <= 0x9E) & (tail != 0x97)
+        tail[high] += 0x20
+    return data
 
 
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_search, hnsw, mixing
+from . import byte_bpe, chat, exact_search, hnsw, mixing, quality, toxicity
 
 QUERIES = {}
 ORACLES = {}
@@ -89,3 +89,32 @@ ORACLES["op1_chat_format"] = _TURN_SQL
 @_query
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels")
+    model = toxicity.train(documents, labels.filter(~toxicity.held_out("doc_id")))
+    return toxicity.score(documents, model).select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), F.col("toxicity").alias("score"),
+        F.when(F.col("toxicity") >= 0.5, 1).otherwise(0).alias("predicted"), "offending",
+    )
+
+
+@_query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    model = quality.train(documents, _table(spark, sf_dir, "labels").filter(~toxicity.held_out("doc_id")))
+    return quality.score(documents, model).select(
+        "doc_id", "quality_score", F.when(F.col("quality_score") >= 0.5, 1).otherwise(0).alias("keep"), "text_view", "page_view"
+    )
+
+
+@_query
+def op6_byte_bpe(spark: SparkSession, sf_dir: str, ranks: str | None = None, pattern: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    ranks, pattern = ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return byte_bpe.digests(byte_bpe.encode(documents, ranks, pattern, decoded=True))
