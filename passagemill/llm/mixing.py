@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from passagemill.session import broadcast_if_small, materialize
@@ -60,8 +61,6 @@ def source_targets(sized: DataFrame, share: float = 1.0, weights: tuple[int, ...
 
 
 def _by_code_point():
-    from pyspark.sql import Window as W
-
     # one row per source: the only rows that this order sees
     return W.orderBy(F.col("source").isNull(), F.encode("source", "UTF-8"))
 
@@ -72,7 +71,7 @@ def mix(documents: DataFrame, *, share: float = 1.0, weights: tuple[int, ...] =
     Input: doc_id, text, source (more columns are ignored). Result: doc_id,
     source, size (words of the text, null 0), source_size, target, copies (whole
     number up to ``most`` rounded up where ``most`` is whole), taken (copies *
-    size), one row per input row. The choice depends on the rows and the seed
+    size) and no (number among equal rows), one row per input row. The choice depends on the rows and the seed
     alone. Equal (doc_id, source, size) rows share what falls on them: each takes
     the floor of its share and the first of them one more. Empty documents are
     taken at no cost; a source without words has target 0; null ids and sources
@@ -131,8 +130,28 @@ def mix(documents: DataFrame, *, share: float = 1.0, weights: tuple[int, ...] =
     copies = (share_of + F.when(F.col("_no") <= left, 1).otherwise(0)).cast("int")
     return each.withColumn("copies", copies).select(
         "doc_id", "source", "size", F.col("source_size").cast("bigint").alias("source_size"),
-        "target", "copies", (F.col("copies") * F.col("size")).cast("bigint").alias("taken"),
+        "target", "copies", (F.col("copies") * F.col("size")).cast("bigint").alias("taken"), F.col("_no").alias("no"),
+    )
+
+
+def mixed_documents(documents: DataFrame, **settings) -> DataFrame:
+    """The rows of the mix: every document as often as ``mix`` takes it, with all its columns.
+
+    Documents that are not taken are left out. Of rows that agree in doc_id,
+    source and size, the ones with the smallest text come first.
+    """
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
+    same = W.partitionBy("doc_id", "source", "_size").orderBy("text")
+    rows = documents.withColumn("_size", size).withColumn("_no", F.row_number().over(same))
+    taken = mix(documents, **settings).filter("copies > 0").select(
+        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_w"), F.col("no").alias("_n"), F.col("copies").alias("_c")
+    )
+    match = (
+        rows["doc_id"].eqNullSafe(taken["_d"]) & rows["source"].eqNullSafe(taken["_s"])
+        & (rows["_size"] == taken["_w"]) & (rows["_no"] == taken["_n"])
     )
+    repeated = rows.join(taken, match).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_c"))))
+    return repeated.select(*documents.columns)
 
 
 def _fold(rows: DataFrame, seed: int, last: bool) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from .arrays import LETTER, lowered, runs, span_hashes, text_slices
 
 #: Bound of the labelled documents that the model is fitted on.
-MAX_LABELLED = 12_000
+MAX_LABELLED = 8_000
 #: Documents of the fit a word must occur in to get a weight.
 LEAST_DOCUMENTS = 3
 STEPS = 150
@@ -66,8 +66,8 @@ def fit(words: np.ndarray, sentence: np.ndarray, doc: np.ndarray, labels: np.nda
     sentence; labels: of each document.
     """
     vocabulary, index = np.unique(words, return_inverse=True)
-    pairs = np.unique(np.stack([index, doc[sentence]]), axis=1)
-    known = np.bincount(pairs[0], minlength=len(vocabulary)) >= LEAST_DOCUMENTS
+    pairs = np.unique(index * (len(labels) + 1) + doc[sentence])  # word and document
+    known = np.bincount(pairs // (len(labels) + 1), minlength=len(vocabulary)) >= LEAST_DOCUMENTS
     keep = known[index]
     index, sentence = (np.cumsum(known) - 1)[index[keep]], sentence[keep]
     vocabulary = vocabulary[known]
