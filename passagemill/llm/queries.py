@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, exact_search, hnsw, jaccard_join, masked_lm, mixing, quality, toxicity
+from passagemill.session import work_path
+
+from . import byte_bpe, chat, exact_search, hnsw, jaccard_join, masked_lm, mixing, quality, token_files, toxicity
 
 QUERIES = {}
 ORACLES = {}
@@ -149,3 +151,13 @@ FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 def op9_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return masked_lm.score(documents, masked_lm.train(documents)).drop("text")
+
+
+@_query
+def op2_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    path = work_path(spark, "token-ids")
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    token_files.write_ids(documents, path, tokenizer or public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_ids(spark, path, digest=True)
