@@ -38,8 +38,8 @@ REMEMBERED = 600_000
 SLICE_CHARS = 1 << 20
 
 _MAGIC = b"TIDS1\0"
-_HEAD = struct.Struct("<QQQ")
-_BLOCK = struct.Struct("<IIII")
+_HEAD = "<QQQ"  # documents, blocks, bytes of the index
+_BLOCK = "<IIII"  # ids, bytes of the table, bytes of the code, checksum
 _CELLS = 4096  # contexts of a block and order
 _LEVELS = 8  # of confidence
 _CLASSES = 16  # bit lengths of a number
@@ -109,7 +109,7 @@ def _bit_length(number: np.ndarray) -> np.ndarray:
 
 def _write_blocks(numbers: np.ndarray, lengths: np.ndarray) -> list[bytes]:
     """Code the numbers of every block (rows, longest block first)."""
-    blocks, most = numbers.shape
+    blocks, most = len(numbers), int(lengths[0])
     models = _Models(blocks)
     low = np.zeros(blocks, np.uint64)
     span = np.full(blocks, np.uint64(0xFFFFFFFFFFFFFFFF))
@@ -237,9 +237,9 @@ def pack(doc_ids: list, counts: np.ndarray, ids: np.ndarray) -> bytes:
     coded = _write_blocks(numbers, lengths) if blocks else []
     names = np.array([-(1 << 63) if d is None else d for d in doc_ids], np.int64)
     index = zlib.compress(names.tobytes() + counts.astype(np.int64).tobytes(), 6)
-    parts = [_MAGIC, _HEAD.pack(len(doc_ids), len(blocks), len(index)), index]
+    parts = [_MAGIC, struct.pack(_HEAD, len(doc_ids), len(blocks), len(index)), index]
     for block, table, code in zip(blocks, tables, coded, strict=True):
-        parts += [_BLOCK.pack(len(block), len(table), len(code), zlib.crc32(code, zlib.crc32(block.tobytes()))), table, code]
+        parts += [struct.pack(_BLOCK, len(block), len(table), len(code), zlib.crc32(code, zlib.crc32(block.tobytes()))), table, code]
     return b"".join(parts)
 
 
@@ -248,15 +248,15 @@ def unpack(payload: bytes) -> tuple[list, np.ndarray, np.ndarray]:
     if payload[:len(_MAGIC)] != _MAGIC:
         raise ValueError("not a segment of token ids")
     at = len(_MAGIC)
-    documents, n, size = _HEAD.unpack_from(payload, at)
-    at += _HEAD.size
+    documents, n, size = struct.unpack_from(_HEAD, payload, at)
+    at += struct.calcsize(_HEAD)
     index = np.frombuffer(zlib.decompress(payload[at:at + size]), np.int64)
     at += size
     names, counts = index[:documents], index[documents:]
     tables, coded, lengths, sums = [], [], [], []
     for _ in range(n):
-        length, table, code, crc = _BLOCK.unpack_from(payload, at)
-        at += _BLOCK.size
+        length, table, code, crc = struct.unpack_from(_BLOCK, payload, at)
+        at += struct.calcsize(_BLOCK)
         raw = zlib.decompress(payload[at:at + table])
         kinds = len(raw) // 6
         values = np.cumsum(np.frombuffer(raw, np.uint32, kinds), dtype=np.uint32)
