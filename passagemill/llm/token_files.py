@@ -31,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Ids in a block, ids after which a segment ends at the next document.
-BLOCK_IDS = 8192
+BLOCK_IDS = 2048
 SEGMENT_IDS = 1 << 22
 #: Encoded words that a task remembers, characters of text encoded at a time.
 REMEMBERED = 600_000
@@ -40,7 +40,7 @@ SLICE_CHARS = 1 << 20
 _MAGIC = b"TIDS1\0"
 _HEAD = "<QQQ"  # documents, blocks, bytes of the index
 _BLOCK = "<IIII"  # ids, bytes of the table, bytes of the code, checksum
-_CELLS = 4096  # contexts of a block and order
+_CELLS = 2048  # contexts of a block and order
 _LEVELS = 8  # of confidence
 _CLASSES = 16  # bit lengths of a number
 _ONE = np.uint64(1)
