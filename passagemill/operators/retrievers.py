@@ -101,7 +101,11 @@ def table_retriever(index: Index, source: DataFrame, k: int = 3, **options) -> R
 def hybrid_hits(
     questions: DataFrame, index: Index, k: int, *, embed: Embedder | None = None
 ) -> DataFrame:
-    """``qid, id, score, rank``: keyword and dense ranking fused, cut at each question's k."""
+    """``qid, id, score, rank``: keyword and dense ranking fused, cut at each question's k.
+
+    Both lists are cut at the question's own k before they are fused, so the other
+    questions of a batch change nothing.
+    """
     spark = questions.sparkSession
     depth = largest_k(questions, k)
     keyword = bm25_topk(
@@ -110,8 +114,8 @@ def hybrid_hits(
     dense = dense_topk(
         _embedded(questions, index.dim, embed), index.vectors(spark), depth, dim=index.dim
     )
-    fused = reciprocal_rank_fusion(keyword, dense, depth)
-    return apply_k_override(fused, questions, k)
+    own = [apply_k_override(ranked, questions, k) for ranked in (keyword, dense)]
+    return apply_k_override(reciprocal_rank_fusion(*own, depth), questions, k)
 
 
 def hybrid_retriever(

@@ -176,7 +176,7 @@ _PART = "'(Relevance: ' || {score} || '): ' || {text}"
 _JOINED = "string_agg(part, chr(10) || chr(10) ORDER BY rank)"
 _RATIO = "CASE WHEN label > 4 THEN 0.25 END"
 
-_HYBRID = f"""{X.hybrid_sql(S.K_HYBRID)},
+_HYBRID = f"""{X.hybrid_sql(S.K_HYBRID, own=True)},
 parts AS (SELECT h.qid, h.rank, content, {_PART.format(score="'0.000'", text='content')} AS part
   FROM hits h JOIN passages USING (id)),
 contexts AS (SELECT qid, {_JOINED} AS context, count(*)::INTEGER AS n,

@@ -310,7 +310,7 @@ grouped AS (
         FROM (SELECT page_id, i, excluded, {groups} AS g FROM bodies))),
 parts AS (
   SELECT page_id, i, j, excluded, {after.format('whole')} AS part,
-    CASE WHEN starts_with(whole, 'g' || chr(2)) THEN i * 1000 + j END AS group_no
+    CASE WHEN starts_with(whole, 'g' || chr(2)) THEN CAST(i AS BIGINT) * 4294967296 + j END AS group_no
   FROM grouped),
 blocks AS (
   SELECT page_id, i, j, n, excluded, group_no, list_extract(b, n + 1) AS block

@@ -196,8 +196,10 @@ def ranked_sql(name: str, source: str, k: int) -> str:
   WHERE rank <= {k})"""
 
 
-def hybrid_sql(k: int, depth: int | None = None) -> str:
+def hybrid_sql(k: int, depth: int | None = None, own: bool = False) -> str:
+    """``own``: both lists are cut at each question's own k before they are fused."""
     depth = depth or k
+    cut = f" JOIN questions USING (qid) WHERE rank <= coalesce(k_override, {k})" if own else ""
     return f"""{PASSAGES_SQL},
 {BM25_SQL},
 {DENSE_SQL},
@@ -205,8 +207,10 @@ def hybrid_sql(k: int, depth: int | None = None) -> str:
 {ranked_sql('dn', 'dense', depth)},
 fused AS (
   SELECT qid, id, round(sum(part), 6)::DOUBLE AS score FROM (
-    SELECT qid, id, (1.0::DOUBLE / (60 + rank))::DECIMAL(20,12) AS part FROM kw
-    UNION ALL SELECT qid, id, (1.0::DOUBLE / (60 + rank))::DECIMAL(20,12) FROM dn)
+    SELECT qid, id, (1.0::DOUBLE / (60 + rank))::DECIMAL(20,12) AS part
+    FROM kw{cut}
+    UNION ALL SELECT qid, id, (1.0::DOUBLE / (60 + rank))::DECIMAL(20,12)
+    FROM dn{cut})
   GROUP BY qid, id),
 {ranked_sql('fused_top', 'fused', depth)},
 hits AS (

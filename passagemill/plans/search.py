@@ -288,7 +288,7 @@ fused AS (SELECT qid, id, round(sum(part), 6)::DOUBLE AS score FROM (
     SELECT qid, id, (1.0::DOUBLE / (60 + rank))::DECIMAL(20,12) AS part FROM a
     UNION ALL SELECT qid, id, (1.0::DOUBLE / (60 + rank))::DECIMAL(20,12) FROM b) GROUP BY qid, id),
 {X.ranked_sql('top', 'fused', K_RERANK)} SELECT qid, id, score, rank FROM top""",
-    "hybrid_topk": f"""WITH {X.hybrid_sql(K_HYBRID)}
+    "hybrid_topk": f"""WITH {X.hybrid_sql(K_HYBRID, own=True)}
 SELECT h.qid, h.rank, h.id, chunk_header, content AS text FROM hits h JOIN passages USING (id)""",
     "hybrid_recall": f"""WITH {X.hybrid_sql(K_HYBRID)}
 SELECT count(DISTINCT qid) AS n_questions, min(rank)::INTEGER AS best_rank

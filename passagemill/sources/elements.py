@@ -85,6 +85,10 @@ def turn_elements(conversations: DataFrame) -> DataFrame:
     )
 
 
+#: More parts than a region can have, so numbers of lists in different regions differ.
+LISTS = 1 << 32
+
+
 def _pieces(html: Column) -> Column:
     """Blocks of a page in order, each with its tag, region and list number."""
     for pattern in DROPPED_MARKUP:
@@ -115,7 +119,7 @@ def _pieces(html: Column) -> Column:
                 lambda part, j: blocks(
                     F.substring_index(part, MARK, -1),
                     excluded,
-                    F.when(F.startswith(part, F.lit(f"g{MARK}")), at * 1000 + j),
+                    F.when(F.startswith(part, F.lit(f"g{MARK}")), at.cast("bigint") * LISTS + j),
                 ),
             )
         )

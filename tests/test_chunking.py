@@ -11,6 +11,7 @@ from passagemill.operators.hybrid import merge_peers, split_long_chunks
 from passagemill.operators.markdown import markdown_tables
 from passagemill.operators.scan import number_rows
 from passagemill.operators.windows import char_windows, routed_chunks
+from passagemill.sources.elements import page_elements
 
 CHUNKS = (
     "doc_id long, pos int, headings array<string>, text string, "
@@ -124,6 +125,22 @@ def test_headings_that_fill_the_limit_are_dropped(spark):
         split_long_chunks(spark.createDataFrame(rows, CHUNKS), 0)
 
 
+def test_dense_ids_of_text_keys(spark, monkeypatch):
+    monkeypatch.setattr(scan, "SUMMARY_ROWS", 20)
+    rows = [(f"é{d % 37}", p) for d in range(60) for p in range(d % 9)]
+    frame = spark.createDataFrame(rows, "doc_id string, pos int").distinct()
+    got = number_rows(frame, "doc_id", "pos", global_id="id", block_rows=2).collect()
+    want = sorted(set(rows), key=lambda r: (r[0].encode(), r[1]))
+    assert [(r.doc_id, r.pos) for r in sorted(got, key=lambda r: r.id)] == want
+    assert sorted(r.id for r in got) == list(range(len(want)))
+
+
+def test_many_lists_keep_their_numbers(spark):
+    html = "".join(f"<ul><li>a{i}</li></ul>" for i in range(505)) + "<nav><ul><li>m0</li></ul><ul><li>m1</li></ul></nav>"
+    rows = page_elements(spark.createDataFrame([(1, html)], "page_id bigint, html string")).collect()
+    assert len(rows) == 507 and len({r.group_ref for r in rows}) == 507
+
+
 @pytest.mark.parametrize("summary_rows", [1_000_000, 20])
 def test_dense_ids(spark, monkeypatch, summary_rows):
     monkeypatch.setattr(scan, "SUMMARY_ROWS", summary_rows)
