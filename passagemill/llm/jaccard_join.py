@@ -5,9 +5,9 @@ share one of their first shingles (their prefix), in any order that is the same
 for all documents; shingles that occur often come last, so what many documents
 share hardly brings any together. Nodes meet on prefix shingles in two passes:
 
-1. Each node is held against one anchor, the smallest node it shares a prefix
-   shingle with. A large group of near copies becomes one component here, with as
-   many comparisons as nodes.
+1. Each node is held against anchors, one per prefix shingle and size class. A large
+   group of near copies becomes one component here, with about as many comparisons
+   as nodes, and shingles of two nodes are settled.
 2. Shingles whose nodes lie in several components get a signature tree: leaves
    are bounded groups of nodes of similar size; every tree node holds the OR of
    its members' shingle bitmaps, their size range and their range of components.
@@ -124,17 +124,13 @@ def near_duplicates(documents: DataFrame, words: int = SHINGLE_WORDS, percent: i
         .select(F.col("rep").alias("id"), "n", "prefix", "signature"),
         "set-nodes",
     )
-    rows = node.select(F.explode("prefix").alias("token"), "id", "n")
-    groups = rows.groupBy("token").agg(F.count("*").alias("members"), F.min(F.struct("n", "id")).alias("anchor")).filter("members > 1")
-    shared = materialize(
-        rows.join(groups, "token").select("token", "id", "n", F.col("anchor.id").alias("anchor")), "shared-shingles"
-    )
-    # pass 1: every node against the smallest anchor it knows
-    ahead = shared.filter(F.col("id") != F.col("anchor")).groupBy("id").agg(F.min("anchor").alias("anchor"))
-    first = materialize(verified(ahead.select(F.col("id").alias("a"), F.col("anchor").alias("b")), documents, words, percent), "links")
+    shared = materialize(_meetings(node, percent), "meetings")
+    # pass 1: every node against the anchors of its own size class and of the one below
+    signs = node.select("id", "n", "signature")
+    first = materialize(verified(_alike(_anchor_pairs(shared, percent), signs, percent), documents, words, percent), "links")
     known = components(first)
     # pass 2: shingles whose nodes are not connected yet
-    second = materialize(verified(_tree_pairs(shared, node, known, percent), documents, words, percent), "links")
+    second = materialize(verified(_tree_pairs(shared.filter("members > 2"), node, known, percent), documents, words, percent), "links")
     found = components(named.unionByName(first).unionByName(second))
     out = table.join(found, table["doc_id"] == found["id"], "left")
     return out.select(
@@ -142,13 +138,49 @@ def near_duplicates(documents: DataFrame, words: int = SHINGLE_WORDS, percent: i
     )
 
 
+def _meetings(node: DataFrame, percent: int) -> DataFrame:
+    """(token, id, n, s, members): the nodes of every prefix shingle that several nodes have.
+
+    Of shingles with the same nodes, as in a passage that many documents share, one
+    is kept. ``s`` is the size class: nodes that link are of one class or of neighbours.
+    """
+    rows = node.select(F.explode("prefix").alias("token"), "id", "n")
+    several = rows.groupBy("token").agg(F.count("*").alias("_c")).filter("_c > 1").select("token")
+    met = materialize(rows.join(several, "token"), "shared-shingles")
+    # sums of three 32-bit hashes and the count stand for the set of nodes
+    sums = [F.sum(F.hash("id", F.lit(i))).alias(f"_h{i}") for i in range(3)]
+    sets = met.groupBy("token").agg(F.count("*").alias("members"), *sums)
+    kept = sets.groupBy("members", "_h0", "_h1", "_h2").agg(F.min("token").alias("token")).select("token", "members")
+    size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent))).cast("int")
+    return met.join(kept, "token").select("token", "id", "n", size_class.alias("s"), "members")
+
+
+def _anchor_pairs(shared: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of a node and an anchor; of shingles with two nodes, all pairs."""
+    anchors = shared.groupBy("token", "s").agg(F.min(F.struct("id", "n")).alias("anchor"))
+    anchors = anchors.select("token", F.explode(F.array("s", F.col("s") + 1)).alias("s"), "anchor")
+    pairs = shared.join(anchors, ["token", "s"]).filter(
+        (F.col("id") != F.col("anchor.id"))
+        & (100 * F.col("n") >= percent * F.col("anchor.n")) & (100 * F.col("anchor.n") >= percent * F.col("n"))
+    )
+    return pairs.select(F.col("id").alias("a"), F.col("anchor.id").alias("b")).distinct()
+
+
+def _alike(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """The pairs that their bitmaps do not rule out."""
+    spare = F.col("n") - F.aggregate("signature", F.lit(0), lambda acc, x: acc + F.bit_count(x))
+    one = signs.select(F.col("id").alias("a"), F.col("n").alias("_n"), spare.alias("_spare"), F.col("signature").alias("_bits"))
+    two = signs.select(F.col("id").alias("b"), "n", spare.alias("spare"), F.col("signature").alias("bits"))
+    common = F.aggregate(F.zip_with("bits", "_bits", lambda x, y: x.bitwiseAND(y)), F.lit(0), lambda acc, x: acc + F.bit_count(x))
+    may = (common + F.least("spare", "_spare")) * (100 + percent) >= percent * (F.col("n") + F.col("_n"))
+    return pairs.join(one, "a").join(two, "b").filter(may).select("a", "b").distinct()
+
+
 def _tree_pairs(shared: DataFrame, node: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a, b) of different components that may link."""
     labelled = shared.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_ = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    # nodes of one size class, and of the next, can have similar sizes
-    size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent))).cast("int")
-    mixed = materialize(labelled.join(open_.select("token"), "token").select("token", "id", "n", "component", size_class.alias("s")), "tree-rows")
+    mixed = materialize(labelled.join(open_.select("token"), "token").select("token", "id", "n", "component", "s"), "tree-rows")
     sizes = mixed.groupBy("token", "s").agg(F.count("*").alias("_c"))
     placed = mixed.join(sizes, ["token", "s"]).withColumn("leaf", F.pmod(F.xxhash64("id"), F.ceil(F.col("_c") / LEAF)).cast("int"))
     signs = node.select(F.col("id").alias("_id"), "signature").dropDuplicates(["_id"])
