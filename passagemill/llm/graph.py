@@ -19,12 +19,12 @@ def components(links: DataFrame) -> DataFrame:
     ids = materialize(between.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("component", F.col("id")), "ids")
     while not between.isEmpty():
         hooks = materialize(between.groupBy(F.col("b").alias("k")).agg(F.min("a").alias("v")), "hooks")
-        while True:
+        moved = True
+        while moved:
             ends = hooks.select(F.col("k").alias("_k"), F.col("v").alias("_v"))
             step = hooks.join(ends, hooks["v"] == ends["_k"], "left")
-            if step.filter(F.col("_v").isNotNull()).isEmpty():
-                break
-            hooks = materialize(step.select("k", F.coalesce("_v", "v").alias("v")), "hooks")
+            step = materialize(step.select("k", F.coalesce("_v", "v").alias("v"), F.col("_v").isNotNull().alias("moved")), "hooks")
+            moved, hooks = not step.filter("moved").isEmpty(), step.drop("moved")
         ids = materialize(_follow(ids, "component", hooks), "ids")
         between = materialize(_between(_follow(_follow(between, "a", hooks), "b", hooks)), "links")
     return ids

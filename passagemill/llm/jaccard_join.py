@@ -117,13 +117,10 @@ def near_duplicates(documents: DataFrame, words: int = SHINGLE_WORDS, percent: i
     """
     table = materialize(shingle_table(documents, words, percent, frequent_shingles(documents, words)), "shingle-sets")
     full = table.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    member = materialize(full.groupBy("key").agg(F.min("doc_id").alias("rep")), "set-keys")
-    named = full.select("doc_id", "key").join(member, "key").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    node = materialize(
-        full.join(member, "key").filter(F.col("doc_id") == F.col("rep")).dropDuplicates(["key"])
-        .select(F.col("rep").alias("id"), "n", "prefix", "signature"),
-        "set-nodes",
-    )
+    # rows of one key have the same set, hence the same size, prefix and bitmap
+    same = [F.first(c).alias(c) for c in ("n", "prefix", "signature")]
+    node = materialize(full.groupBy("key").agg(F.min("doc_id").alias("id"), *same), "set-nodes")
+    named = full.select("doc_id", "key").join(node.select("id", "key"), "key").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     shared = materialize(_meetings(node, percent), "meetings")
     # pass 1: every node against the anchors of its own size class and of the one below
     signs = node.select("id", "n", "signature")
@@ -173,7 +170,7 @@ def _alike(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
     two = signs.select(F.col("id").alias("b"), "n", spare.alias("spare"), F.col("signature").alias("bits"))
     common = F.aggregate(F.zip_with("bits", "_bits", lambda x, y: x.bitwiseAND(y)), F.lit(0), lambda acc, x: acc + F.bit_count(x))
     may = (common + F.least("spare", "_spare")) * (100 + percent) >= percent * (F.col("n") + F.col("_n"))
-    return pairs.join(one, "a").join(two, "b").filter(may).select("a", "b").distinct()
+    return pairs.join(one, "a").join(two, "b").filter(may).select("a", "b")
 
 
 def _tree_pairs(shared: DataFrame, node: DataFrame, known: DataFrame, percent: int) -> DataFrame:
@@ -330,7 +327,7 @@ def verified(pairs: DataFrame, documents: DataFrame, words: int, percent: int) -
                 good.append(bool(both) and 100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(compare, "a bigint, b bigint").distinct()
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(compare, "a bigint, b bigint")
 
 
 def _sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
