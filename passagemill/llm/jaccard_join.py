@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passagemill.session import materialize
+from passagemill.session import broadcast_if_small, materialize
 
 from .arrays import shingle_sets, text_slices
 from .graph import components
@@ -314,7 +314,8 @@ def verified(pairs: DataFrame, documents: DataFrame, words: int, percent: int) -
     """The pairs (a, b) whose whole shingle sets are similar enough."""
     pairs = materialize(pairs, "candidates")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = documents.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates()
+    # few ids are sent to the texts, so that no other text moves; many meet them by a shuffle
+    texts = documents.select("doc_id", "text").join(broadcast_if_small(wanted), "doc_id", "left_semi").dropDuplicates()
     one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
 
