@@ -277,49 +277,49 @@ _TYPE = f"CASE WHEN {X.table_like_sql('text')} THEN 'table' ELSE 'narrative' END
 
 
 def page_items_sql() -> str:
+    """Items of pages by window sums: depths are running sums above their lowest value."""
     dropped = "html"
     for pattern in E.DROPPED_MARKUP:
         dropped = f"regexp_replace({dropped}, '{pattern}', '', 'g')"
     marked = (
-        f"regexp_replace(regexp_replace({dropped}, '{E.EXCLUDED_OPEN}', chr(1) || 'x' || chr(2) || '\\0', 'g'),"
-        f" '{E.EXCLUDED_CLOSE}', '\\0' || chr(1) || 'c' || chr(2), 'g')"
+        f"chr(2) || chr(2) || regexp_replace({dropped}, '(?i)<(/?(?:{E.BLOCK_TAGS}))\\b([^>]*)>',"
+        " chr(1) || '\\1' || chr(2) || '\\2' || chr(2), 'g')"
     )
-    after = "list_extract(string_split({0}, chr(2)), -1)"
     text = "regexp_replace(raw, '<[^>]*>', ' ', 'g')"
     for entity, sign in E.ENTITIES:
-        text = f"replace({text}, '{entity}', '{sign}')"
+        text = "replace({}, '{}', '{}')".format(text, entity, sign.replace("'", "''"))
     text = f"trim(regexp_replace({text}, '[ \\t\\r\\n]+', ' ', 'g'))"
-    groups = (
-        f"string_split(regexp_replace(regexp_replace(body, '{E.GROUP_OPEN}', chr(1) || 'g' || chr(2), 'g'),"
-        f" '{E.GROUP_CLOSE}', chr(1) || 'n' || chr(2), 'g'), chr(1))"
+    turns = {name: (f"'{name}'", f"'/{name}'") for name in ("nav", "footer", "div")}
+    turns["list"] = ("'ul', 'ol'", "'/ul', '/ol'")
+    sums = ", ".join(
+        f"sum(CASE WHEN tag IN ({up}) THEN 1 WHEN tag IN ({down}) THEN -1 ELSE 0 END) OVER w AS {name}_sum"
+        for name, (up, down) in turns.items()
     )
-    blocks = (
-        f"string_split(regexp_replace(part, '(?i)<(/?(?:{E.BLOCK_TAGS}))\\b[^>]*>',"
-        " chr(1) || '\\1' || chr(2), 'g'), chr(1))"
-    )
-    return f"""regions AS (
-  SELECT page_id, i, list_extract(r, i + 1) AS region
-  FROM (SELECT page_id, r, unnest(range(0, len(r))) AS i
-        FROM (SELECT page_id, string_split({marked}, chr(1)) AS r FROM pages))),
-bodies AS (
-  SELECT page_id, i, starts_with(region, 'x' || chr(2)) AS excluded, {after.format('region')} AS body
-  FROM regions),
-grouped AS (
-  SELECT page_id, i, excluded, j, list_extract(g, j + 1) AS whole
-  FROM (SELECT page_id, i, excluded, g, unnest(range(0, len(g))) AS j
-        FROM (SELECT page_id, i, excluded, {groups} AS g FROM bodies))),
-parts AS (
-  SELECT page_id, i, j, excluded, {after.format('whole')} AS part,
-    CASE WHEN starts_with(whole, 'g' || chr(2)) THEN CAST(i AS BIGINT) * 4294967296 + j END AS group_no
-  FROM grouped),
-blocks AS (
-  SELECT page_id, i, j, n, excluded, group_no, list_extract(b, n + 1) AS block
-  FROM (SELECT *, unnest(range(0, len(b))) AS n FROM (SELECT *, {blocks} AS b FROM parts))),
+    depths = ", ".join(f"{name}_sum - least(0, min({name}_sum) OVER w) AS {name}_depth" for name in turns)
+    return f"""blocks AS (
+  SELECT page_id, i, lower(split_part(piece, chr(2), 1)) AS tag, split_part(piece, chr(2), 2) AS attributes,
+    list_extract(string_split(piece, chr(2)), -1) AS raw
+  FROM (SELECT page_id, i, list_extract(p, i + 1) AS piece
+        FROM (SELECT page_id, p, unnest(range(0, len(p))) AS i
+              FROM (SELECT page_id, string_split({marked}, chr(1)) AS p FROM pages)))),
+sums AS (
+  SELECT *, {sums}, count(*) FILTER (tag IN ('ul', 'ol')) OVER w AS lists_seen
+  FROM blocks WINDOW w AS (PARTITION BY page_id ORDER BY i)),
+depths AS (SELECT *, {depths} FROM sums WINDOW w AS (PARTITION BY page_id ORDER BY i)),
+adverts AS (
+  SELECT page_id, i AS first, div_depth AS depth FROM depths
+  WHERE tag = 'div' AND regexp_matches(attributes, '{E.ADVERTISEMENT}')),
+inside AS (
+  SELECT DISTINCT page_id, i FROM (
+    SELECT d.page_id, d.i, a.depth, min(d.div_depth) OVER (PARTITION BY d.page_id, a.first ORDER BY d.i) AS lowest
+    FROM depths d JOIN adverts a ON a.page_id = d.page_id AND d.i >= a.first)
+  WHERE lowest >= depth),
 cells AS (
-  SELECT page_id AS doc_id, excluded, group_no,
-    row_number() OVER (PARTITION BY page_id ORDER BY i, j, n) - 1 AS pos,
-    lower(list_extract(string_split(block, chr(2)), 1)) AS tag,
-    {after.format('block')} AS raw FROM blocks),
+  SELECT d.page_id AS doc_id, d.i AS pos, tag, raw,
+    nav_depth > 0 OR footer_depth > 0 OR n.i IS NOT NULL AS excluded,
+    CASE WHEN list_depth > 0 THEN max(CASE WHEN tag IN ('ul', 'ol') THEN lists_seen END)
+      OVER (PARTITION BY d.page_id, list_depth ORDER BY d.i) END AS group_no
+  FROM depths d LEFT JOIN inside n ON n.page_id = d.page_id AND n.i = d.i),
 levels AS (
   SELECT *, {text} AS text, CASE WHEN tag = 'title' THEN 0
     WHEN regexp_full_match(tag, 'h[1-6]') THEN substr(tag, 2, 1)::INTEGER END AS level FROM cells),

@@ -25,10 +25,8 @@ DROPPED_MARKUP = (
     r"(?is)<style\b.*?</style\s*>",
     r"(?s)<!--.*?-->",
 )
-EXCLUDED_OPEN = r'(?i)<(nav|footer)\b[^>]*>|<div\b[^>]*class="ad"[^>]*>'
-EXCLUDED_CLOSE = r"(?i)</(nav|footer|div)\s*>"
-GROUP_OPEN = r"(?i)<(ul|ol)\b[^>]*>"
-GROUP_CLOSE = r"(?i)</(ul|ol)\s*>"
+REGION_TAGS = "nav|footer|div|ul|ol"
+ADVERTISEMENT = '(?i)class="ad"'
 ENTITIES = (
     ("&nbsp;", " "),
     ("&lt;", "<"),
@@ -36,6 +34,15 @@ ENTITIES = (
     ("&quot;", '"'),
     ("&copy;", "©"),
     ("&middot;", "·"),
+    ("&apos;", "'"),
+    ("&ndash;", "–"),
+    ("&mdash;", "—"),
+    ("&hellip;", "…"),
+    ("&lsquo;", "‘"),
+    ("&rsquo;", "’"),
+    ("&ldquo;", "“"),
+    ("&rdquo;", "”"),
+    ("&euro;", "€"),
     ("&amp;", "&"),
 )
 CUT, MARK = "\x01", "\x02"
@@ -85,51 +92,122 @@ def turn_elements(conversations: DataFrame) -> DataFrame:
     )
 
 
-#: More parts than a region can have, so numbers of lists in different regions differ.
-LISTS = 1 << 32
+def _marked(html: Column, tags: str) -> Column:
+    """``html`` cut before each of ``tags``; name and attributes precede the text."""
+    return F.regexp_replace(html, rf"(?i)<(/?(?:{tags}))\b([^>]*)>", f"{CUT}$1{MARK}$2{MARK}")
 
 
-def _pieces(html: Column) -> Column:
-    """Blocks of a page in order, each with its tag, region and list number."""
+def _regions(html: Column) -> Column:
+    """A page cut at the tags that open or close an excluded region or a list."""
     for pattern in DROPPED_MARKUP:
         html = F.regexp_replace(html, pattern, "")
-    html = F.regexp_replace(html, EXCLUDED_OPEN, f"{CUT}x{MARK}$0")
-    html = F.regexp_replace(html, EXCLUDED_CLOSE, f"$0{CUT}c{MARK}")
+    pieces = F.split(F.concat(F.lit(MARK + MARK), _marked(html, REGION_TAGS)), CUT)
+    return F.transform(
+        pieces,
+        lambda r: F.struct(
+            F.lower(F.substring_index(r, MARK, 1)).alias("tag"),
+            F.substring_index(F.substring_index(r, MARK, 2), MARK, -1)
+            .rlike(ADVERTISEMENT)
+            .alias("ad"),
+            F.substring_index(r, MARK, -1).alias("body"),
+        ),
+    )
+
+
+def _states(regions: Column) -> Column:
+    """Whether each region is excluded, and the number of the innermost list open there.
+
+    Depths per tag are carried from region to region, so tags may nest; a closing
+    tag without an opening one changes nothing. ``ad`` is the depth of the outermost
+    open advertisement among its ``div``s.
+    """
+    none = F.lit(0)
+    start = F.struct(
+        *[none.alias(c) for c in ("nav", "footer", "div", "ad", "seen")],
+        F.array().cast("array<int>").alias("lists"),
+        F.array().cast("array<struct<excluded: boolean, group_no: int>>").alias("out"),
+    )
+
+    def step(acc: Column, region: Column) -> Column:
+        tag, lists = region["tag"], acc["lists"]
+
+        def depth(name: str) -> Column:
+            return (
+                F.when(tag == name, acc[name] + 1)
+                .when(tag == f"/{name}", F.greatest(acc[name] - 1, none))
+                .otherwise(acc[name])
+            )
+
+        nav, footer, div = depth("nav"), depth("footer"), depth("div")
+        ad = (
+            F.when((acc["ad"] == 0) & (tag == "div") & region["ad"], div)
+            .when(acc["ad"] > div, none)
+            .otherwise(acc["ad"])
+        )
+        opens = tag.isin("ul", "ol")
+        seen = acc["seen"] + opens.cast("int")
+        lists = (
+            F.when(opens, F.concat(lists, F.array(seen)))
+            .when(tag.isin("/ul", "/ol"), F.slice(lists, 1, F.greatest(F.size(lists) - 1, none)))
+            .otherwise(lists)
+        )
+        state = F.struct(
+            ((nav > 0) | (footer > 0) | (ad > 0)).alias("excluded"),
+            F.try_element_at(lists, F.lit(-1)).alias("group_no"),
+        )
+        return F.struct(
+            nav.alias("nav"),
+            footer.alias("footer"),
+            div.alias("div"),
+            ad.alias("ad"),
+            seen.alias("seen"),
+            lists.alias("lists"),
+            F.concat(acc["out"], F.array(state)).alias("out"),
+        )
+
+    return F.aggregate(regions, start, step, lambda acc: acc["out"])
+
+
+def _pieces(regions: Column, states: Column) -> Column:
+    """Blocks of a page in order, each with its tag, region and list number."""
 
-    def blocks(region: Column, excluded: Column, group: Column) -> Column:
-        marked = F.regexp_replace(region, rf"(?i)<(/?(?:{BLOCK_TAGS}))\b[^>]*>", f"{CUT}$1{MARK}")
+    def blocks(region: Column, state: Column) -> Column:
+        body = F.concat(region["tag"], F.lit(MARK), _marked(region["body"], BLOCK_TAGS))
         return F.transform(
-            F.split(marked, CUT),
+            F.split(body, CUT),
             lambda b: F.struct(
-                excluded.alias("excluded"),
-                group.alias("group_no"),
+                state["excluded"].alias("excluded"),
+                state["group_no"].alias("group_no"),
                 F.lower(F.substring_index(b, MARK, 1)).alias("tag"),
                 F.substring_index(b, MARK, -1).alias("raw"),
             ),
         )
 
-    def groups(region: Column, at: Column) -> Column:
-        body = F.substring_index(region, MARK, -1)
-        excluded = F.startswith(region, F.lit(f"x{MARK}"))
-        body = F.regexp_replace(body, GROUP_OPEN, f"{CUT}g{MARK}")
-        body = F.regexp_replace(body, GROUP_CLOSE, f"{CUT}n{MARK}")
-        return F.flatten(
-            F.transform(
-                F.split(body, CUT),
-                lambda part, j: blocks(
-                    F.substring_index(part, MARK, -1),
-                    excluded,
-                    F.when(F.startswith(part, F.lit(f"g{MARK}")), at.cast("bigint") * LISTS + j),
-                ),
-            )
+    return F.flatten(F.zip_with(regions, states, blocks))
+
+
+def _numeric_entities(text: Column) -> Column:
+    """``&#39;`` and ``&#x27;`` resolved; numbers that are no character stay as they are."""
+
+    def resolved(part: Column, at: Column) -> Column:
+        digits = F.regexp_extract(part, r"^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
+        code = F.when(
+            digits.rlike("^[xX]"), F.conv(F.substring(digits, 2, 6), 16, 10).cast("int")
+        ).when(digits != "", digits.try_cast("int"))
+        valid = ((code > 31) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
+        sign = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0")), "UTF-32")
+        rest = F.substring(part, F.length(digits) + 2, F.length(part))
+        return F.when(at == 0, part).otherwise(
+            F.coalesce(F.concat(sign, rest), F.concat(F.lit("&#"), part))
         )
 
-    return F.flatten(F.transform(F.split(html, CUT), groups))
+    parts = F.transform(F.split(text, "&#"), resolved)
+    return F.when(F.contains(text, F.lit("&#")), F.array_join(parts, "")).otherwise(text)
 
 
 def plain_text(markup: Column) -> Column:
     """Text of a block: inline tags dropped, known entities resolved, spaces squeezed."""
-    text = F.regexp_replace(markup, r"<[^>]*>", " ")
+    text = _numeric_entities(F.regexp_replace(markup, r"<[^>]*>", " "))
     for entity, sign in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(sign))
     return F.trim(F.regexp_replace(text, r"[ \t\r\n]+", " "))
@@ -138,15 +216,17 @@ def plain_text(markup: Column) -> Column:
 def page_elements(pages: DataFrame) -> DataFrame:
     """Elements of ``pages(page_id, html)``, parsed inside the row without a shuffle.
 
-    Items of navigation, footer and advertisement blocks are flagged
-    ``excluded``; list items carry the reference of their list.
+    Items of navigation, footer and advertisement blocks are flagged ``excluded``,
+    up to the tag that closes the block; list items carry the reference of their
+    innermost list.
     """
     tag = F.col("p.tag")
     level = F.when(tag == "title", 0).when(
         tag.rlike("^h[1-6]$"), F.substring(tag, 2, 1).try_cast("int")
     )
-    exploded = pages.select(
-        F.col("page_id").alias("doc_id"), F.posexplode(_pieces(F.col("html"))).alias("pos", "p")
+    regions = pages.select(F.col("page_id").alias("doc_id"), _regions(F.col("html")).alias("r"))
+    exploded = regions.select("doc_id", "r", _states(F.col("r")).alias("s")).select(
+        "doc_id", F.posexplode(_pieces(F.col("r"), F.col("s"))).alias("pos", "p")
     )
     return exploded.select(
         "doc_id",

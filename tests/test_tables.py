@@ -208,6 +208,32 @@ def test_page_elements(spark):
     assert exclude_refs(items, refs).count() == 5
 
 
+def test_nested_regions_and_lists(spark):
+    html = (
+        "li<nav><div>menu</div><p>still nav</p><nav>x</nav><p>nav too</p></nav></nav><p>content</p>"
+        '<div>a<div class="ad">buy<div>more</div>now</div>b</div>'
+        "<ul><li>one<ol><li>in</li></ol></li><li>two</li></ul></ul><li>loose</li>"
+        "<footer><p>&#39;f&#x27; &amp;#39; &#0; &#55296;</p></footer><p>end &#8364;&mdash;</p>"
+    )
+    frame = spark.createDataFrame([(1, html), (2, None), (3, "")], "page_id long, html string")
+    items = page_elements(frame).orderBy("pos").collect()
+    kept = [(r.text, r.group_ref) for r in items if not r.excluded]
+    assert kept == [
+        ("li", None),
+        ("content", None),
+        ("a", None),
+        ("b", None),
+        ("one", "#/groups/1"),
+        ("in", "#/groups/2"),
+        ("two", "#/groups/1"),
+        ("loose", None),
+        ("end €—", None),
+    ]
+    assert [r.text for r in items if r.excluded] == [
+        "menu", "still nav", "x", "nav too", "buy", "more", "now", "'f' &#39; &#0; &#55296;"
+    ]
+
+
 def test_bad_rows_are_quarantined(spark):
     frame = spark.createDataFrame([(1, "ok"), (2, ""), (3, None)], ROW)
     checked = check_isolated(frame, {"empty": F.length("v") > 0})
