@@ -37,10 +37,9 @@ class Provider:
     text_column: str = "content"
 
 
-#: Known embedding providers by name.
+#: Embedding providers by name; more are given to ``provider`` as ``known``.
 PROVIDERS = {
     "model_endpoint": Provider(1024, "embedding"),
-    "openai": Provider(3072, "openai_embedding"),
     "hash": Provider(256),
 }
 

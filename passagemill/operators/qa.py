@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import check_template, error_excerpt, fill_template
-from ..session import broadcast_if_small
 from .context import context_rows
+from .scan import number_rows
 
 Retriever = Callable[[DataFrame], DataFrame]
 #: A generator maps (prompt, best passage) to an answer column: a string, or
@@ -150,21 +149,12 @@ def answer_batch(questions: DataFrame, qa: _QA) -> DataFrame:
     )
 
 
-def number_questions(questions: DataFrame, bucket_width: int = 10_000) -> DataFrame:
+def number_questions(questions: DataFrame) -> DataFrame:
     """``qid, ordinal``: position of every question from 1, by ascending ``qid``.
 
-    Counts per range of ids are summed first, so that no task sorts all questions.
+    Counts per id are summed in ranges of ids, so that no task sorts all questions,
+    however far apart their ids lie. Ids may be of any type that has an order.
     """
-    ranged = questions.select("qid", F.floor(F.col("qid") / bucket_width).alias("_r"))
-    before = W.orderBy("_r").rowsBetween(W.unboundedPreceding, -1)
-    bases = (
-        ranged.groupBy("_r")
-        .agg(F.count("*").alias("_n"))
-        .select("_r", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    )
-    inside = W.partitionBy("_r").orderBy("qid")
-    return (
-        ranged.withColumn("_i", F.row_number().over(inside))
-        .join(broadcast_if_small(bases), "_r")
-        .select("qid", (F.col("_base") + F.col("_i")).cast("bigint").alias("ordinal"))
-    )
+    rows = questions.select("qid", F.lit(0).alias("_at"))
+    numbered = number_rows(rows, "qid", "_at", index="_no", global_id="ordinal")
+    return numbered.select("qid", (F.col("ordinal") + 1).alias("ordinal"))

@@ -150,7 +150,7 @@ def source_guard(spark: SparkSession, sf: str) -> DataFrame:
     regions = X.table(spark, sf, "region")
     listed = (
         X.table(spark, sf, "nation")
-        .join(F.broadcast(regions), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
         .where(F.col("r_name").isin("ASIA", "EUROPE"))
         .select(F.col("n_name").alias("name"))
     )

@@ -134,7 +134,7 @@ def page_sets(spark: SparkSession, sf: str) -> DataFrame:
 def markdown(spark: SparkSession, sf: str) -> DataFrame:
     nations = X.table(spark, sf, "nation")
     regions = X.table(spark, sf, "region")
-    rows = nations.join(F.broadcast(regions), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
     return markdown_tables(
         rows, "r_name", "n_nationkey", {"nation": "n_name", "key": "n_nationkey"}
     )

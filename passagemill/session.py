@@ -76,11 +76,16 @@ def discard_intermediates(spark: SparkSession) -> int:
     Call it when no result of this library is still to be read.
     """
     paths = _written.pop(spark.sparkContext.applicationId, [])
+    delete_paths(spark, paths)
+    return len(paths)
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete files or folders, wherever Spark can reach them."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(conf).delete(target, True)
-    return len(paths)
 
 
 def fits_broadcast(

@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, work_path
+from ..session import broadcast_if_small, delete_paths
 
 CHANGE_FEED = "passagemill.changeFeed"
+#: Property that lists the folders of replaced versions, and how many of them stay readable.
+EARLIER = "passagemill.earlierVersions"
+KEPT_VERSIONS = 2
+
+
+def table_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the warehouse; tables outlive the folder of intermediate files."""
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{warehouse}/{name.replace('.', '-')}--{uuid.uuid4().hex}"
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -44,7 +54,7 @@ def create_table(
     """Create a parquet table with declared columns unless it exists."""
     props = {CHANGE_FEED: "true"} if properties is None else properties
     listed = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in props.items())
-    where = path or work_path(spark, name.replace(".", "-"))
+    where = path or table_path(spark, name)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION {_quoted(where)}"
         + (f" TBLPROPERTIES ({listed})" if listed else "")
@@ -67,27 +77,35 @@ def append_table(df: DataFrame, name: str) -> None:
         df = df.select(*spark.read.table(name).columns)
         df.write.mode("append").insertInto(name)
     else:
-        path = work_path(spark, name.replace(".", "-"))
-        df.write.option("path", path).saveAsTable(name)
+        df.write.option("path", table_path(spark, name)).saveAsTable(name)
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE FORMATTED {name}")
+    return described.where(F.col("col_name") == "Location").head()["data_type"]
 
 
 def swap_table(df: DataFrame, name: str) -> None:
     """Make ``df`` the table's content.
 
     Rows go to a fresh folder and the table is then pointed there, so ``df`` may
-    read the table itself and readers see the old or the new state.
+    read the table itself and readers see the old or the new state. The last
+    ``KEPT_VERSIONS`` replaced folders stay for readers that began earlier; older
+    ones are deleted, but never a folder that the caller of ``create_table`` chose.
     """
     spark = df.sparkSession
     fresh = f"{name}__{uuid.uuid4().hex}"
-    df.write.option("path", work_path(spark, name.replace(".", "-"))).saveAsTable(fresh)
+    df.write.option("path", table_path(spark, name)).saveAsTable(fresh)
     if spark.catalog.tableExists(name):
-        location = (
-            spark.sql(f"DESCRIBE FORMATTED {fresh}")
-            .where(F.col("col_name") == "Location")
-            .head()["data_type"]
-        )
-        spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(location)}")
+        replaced = _location(spark, name)
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(_location(spark, fresh))}")
         spark.sql(f"DROP TABLE {fresh}")
+        earlier = [p for p in (table_property(spark, name, EARLIER) or "").split("|") if p]
+        own = re.escape(name.replace(".", "-")) + "--[0-9a-f]{32}"
+        if re.fullmatch(own, replaced.rsplit("/", 1)[-1]):
+            earlier.append(replaced)
+        set_table_property(spark, name, EARLIER, "|".join(earlier[-KEPT_VERSIONS:]))
+        delete_paths(spark, earlier[:-KEPT_VERSIONS])
         spark.catalog.refreshTable(name)
     else:
         spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from passagemill.operators.index import (
     Index,
+    Provider,
     build_index,
     create_or_sync_index,
     provider,
@@ -15,7 +16,7 @@ from passagemill.operators.index import (
     sync_index,
 )
 from passagemill.operators.mutation import change_feed, upsert, upsert_rows
-from passagemill.session import discard_intermediates, fits_broadcast, materialize
+from passagemill.session import discard_intermediates, fits_broadcast, materialize, work_path
 from passagemill.sources.elements import collapse_groups, exclude_refs, page_elements
 from passagemill.sources.files import file_metadata, scan_files
 from passagemill.sources.isolation import check_isolated, quarantined, succeeded
@@ -27,6 +28,7 @@ from passagemill.sources.tables import (
     set_table_property,
     table_exists,
     table_property,
+    swap_table,
 )
 from passagemill.streaming.refresh import refresh
 
@@ -147,7 +149,7 @@ def test_index_guards(spark):
     assert not create_or_sync_index(spark, table, index, ["other"])
     assert create_or_sync_index(spark, table, index, [table]) and index.exists(spark)
     assert build_index(data, index, force_rebuild=False)
-    assert provider("openai").dim == 3072
+    assert provider("large", {"large": Provider(3072, "vector")}).dim == 3072
     with pytest.raises(ValueError):
         provider("nobody")
 
@@ -234,6 +236,22 @@ def test_nested_regions_and_lists(spark):
     ]
 
 
+def test_replaced_versions_are_removed(spark):
+    table = name()
+    for n in range(6):
+        swap_table(spark.createDataFrame([(n, "v")], ROW), table)
+    home = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")
+    folders = [f for f in os.listdir(home) if f.startswith(f"{table}--") or f.startswith(f"{table}__")]
+    assert rows(spark.read.table(table)) == [(5, "v")] and len(folders) == 3
+    chosen = work_path(spark, "chosen")
+    other = name()
+    create_table(spark, other, ROW, path=chosen)
+    append_table(spark.createDataFrame([(0, "first")], ROW), other)
+    for n in range(4):
+        swap_table(spark.createDataFrame([(n, "v")], ROW), other)
+    assert os.path.isdir(chosen.removeprefix("file:"))
+
+
 def test_bad_rows_are_quarantined(spark):
     frame = spark.createDataFrame([(1, "ok"), (2, ""), (3, None)], ROW)
     checked = check_isolated(frame, {"empty": F.length("v") > 0})
