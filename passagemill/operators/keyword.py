@@ -140,7 +140,9 @@ def _joined_scores(
     return (
         matched.select("qid", "id", part.cast("decimal(20,10)").alias("part"))
         .groupBy("qid", "id")
-        .agg(F.round(F.sum("part"), SCORE_DECIMALS).cast("double").alias("score"))
+        .agg(F.sum("part").alias("_sum"))
+        .where("_sum > 0")  # as in place: no hit where every part rounds to nothing
+        .select("qid", "id", F.round("_sum", SCORE_DECIMALS).cast("double").alias("score"))
     )
 
 
@@ -170,8 +172,11 @@ def _scored_in_place(
             parts = table[terms]
             parts *= top[:, None]
             parts /= bottom[:, None]
-            # Whole multiples of 1e-10: their sum does not depend on its order.
-            np.rint(parts * PART_SCALE, out=parts)
+            # Whole multiples of 1e-10, halves up as in decimals: their sum does not
+            # depend on its order.
+            parts *= PART_SCALE
+            parts += 0.5
+            np.floor(parts, out=parts)
             sums = np.add.reduceat(parts, heads, axis=0)
             scores = np.floor((sums + SCORE_UNIT / 2) / SCORE_UNIT) / 10**SCORE_DECIMALS
             for q in range(high - low):
