@@ -1,5 +1,7 @@
 """Toxicity and quality: held-out accuracy, located sentences, defined edges."""
 
+import numpy as np
+
 from passagemill.llm import quality, queries, toxicity
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, toxicity string, quality_score string, _id int, _toxic int"
@@ -61,3 +63,17 @@ def test_quality_edges(spark):
     assert got[1, "a"] > 0.5 > got[2, "b"] and 0 <= got[3, None] <= 1 and 0 <= got[4, "zz"] <= 1
     pool = docs(spark, rows + [(200 + i, t, s) for i, (_, t, s) in enumerate(rows)])
     assert sum(map(sum, quality.train(pool, labels)["exchanged"])) > 0
+
+
+def test_all_unlabelled_documents_take_part(spark):
+    rows = [(i, f"Some plain words of text number {i} follow here.", "a") for i in range(30)] + [(50 + i, "buy buy buy! " * (i + 5), "b") for i in range(30)]
+    labels = spark.createDataFrame([(i, int(i < 50)) for i, _, _ in rows], "doc_id bigint, quality int")
+    # a source without labels, known only from what the text view says of its documents
+    pool = rows + [(200 + i, t, "c" if i < 30 else s) for i, (_, t, s) in enumerate(rows)]
+    model = quality.train(docs(spark, pool), labels)
+    assert sum(model["exchanged"][0]) > 2 * 6
+    page = model["views"][1]
+    source = [page.base[3] + int(quality.page_features(np.zeros(0, np.uint8), np.zeros(2, np.int64), [s], ["en"])[0, 3]) for s in "abc"]
+    assert page.weights[source[2]] > 0.01 and page.weights[source[0]] > 0 > page.weights[source[1]]
+    again = quality.train(docs(spark, pool[::-1]).repartition(5), labels)
+    assert all((x.weights == y.weights).all() for x, y in zip(model["views"], again["views"], strict=True))
