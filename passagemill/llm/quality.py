@@ -288,9 +288,10 @@ def train(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABEL
         labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").cast("int").alias("_quality"))
     )
-    chosen = marked.orderBy(F.xxhash64("_id"), F.col("_id")).limit(max_labelled)
     described = documents.select("doc_id", "text", "source", "lang").mapInArrow(_features, "doc_id bigint, view binary, page binary")
     features = materialize(described, "quality-features")
+    present = marked.join(features.select(F.col("doc_id").alias("_id")), "_id", "left_semi")
+    chosen = present.orderBy(F.xxhash64("_id"), F.col("_id")).limit(max_labelled)
     table = features.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "_quality", "view", "page").toArrow()
     table = table.take(np.array(sorted(range(table.num_rows), key=list(zip(*(table[c].to_pylist() for c in ("doc_id", "view", "page")), strict=True)).__getitem__), np.int64))
     known = table["_quality"].to_numpy().astype(np.int64)

@@ -96,13 +96,14 @@ def fit(words: np.ndarray, sentence: np.ndarray, doc: np.ndarray, labels: np.nda
 def train(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> dict[str, np.ndarray | float]:
     """A model from documents (doc_id, text) and labels (doc_id, toxic).
 
-    Uses the ``max_labelled`` labelled documents of smallest hash of doc_id that
-    have toxic 0 or 1; a document labelled twice counts as toxic if one label says
+    Uses the ``max_labelled`` labelled documents of smallest hash of doc_id, of
+    those in ``documents`` that have toxic 0 or 1; a document labelled twice counts as toxic if one label says
     so. Without two classes the model knows no words and scores nothing as toxic.
     """
     chosen = (
         labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("_toxic"))
+        .join(documents.select(F.col("doc_id").alias("_id")), "_id", "left_semi")
         .orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
     )
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))

@@ -77,3 +77,10 @@ def test_all_unlabelled_documents_take_part(spark):
     assert page.weights[source[2]] > 0.01 and page.weights[source[0]] > 0 > page.weights[source[1]]
     again = quality.train(docs(spark, pool[::-1]).repartition(5), labels)
     assert all((x.weights == y.weights).all() for x, y in zip(model["views"], again["views"], strict=True))
+
+
+def test_labels_of_other_documents_take_no_places(spark):
+    rows = [(i, f"Calm words here {i}. A {'vile rant' if i % 2 else 'kind song'}{i % 3}!", "s") for i in range(40)]
+    labels = spark.range(4000).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS toxic", "CAST(1 - id % 2 AS int) AS quality")
+    model = toxicity.train(docs(spark, rows), labels, max_labelled=40)
+    assert len(model["words"]) and quality.train(docs(spark, rows), labels, max_labelled=40) is not None
