@@ -136,20 +136,20 @@ def near_duplicates(documents: DataFrame, words: int = SHINGLE_WORDS, percent: i
 
 
 def _meetings(node: DataFrame, percent: int) -> DataFrame:
-    """(token, id, n, s, members): the nodes of every prefix shingle that several nodes have.
+    """(token, id, key, n, s, members): the nodes of every prefix shingle that several nodes have.
 
     Of shingles with the same nodes, as in a passage that many documents share, one
     is kept. ``s`` is the size class: nodes that link are of one class or of neighbours.
     """
-    rows = node.select(F.explode("prefix").alias("token"), "id", "n")
+    rows = node.select(F.explode("prefix").alias("token"), "id", "key", "n")
     several = rows.groupBy("token").agg(F.count("*").alias("_c")).filter("_c > 1").select("token")
     met = materialize(rows.join(several, "token"), "shared-shingles")
-    # sums of three 32-bit hashes and the count stand for the set of nodes
-    sums = [F.sum(F.hash("id", F.lit(i))).alias(f"_h{i}") for i in range(3)]
+    # sums of three 32-bit hashes and the count stand for the set of nodes; two nodes can have one id
+    sums = [F.sum(F.hash("key", F.lit(i))).alias(f"_h{i}") for i in range(3)]
     sets = met.groupBy("token").agg(F.count("*").alias("members"), *sums)
     kept = sets.groupBy("members", "_h0", "_h1", "_h2").agg(F.min("token").alias("token")).select("token", "members")
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent))).cast("int")
-    return met.join(kept, "token").select("token", "id", "n", size_class.alias("s"), "members")
+    return met.join(kept, "token").select("token", "id", "key", "n", size_class.alias("s"), "members")
 
 
 def _anchor_pairs(shared: DataFrame, percent: int) -> DataFrame:
@@ -177,13 +177,13 @@ def _tree_pairs(shared: DataFrame, node: DataFrame, known: DataFrame, percent: i
     """Distinct pairs (a, b) of different components that may link."""
     labelled = shared.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_ = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    mixed = materialize(labelled.join(open_.select("token"), "token").select("token", "id", "n", "component", "s"), "tree-rows")
+    mixed = materialize(labelled.join(open_.select("token"), "token").select("token", "id", "key", "n", "component", "s"), "tree-rows")
     sizes = mixed.groupBy("token", "s").agg(F.count("*").alias("_c"))
     placed = mixed.join(sizes, ["token", "s"]).withColumn("leaf", F.pmod(F.xxhash64("id"), F.ceil(F.col("_c") / LEAF)).cast("int"))
-    signs = node.select(F.col("id").alias("_id"), "signature").dropDuplicates(["_id"])
+    signs = node.select(F.col("key").alias("_key"), "signature")
     spare = F.col("n") - F.aggregate("signature", F.lit(0), lambda acc, x: acc + F.bit_count(x))
     members = materialize(
-        placed.join(signs, placed["id"] == signs["_id"]).select("token", "s", "leaf", "id", "n", "component", "signature", spare.alias("spare")), "tree-leaves"
+        placed.join(signs, placed["key"] == signs["_key"]).select("token", "s", "leaf", "id", "n", "component", "signature", spare.alias("spare")), "tree-leaves"
     )
     union = [F.bit_or(F.col("signature")[i]).alias(f"_w{i}") for i in range(SIGNATURE_WORDS)]
     leaves = members.groupBy("token", "s", "leaf").agg(

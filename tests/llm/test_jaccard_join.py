@@ -81,3 +81,17 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 200), (200, 150), (150, 100), (7, 7)]
     got = graph.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
     assert {r.id: r.component for r in got} == {**{i: 0 for i in range(51)}, 100: 100, 150: 100, 200: 100}
+
+
+def test_repeated_id_in_trees(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LEAF", 6)
+    monkeypatch.setattr(jaccard_join, "LAST", 2)
+    # one doc_id with two texts, each like the text of another document
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, one), (1, two), (2, one + " x"), (3, two + " x")]
+    table = jaccard_join.shingle_table(spark.createDataFrame(rows, "doc_id bigint, text string"), 4, 85, jaccard_join.np.zeros(0, "u8"))
+    node = table.withColumnRenamed("doc_id", "id")
+    known = spark.createDataFrame([], "id bigint, component bigint")
+    got = jaccard_join._tree_pairs(jaccard_join._meetings(node, 85), node, known, 85).collect()
+    assert {tuple(r) for r in got} >= {(1, 2), (1, 3)}
+    assert run(spark, rows) == brute(rows)
