@@ -61,7 +61,8 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 20, *, id_col: s
     asked = queries.select(*pick).filter(there).dropDuplicates()
     n, m = base.count(), asked.count()
     groups, blocks = max(1, math.ceil(n / VECTOR_GROUP)), max(1, math.ceil(m / QUERY_BLOCK))
-    turn = F.monotonically_increasing_id()
+    # by content, so that a task that is run again deals every row to the same cell
+    turn = F.xxhash64("id", "v")
     left = asked.withColumn("qb", F.pmod(turn, F.lit(blocks)).cast("int")).withColumn(
         "vg", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
     )

@@ -110,3 +110,12 @@ def test_hnsw_edges(spark):
     assert near(frame(spark, [])) == []
     assert near(frame(spark, [(100, [1.0, 2.0])])) == []
     assert near(frame(spark, [(100, [1.0, 2.0]), (1, [1.0, 2.0])])) == [(100, 1, 1, 0.0)]
+
+
+def test_cells_do_not_depend_on_the_order_of_rows(spark, monkeypatch):
+    """Which group a vector is dealt to is given by its content, also when a task is run again."""
+    monkeypatch.setattr(exact_search, "VECTOR_GROUP", 16)
+    monkeypatch.setattr(exact_search, "QUERY_BLOCK", 4)
+    rows = spark.createDataFrame([(i, [i, i % 7]) for i in range(100)], "vec_id bigint, vector array<bigint>")
+    plan = exact_search.exact_topk(rows, rows.limit(10), 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(" in plan and "monotonically_increasing_id" not in plan
