@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passagemill.session import work_path
+from passagemill.session import spread, work_path
 
-from . import byte_bpe, chat, exact_search, hnsw, jaccard_join, masked_lm, mixing, quality, token_files, toxicity
+from . import byte_bpe, chat, exact_search, hnsw, jaccard_join, masked_lm, mixing, piece_bpe, quality, token_files, toxicity
 
 QUERIES = {}
 ORACLES = {}
@@ -161,3 +161,12 @@ def op2_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = No
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     token_files.write_ids(documents, path, tokenizer or public_tokenizers.path("word_bpe_49k.json"))
     return token_files.read_ids(spark, path, digest=True)
+
+
+@_query
+def op12_piece_bpe(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    model = model or public_tokenizers.path("piece_bpe_32k.model")
+    documents = spread(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return piece_bpe.digests(piece_bpe.decode(piece_bpe.encode(documents, model).drop("text"), model))
