@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from passagemill.session import spread, work_path
 
-from . import byte_bpe, chat, exact_search, hnsw, jaccard_join, masked_lm, mixing, piece_bpe, quality, token_files, toxicity
+from . import byte_bpe, chat, exact_search, hnsw, jaccard_join, masked_lm, mixing, piece_bpe, quality, token_files, toxicity, whitening
 
 QUERIES = {}
 ORACLES = {}
@@ -170,3 +170,8 @@ def op12_piece_bpe(spark: SparkSession, sf_dir: str, model: str | None = None) -
     model = model or public_tokenizers.path("piece_bpe_32k.model")
     documents = spread(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return piece_bpe.digests(piece_bpe.decode(piece_bpe.encode(documents, model).drop("text"), model))
+
+
+@_query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), 32)
