@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from passagemill.session import spread, work_path
 
-from . import byte_bpe, chat, exact_search, hnsw, jaccard_join, masked_lm, mixing, piece_bpe, quality, token_files, toxicity, whitening
+from . import byte_bpe, chat, exact_search, hnsw, jaccard_join, masked_lm, mixing, piece_bpe, quality, token_files, toxicity, turn_repair, whitening
 
 QUERIES = {}
 ORACLES = {}
@@ -175,3 +175,76 @@ def op12_piece_bpe(spark: SparkSession, sf_dir: str, model: str | None = None) -
 @_query
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"), 32)
+
+
+@_query
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return turn_repair.digests(turn_repair.repair(turn_repair.damaged(turns), copies="copies"))
+
+
+ORACLES["op13_turn_repair"] = """
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+  FROM conversations
+), c AS (
+  SELECT *, xor(4294967295, list_reduce(
+      list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(key, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda s, b: list_reduce(list_prepend(xor(s, b), [CAST(0 AS BIGINT) FOR x IN range(8)]),
+        lambda x, y: xor(x >> 1, CAST(3988292384 AS BIGINT) * (x & 1))))) % 20 AS f
+  FROM k
+), d AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM c, range(CASE f WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)
+), o AS (
+  SELECT *, row_number() OVER w AS i, left(role, 1) AS initial, lag(left(role, 1)) OVER w AS previous,
+    NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS is_blank,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS is_cut
+  FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), e AS (
+  SELECT *, i > min(i) OVER (PARTITION BY conv_id, role, text) AS is_copy, is_blank OR is_copy AS must_go,
+    CASE WHEN is_cut THEN 1 ELSE 0 END AS late
+  FROM o
+), n AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (is_blank) AS blank, count(*) FILTER (is_copy AND NOT is_blank) AS duplicate,
+    count(*) FILTER (is_cut AND NOT is_copy AND NOT is_blank) AS truncated,
+    count(*) FILTER (i > 1 AND previous || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM e GROUP BY conv_id
+), p AS (
+  SELECT conv_id, n + 1 AS i, {'c': 0, 'a': '', 't': ''} AS none, {'c': 4, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'} AS s,
+    {'c': 2, 'a': 'I', 't': chr(10) || 'assistant:'} AS u, {'c': 0, 'a': '', 't': ''} AS a
+  FROM n
+  UNION ALL
+  SELECT conv_id, i,
+    least(none, {'c': 2 + u.c, 'a': 'I' || u.a, 't': chr(10) || 'user:' || u.t}),
+    least(s, {'c': 2 + u.c, 'a': 'I' || u.a, 't': chr(10) || 'user:' || u.t}),
+    least(u, {'c': 2 + a.c, 'a': 'I' || a.a, 't': chr(10) || 'assistant:' || a.t}),
+    least(a, {'c': 2 + u.c, 'a': 'I' || u.a, 't': chr(10) || 'user:' || u.t})
+  FROM (
+    SELECT e.conv_id, e.i,
+      least({'c': none.c + 3, 'a': 'D' || none.a, 't': none.t},
+        CASE WHEN NOT must_go THEN {'c': u.c + 2 + late, 'a': 'R' || u.a, 't': chr(10) || 'user:' || text || u.t} END,
+        CASE WHEN NOT must_go AND initial = 'u' THEN {'c': u.c + late, 'a': 'K' || u.a, 't': chr(10) || role || ':' || text || u.t} END,
+        CASE WHEN NOT must_go AND initial = 's' THEN {'c': s.c + late, 'a': 'K' || s.a, 't': chr(10) || role || ':' || text || s.t} END) AS none,
+      least({'c': s.c + 3, 'a': 'D' || s.a, 't': s.t},
+        CASE WHEN NOT must_go THEN {'c': u.c + 2 + late, 'a': 'R' || u.a, 't': chr(10) || 'user:' || text || u.t} END,
+        CASE WHEN NOT must_go AND initial = 'u' THEN {'c': u.c + late, 'a': 'K' || u.a, 't': chr(10) || role || ':' || text || u.t} END) AS s,
+      least({'c': u.c + 3, 'a': 'D' || u.a, 't': u.t},
+        CASE WHEN NOT must_go THEN {'c': a.c + 2 + late, 'a': 'R' || a.a, 't': chr(10) || 'assistant:' || text || a.t} END,
+        CASE WHEN NOT must_go AND initial = 'a' THEN {'c': a.c + late, 'a': 'K' || a.a, 't': chr(10) || role || ':' || text || a.t} END) AS u,
+      least({'c': a.c + 3, 'a': 'D' || a.a, 't': a.t},
+        CASE WHEN NOT must_go THEN {'c': u.c + 2 + late, 'a': 'R' || u.a, 't': chr(10) || 'user:' || text || u.t} END,
+        CASE WHEN NOT must_go AND initial = 'u' THEN {'c': u.c + late, 'a': 'K' || u.a, 't': chr(10) || role || ':' || text || u.t} END) AS a
+    FROM p JOIN e ON e.conv_id IS NOT DISTINCT FROM p.conv_id AND e.i = p.i - 1
+  )
+)
+SELECT x.conv_id, CAST(coalesce(n.gaps, 0) AS BIGINT) AS gaps, coalesce(n.blank, 0) AS blank, coalesce(n.duplicate, 0) AS duplicate,
+  coalesce(n.truncated, 0) AS truncated, coalesce(n.illegal, 0) AS illegal, CAST(coalesce(p.none.c, 0) AS BIGINT) AS cost,
+  coalesce(p.none.a, '') AS audit, sha256(coalesce(substr(p.none.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) x
+LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM x.conv_id
+LEFT JOIN p ON p.conv_id IS NOT DISTINCT FROM x.conv_id AND p.i = 1
+"""
