@@ -3,7 +3,7 @@
 A text is normalised (dummy space, spaces as the piece mark) and cut into units
 where no piece of the model can reach across: before a run of marks that follows
 another character, and around characters that no piece holds (these become byte
-ids). Inside a unit every prefix has exactly one last token: of all pieces that
+ids), and between letters and other characters if no piece has both. Inside a unit every prefix has exactly one last token: of all pieces that
 end there (found by one pass of an Aho-Corasick automaton) the only one that
 stays apart from the last token of what lies before it. Two tokens stay apart
 when merging the characters of both, best score first and leftmost among equals,
@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -123,12 +125,7 @@ class PieceBpe:
         #: Turn of each piece in merging: 0 is merged first; equal scores share a turn.
         self.turn = {model.pieces[i]: order[model.scores[i]] for i in normal}
         self.bytes_at = {int(p[3:5], 16): i for i, p in enumerate(model.pieces) if model.kinds[i] == BYTE}
-        letters = {c for p in self.ids for c in p} - {MARK}
-        known = f"[{''.join(map(re.escape, sorted(letters)))}]" if letters else "(?!)"
-        self.crossing = any(MARK in p.lstrip(MARK) for p in self.ids)
-        # a piece with a mark behind another character would reach over the cut between units
-        unit = f"(?:{MARK}|{known})+" if self.crossing else f"{MARK}+{known}*|{known}+"
-        self.pattern = f"{unit}|(?s:.)"
+        self.pattern = f"{self._unit_pattern()}|(?s:.)"
         surface = [b""] * len(model.pieces)
         for i, kind in enumerate(model.kinds):
             if kind == BYTE:
@@ -142,6 +139,18 @@ class PieceBpe:
         self.surface = np.frombuffer(b"".join(surface), np.uint8)
         self._start()
 
+    def _unit_pattern(self) -> str:
+        """Units as long as they must be: a cut may stand only where no piece reaches across."""
+        bare = [p.lstrip(MARK) for p in self.ids]
+        letters = {c for p in bare for c in p if c.isalpha()}
+        others = {c for p in bare for c in p} - letters - {MARK}
+        known = [f"[{''.join(map(re.escape, sorted(c)))}]" for c in (letters, others) if c]
+        if any(MARK in p for p in bare):
+            return f"(?:{'|'.join([MARK, *known])})+"
+        if any(p.isalpha() != any(c in letters for c in p) for p in bare):
+            known = [f"(?:{'|'.join(known)})"]  # some piece has letters and other characters
+        return "|".join([f"{MARK}*{k}+" for k in known] + [f"{MARK}+"])
+
     def _start(self) -> None:
         self.split = self.automaton = None
         self.units, self.pairs, self.whole = _Units(self), {}, {}
@@ -156,14 +165,16 @@ class PieceBpe:
 
     def merged(self, text: str) -> list[str]:
         """The parts of a short text by merging: best turn first, leftmost among equals."""
-        parts, turn = list(text), self.turn
-        while len(parts) > 1:
-            turns = [turn.get(a + b, -1) for a, b in zip(parts, parts[1:])]
-            possible = [t for t in turns if t >= 0]
-            if not possible:
-                break
-            at = turns.index(min(possible))
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        parts, turn, never = list(text), self.turn.get, len(self.turn)
+        turns = [turn(a + b, never) for a, b in pairwise(parts)]
+        while turns and (best := min(turns)) < never:
+            at = turns.index(best)
+            parts[at] += parts.pop(at + 1)
+            del turns[at]
+            if at:
+                turns[at - 1] = turn(parts[at - 1] + parts[at], never)
+            if at < len(turns):
+                turns[at] = turn(parts[at] + parts[at + 1], never)
         return parts
 
     def _alone(self, token: int) -> bool:
@@ -171,18 +182,19 @@ class PieceBpe:
         known = self.whole[token] = self.merged(piece) == [piece]
         return known
 
-    def _apart(self, key: tuple[int, int]) -> bool:
-        left, right = self.model.pieces[key[0]], self.model.pieces[key[1]]
+    def _apart(self, key: int) -> bool:
+        first, second = divmod(key, len(self.model.pieces))
+        left, right = self.model.pieces[first], self.model.pieces[second]
         if len(self.pairs) >= REMEMBERED_PAIRS:
             self.pairs.clear()
         known = self.pairs[key] = self.merged(left + right) == [left, right]
         return known
 
     def unit(self, text: str) -> bytes:
-        """The ids of one unit as little-endian 32-bit integers."""
+        """The ids of one unit as 32-bit integers."""
         if text not in self.ids and len(text) == 1 and text != MARK:
-            return np.array([self.bytes_at[b] for b in text.encode("utf-8", "surrogatepass")], "<u4").tobytes()
-        whole, pairs = self.whole, self.pairs
+            return array("I", [self.bytes_at[b] for b in text.encode("utf-8", "surrogatepass")]).tobytes()
+        whole, pairs, n = self.whole, self.pairs, len(self.model.pieces)
         last = [0] * (len(text) + 1)  # the last token of each prefix; no normal piece has id 0
         for end, (token, size) in self.automaton.iter(text):
             end += 1
@@ -193,15 +205,16 @@ class PieceBpe:
                 if known or (known is None and self._alone(token)):
                     last[end] = token
             else:
-                key = (last[end - size], token)
+                key = last[end - size] * n + token
                 known = pairs.get(key)
                 if known or (known is None and self._apart(key)):
                     last[end] = token
-        out, at, pieces = [], len(text), self.model.pieces
+        out, at, pieces = array("I"), len(text), self.model.pieces
         while at:
             out.append(last[at])
             at -= len(pieces[last[at]])
-        return np.array(out[::-1], "<u4").tobytes()
+        out.reverse()
+        return out.tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -219,21 +232,27 @@ class PieceBpe:
         out = []
         for text in texts:
             units = self.split(first + text.replace(" ", MARK)) if text else []
-            out.append(np.frombuffer(b"".join(map(known, units)), "<u4"))
+            out.append(np.frombuffer(b"".join(map(known, units)), np.uint32))
         return out
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of some ids: pieces without control pieces, bytes joined, the dummy space dropped."""
+        silent = np.flatnonzero(self.lengths[ids] == 0)
+        if len(silent):  # bytes on two sides of a control piece are not joined
+            spoken = [part[part_at:] for part, part_at in zip(np.split(ids, silent), [0] + [1] * len(silent), strict=True)]
+            spoken = [part for part in spoken if len(part)]
+        else:
+            spoken = [ids] if len(ids) else []
+        text = "".join(map(self._spoken, spoken))
+        drop = self.model.dummy and spoken and self.model.kinds[spoken[0][0]] == NORMAL and text.startswith(" ")
+        return text[1:] if drop else text
+
+    def _spoken(self, ids: np.ndarray) -> str:
         lengths = self.lengths[ids]
         ends = np.cumsum(lengths)
-        if not len(ends) or not ends[-1]:
-            return ""
         at = np.repeat(self.starts[ids] - ends + lengths, lengths)
         at += np.arange(len(at))
         data = self.surface[at].tobytes()
-        first = ids[np.argmax(lengths > 0)]
-        if self.model.dummy and self.model.kinds[first] == NORMAL and data.startswith(b" "):
-            data = data[1:]
         try:
             return data.decode()
         except UnicodeDecodeError:  # byte ids that are no text: each such byte is replaced
@@ -250,18 +269,20 @@ def _register() -> None:
     codecs.register_error(_ONE_BY_ONE, lambda error: ("�", error.start + 1))
 
 
-def encode(documents: DataFrame, model_path: str) -> DataFrame:
+def encode(documents: DataFrame, model_path: str, *, decoded: bool = False) -> DataFrame:
     """Every row with ``ids`` (array of int): the ids of its whole text, without begin or end ids.
 
-    All columns are kept, but one named ids is replaced. Null and empty text have
-    no ids; repeated rows are encoded as often as they come; a text may have any
-    length. The model file is read on the driver and sent along. Without rows the
-    result is empty.
+    All columns are kept, but one named ids (or decoded) is replaced. Null and empty
+    text have no ids; repeated rows are encoded as often as they come; a text may
+    have any length. With ``decoded`` also the text that the ids decode to. The
+    model file is read on the driver and sent along. Without rows the result is
+    empty.
     """
     coder = PieceBpe(Model(model_path))
-    kept = documents.drop("ids")
+    kept = documents.drop("ids", "decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _register()
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             a = 0
@@ -272,11 +293,16 @@ def encode(documents: DataFrame, model_path: str) -> DataFrame:
                 ids = coder.encode(texts[a:b])
                 part = batch.slice(a, b - a)
                 offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-                column = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids).astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*part.columns, column], names=[*part.schema.names, "ids"])
+                columns = [*part.columns, pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids).astype(np.int32)))]
+                names = [*part.schema.names, "ids"]
+                if decoded:
+                    columns.append(pa.array([coder.decode(i) for i in ids], pa.string()))
+                    names.append("decoded")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
                 a = b
 
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType()))] + [T.StructField("decoded", T.StringType())] * decoded
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *added]))
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:

@@ -169,7 +169,7 @@ def op12_piece_bpe(spark: SparkSession, sf_dir: str, model: str | None = None) -
 
     model = model or public_tokenizers.path("piece_bpe_32k.model")
     documents = spread(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return piece_bpe.digests(piece_bpe.decode(piece_bpe.encode(documents, model).drop("text"), model))
+    return piece_bpe.digests(piece_bpe.encode(documents, model, decoded=True))
 
 
 @_query
