@@ -1,90 +1,410 @@
-"""Approximate top-k: vectors grouped into cells, only the nearest cells compared."""
+"""Approximate top-k over a stored inverted file with product-quantised residuals.
+
+``build_cells`` groups the vectors around centres and writes two tables that are
+partitioned by cell: short codes of what is left of a vector after its centre,
+and the vectors themselves. A search reads only the partitions of the cells it
+probes. Codes are scored by adding up entries of look-up tables, made once per
+question; the best of them are scored again on the original vectors, so scores and
+their order are exact among the rows that were looked at.
+
+A cell with many rows lies in several files, each read by its own task. Only the
+centres and code books, whose size depends on the number of cells and
+dimensions, are held by the driver.
+"""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, KMeansModel
+import pyarrow as pa
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .dense import dense_topk
+from ..session import broadcast_if_small, materialize
+from ..sources.tables import swap_table
+from .dense import _checked, _matrix, dense_topk
+from .topk import Best, hit_schema, numpy_values, rank_top, round_scores
 
-#: Rows the cell centres are fitted on; assignment then covers every row.
+#: Rows the cell centres and the code books are fitted on; assignment covers every row.
 FIT_ROWS = 200_000
-#: Questions compared with all centres in one step.
-_DISTANCE_ROWS = 1024
+CODE_ROWS = 50_000
+#: Values of one byte of a code, and rounds of fitting them.
+CODE_VALUES = 256
+CODE_ROUNDS = 12
+#: Rows of one file of a cell.
+FILE_ROWS = 500_000
+#: Vectors compared with all centres, and questions scored together, in one step.
+STEP_ROWS = 1024
+STEP_QUESTIONS = 256
+#: Largest look-up tables (bytes) a task makes for shipped questions.
+SHIP_BYTES = 64 * 1024 * 1024
+#: Questions in one cell of the block form.
+CELL_QUESTIONS = 2_000
+#: Largest number of cells; their ids are held by the driver.
+MOST_CELLS = 65_536
+#: Rows that ask for their neighbours when the number of probes is chosen.
+TUNE_ROWS = 500
+
+
+@dataclass(frozen=True)
+class CellIndex:
+    """Handle of a stored index: centres, code books (sub-vector, value, entries), probes."""
+
+    name: str
+    dim: int
+    centres: np.ndarray
+    books: np.ndarray
+    n_probes: int
+
+    def codes(self, spark: SparkSession) -> DataFrame:
+        """``id, code, cell, part``."""
+        return spark.read.table(f"{self.name}_codes")
+
+    def vectors(self, spark: SparkSession) -> DataFrame:
+        """``id, embedding, cell, part``."""
+        return spark.read.table(f"{self.name}_vectors")
+
+    def probes(self, questions: np.ndarray, n_probes: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each question the cells of the largest inner products, and these products."""
+        products = questions @ self.centres.T
+        cells = np.argsort(-products, axis=1, kind="stable")[:, :n_probes]
+        return cells, np.take_along_axis(products, cells, axis=1)
 
+    def tables(self, questions: np.ndarray) -> np.ndarray:
+        """Inner products of each question's sub-vectors with all values of the code books."""
+        parts = questions.reshape(len(questions), len(self.books), -1)
+        return np.einsum("qmd,mvd->qmv", parts, self.books).astype(np.float32)
 
-def fit_cells(
-    vectors: DataFrame, cells: int, *, vector: str = "embedding", seed: int = 42
-) -> KMeansModel:
+
+def _nearest(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.argmin((centres**2).sum(axis=1) - 2 * (rows @ centres.T), axis=1)
+
+
+def fit_centres(vectors: DataFrame, cells: int, *, vector: str = "embedding", seed: int = 42) -> np.ndarray:
     """Cell centres from a sample of the vectors (the whole table when it is small)."""
     features = vectors.select(array_to_vector(vector).alias("features"))
     total = features.count()
     if total > FIT_ROWS:
         features = features.sample(FIT_ROWS / total, seed)
-    return KMeans(k=cells, seed=seed, maxIter=10, initSteps=2).fit(features)
+    model = KMeans(k=cells, seed=seed, maxIter=10, initSteps=2).fit(features)
+    return np.asarray(model.clusterCenters())
 
 
-def assign_cells(vectors: DataFrame, model: KMeansModel, *, vector: str = "embedding") -> DataFrame:
-    """Add ``cell``; every vector is assigned, none is dropped."""
-    features = vectors.withColumn("features", array_to_vector(vector))
-    return model.setPredictionCol("cell").transform(features).drop("features")
+def _values(rows: np.ndarray, seed: int) -> np.ndarray:
+    """At most ``CODE_VALUES`` centres of some rows, by a bounded number of rounds."""
+    distinct = np.unique(rows, axis=0)
+    if len(distinct) <= CODE_VALUES:
+        return distinct
+    rng = np.random.default_rng(seed)
+    centres = distinct[rng.choice(len(distinct), CODE_VALUES, replace=False)]
+    for _ in range(CODE_ROUNDS):
+        near = np.concatenate([_nearest(rows[a:a + STEP_ROWS], centres) for a in range(0, len(rows), STEP_ROWS)])
+        counts = np.bincount(near, minlength=CODE_VALUES)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, near, rows)
+        centres = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centres)
+    return centres
 
 
-def nearest_cells(
-    questions: DataFrame, model: KMeansModel, n_probes: int, *, vector: str = "embedding"
-) -> DataFrame:
-    """Add ``probes``: the cells whose centres are nearest to each question."""
-    centres = np.asarray(model.clusterCenters())
-    squares = (centres**2).sum(axis=1)
+def fit_books(vectors: DataFrame, centres: np.ndarray, subs: int, *, seed: int = 42) -> np.ndarray:
+    """Code books of the residuals of a bounded sample, one task per sub-vector."""
+    dim = centres.shape[1]
+    total = vectors.count()
+    if total > CODE_ROWS:
+        vectors = vectors.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(CODE_ROWS / total * 1_000_000))
 
-    @F.pandas_udf("array<int>")
-    def probes(vectors: pd.Series) -> pd.Series:
-        found = []
-        for start in range(0, len(vectors), _DISTANCE_ROWS):
-            part = np.stack(vectors.iloc[start:start + _DISTANCE_ROWS]).astype(np.float64)
-            distance = squares - 2 * (part @ centres.T)
-            found += list(np.argsort(distance, axis=1, kind="stable")[:, :n_probes])
-        return pd.Series(found, dtype=object)
+    def residuals(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            rows = _matrix(batch.column(0))
+            for a in range(0, len(rows), STEP_ROWS):
+                part = rows[a:a + STEP_ROWS]
+                left = (part - centres[_nearest(part, centres)]).reshape(len(part) * subs, -1)
+                offsets = np.arange(len(left) + 1, dtype=np.int32) * left.shape[1]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.tile(np.arange(subs, dtype=np.int32), len(part))),
+                        pa.ListArray.from_arrays(offsets, pa.array(left.ravel())),
+                    ],
+                    ["sub", "r"],
+                )
 
-    return questions.withColumn("probes", probes(F.col(vector)))
+    def fitted(group: pd.DataFrame) -> pd.DataFrame:
+        sub = int(group["sub"].iloc[0])
+        rows = np.stack(group["r"])
+        rows = rows[np.lexsort(rows.T)]  # the same sample gives the same values in any order
+        return pd.DataFrame({"sub": sub, "v": list(_values(rows, seed + sub))})
 
+    found = (
+        vectors.select("v").mapInArrow(residuals, "sub int, r array<double>")
+        .groupBy("sub").applyInPandas(fitted, "sub int, v array<double>").collect()
+    )
+    books = np.zeros((subs, CODE_VALUES, dim // subs))
+    for sub in range(subs):
+        mine = [r.v for r in found if r["sub"] == sub]
+        if mine:  # unused values repeat the first one
+            books[sub] = mine[0]
+            books[sub, : len(mine)] = mine
+    return books
 
-def ann_topk(
-    questions: DataFrame,
+
+def _encoded(vectors: DataFrame, centres: np.ndarray, books: np.ndarray) -> DataFrame:
+    """``id, v, cell, code`` of every vector."""
+    subs = len(books)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, STEP_ROWS):
+                batch = whole.slice(at, STEP_ROWS)
+                rows = _matrix(batch.column("v"))
+                cells = _nearest(rows, centres)
+                left = (rows - centres[cells]).reshape(len(rows), subs, -1)
+                codes = np.stack([_nearest(left[:, j], books[j]) for j in range(subs)], axis=1).astype(np.uint8)
+                packed = pa.array([c.tobytes() for c in codes], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), batch.column("v"), pa.array(cells.astype(np.int32)), packed],
+                    ["id", "v", "cell", "code"],
+                )
+
+    kept = [f"{c} {vectors.schema[c].dataType.simpleString()}" for c in ("id", "v")]
+    return vectors.mapInArrow(run, ", ".join([*kept, "cell int", "code binary"]))
+
+
+def _subs(dim: int, wanted: int) -> int:
+    """The largest number of equal sub-vectors that is not above ``wanted``."""
+    return max(s for s in range(1, min(dim, wanted) + 1) if dim % s == 0)
+
+
+def build_cells(
     vectors: DataFrame,
-    k: int,
+    name: str,
     *,
     dim: int,
     cells: int | None = None,
-    n_probes: int = 8,
+    code_bytes: int = 16,
+    n_probes: int | None = None,
+    k: int = 12,
+    recall_target: float = 0.92,
     vector: str = "embedding",
     id_column: str = "id",
-    model: KMeansModel | None = None,
+) -> CellIndex:
+    """Write the index tables of all vectors; ``cells`` defaults to twice the root of their number.
+
+    Null vectors and rows whose ``ok`` column is false are left out; a vector of
+    another dimension is an error. Without ``n_probes`` the smallest number is taken
+    with which ``TUNE_ROWS`` of the rows, asking for their ``k`` nearest, find the
+    ``recall_target`` of them in the probed cells.
+    """
+    spark = vectors.sparkSession
+    if "ok" in vectors.columns:
+        vectors = vectors.where("ok")
+    rows = vectors.where(F.col(vector).isNotNull()).select(F.col(id_column).alias("id"), _checked(vector, dim).alias("v"))
+    total = rows.count()
+    cells = min(MOST_CELLS, max(1, total), cells or max(1, round(2 * math.sqrt(total))))
+    centres = fit_centres(rows, cells, vector="v") if total else np.zeros((1, dim))
+    books = fit_books(rows, centres, _subs(dim, code_bytes))
+    encoded = materialize(_encoded(rows, centres, books), "cells")
+    sizes = encoded.groupBy("cell").agg(F.count("*").alias("n"))  # at most one row per cell
+    files = F.ceil(F.col("n") / FILE_ROWS).cast("int")
+    parted = encoded.join(F.broadcast(sizes), "cell").withColumn("part", F.pmod(F.xxhash64("id"), files).cast("int"))
+    dealt = parted.repartition("cell", "part")
+    swap_table(dealt.select("id", "code", "part", "cell"), f"{name}_codes", partition_by=["cell"])
+    swap_table(dealt.select("id", F.col("v").alias("embedding"), "part", "cell"), f"{name}_vectors", partition_by=["cell"])
+    index = CellIndex(name, dim, centres, books, n_probes or len(centres))
+    if n_probes is None and total:
+        index = CellIndex(name, dim, centres, books, choose_probes(spark, index, k, recall_target))
+    _save(spark, index)
+    return index
+
+
+def _save(spark: SparkSession, index: CellIndex) -> None:
+    rows = [("centre", i, 0, c.tolist()) for i, c in enumerate(index.centres)]
+    rows += [("book", j, i, v.tolist()) for j, book in enumerate(index.books) for i, v in enumerate(book)]
+    rows.append(("probes", index.n_probes, index.dim, []))
+    swap_table(spark.createDataFrame(rows, "kind string, a int, b int, v array<double>").coalesce(1), f"{index.name}_model")
+
+
+def open_cells(spark: SparkSession, name: str) -> CellIndex:
+    """The handle of an index that was built before."""
+    rows = spark.read.table(f"{name}_model").orderBy("kind", "a", "b").collect()
+    centres = np.array([r.v for r in rows if r.kind == "centre"])
+    subs = 1 + max(r.a for r in rows if r.kind == "book")
+    books = np.array([r.v for r in rows if r.kind == "book"]).reshape(subs, CODE_VALUES, -1)
+    (probes,) = [r for r in rows if r.kind == "probes"]
+    return CellIndex(name, probes.b, centres, books, probes.a)
+
+
+def choose_probes(spark: SparkSession, index: CellIndex, k: int, target: float) -> int:
+    """The fewest probes that reach ``target`` for a bounded sample of the index's own rows.
+
+    Their true neighbours are found by one exact scan; each neighbour then needs as
+    many probes as the place of its cell in the asking row's order of cells.
+    """
+    vectors = index.vectors(spark)
+    total = vectors.count()
+    share = int(min(1.0, TUNE_ROWS / total) * 1_000_000)
+    asked = vectors.where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1_000_000)) < share)
+    asked = asked.select(F.col("id").alias("qid"), "embedding").limit(2 * TUNE_ROWS)
+    near = dense_topk(asked, vectors, k, dim=index.dim)
+    ids = broadcast_if_small(near.select("id").distinct())
+    cells = {r.id: r.cell for r in vectors.join(ids, "id", "left_semi").select("id", "cell").collect()}
+    questions = asked.toArrow()
+    if not questions.num_rows:
+        return len(index.centres)
+    order, _ = index.probes(_matrix(questions.column("embedding")), len(index.centres))
+    places = {q: np.argsort(o) for q, o in zip(numpy_values(questions.column("qid")).tolist(), order, strict=True)}
+    needed = np.sort([places[r.qid][cells[r.id]] + 1 for r in near.select("qid", "id").collect()])
+    return int(needed[max(0, math.ceil(target * len(needed)) - 1)])
+
+
+def _approximate(
+    index: CellIndex, k: int, qids: np.ndarray, matrix: np.ndarray, cells: np.ndarray, base: np.ndarray
+):
+    """A scorer that offers batches of codes to the questions that probe their cells."""
+    held = Best(qids, k)
+    asking = [np.zeros(0, np.int64)] * len(index.centres)
+    order = np.argsort(cells, axis=None, kind="stable")
+    found, starts = np.unique(cells.ravel()[order], return_index=True)
+    for cell, members in zip(found, np.split(order, starts[1:]), strict=True):
+        asking[cell] = members  # flat places in ``cells``
+    flat_base, width = base.ravel(), cells.shape[1]
+    made = index.tables(matrix)
+
+    def offer(cell_column: np.ndarray, ids: np.ndarray, codes: np.ndarray) -> None:
+        for cell in np.unique(cell_column):
+            mine = cell_column == cell
+            chosen, here = codes[mine], ids[mine]
+            for low in range(0, len(asking[cell]), STEP_QUESTIONS):
+                flat = asking[cell][low:low + STEP_QUESTIONS]
+                rows = flat // width
+                scores = np.repeat(flat_base[flat, None], len(chosen), axis=1)
+                for j in range(len(index.books)):
+                    scores += made[rows, j][:, chosen[:, j]]
+                for q, row in zip(rows, scores, strict=True):
+                    held.offer(q, here, row)
+
+    return held, offer
+
+
+def _code_matrix(column: pa.Array, subs: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), subs)
+
+
+def search_cells(
+    questions: DataFrame,
+    index: CellIndex,
+    k: int,
+    *,
+    n_probes: int | None = None,
+    rerank: int = 8,
+    vector: str = "embedding",
 ) -> DataFrame:
-    """``qid, id, score, rank`` over the nearest cells only.
+    """``qid, id, score, rank``: the k best rows found in each question's nearest cells.
 
-    Vectors stay where they lie, so a cell that holds a large share of all rows
-    is spread over as many tasks as its rows are.
+    The ``rerank * k`` rows with the best codes are scored on their vectors; scores
+    are inner products rounded to six decimals and ties go to the smaller id.
+    Questions with a null vector have no hits; a vector of another dimension is an
+    error. A batch of questions whose look-up tables are too large for a task meets
+    the codes cell by cell in a join instead, with the same rows.
     """
-    if model is None:
-        cells = cells or max(1, min(1024, round(math.sqrt(vectors.count()))))
-        model = fit_cells(vectors, cells, vector=vector)
-    return dense_topk(
-        nearest_cells(questions, model, n_probes, vector=vector),
-        assign_cells(vectors, model, vector=vector),
-        k,
-        dim=dim,
-        vector=vector,
-        id_column=id_column,
-        probes="probes",
-        cell="cell",
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    spark = questions.sparkSession
+    n = min(n_probes or index.n_probes, len(index.centres))
+    q = questions.where(F.col(vector).isNotNull()).select("qid", _checked(vector, index.dim).alias("v"))
+    limit = max(1, SHIP_BYTES // (4 * len(index.books) * CODE_VALUES))
+    codes = index.codes(spark)
+    if q.limit(limit + 1).count() <= limit:
+        near, probed = _shipped(q, codes, index, n, rerank * k)
+    else:
+        near, probed = _met(q, codes, index, n, rerank * k)
+    best = rank_top(near, rerank * k).select("qid", "id")
+    vectors = index.vectors(spark).where(F.col("cell").isin(probed)).select("id", F.col("embedding").alias("w"))
+    wanted = materialize(best.join(q, "qid"), "candidates")
+    pairs = vectors.join(broadcast_if_small(wanted), "id")
+
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                products = np.einsum("ij,ij->i", _matrix(batch.column("v")), _matrix(batch.column("w")))
+                scores = pa.array(round_scores(products))
+                yield pa.RecordBatch.from_arrays([batch.column("qid"), batch.column("id"), scores], ["qid", "id", "score"])
+
+    scored = pairs.select("qid", "id", "v", "w").mapInArrow(exact, hit_schema(q, vectors))
+    return rank_top(scored, k)
+
+
+def _shipped(q: DataFrame, codes: DataFrame, index: CellIndex, n: int, k: int) -> tuple[DataFrame, list[int]]:
+    """Questions travel with the tasks; only partitions of probed cells are read."""
+    asked = q.toArrow()
+    qids, qid_type = numpy_values(asked.column("qid")), asked.schema.field("qid").type
+    matrix = _matrix(asked.column("v")) if len(qids) else np.zeros((0, index.dim))
+    cells, base = index.probes(matrix, n)
+    probed = [int(c) for c in np.unique(cells)]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        held, offer = _approximate(index, k, qids, matrix, cells, base)
+        id_type = None
+        for batch in batches:
+            id_type = batch.schema.field("id").type
+            if batch.num_rows:
+                found = _code_matrix(batch.column("code"), len(index.books))
+                offer(numpy_values(batch.column("cell")), numpy_values(batch.column("id")), found)
+        if id_type is not None:
+            yield held.batch(qid_type, id_type)
+
+    read = codes.where(F.col("cell").isin(probed)).select("id", "code", "cell")
+    return read.mapInArrow(scan, hit_schema(q, codes)), probed
+
+
+def _met(q: DataFrame, codes: DataFrame, index: CellIndex, n: int, k: int) -> tuple[DataFrame, list[int]]:
+    """Blocks of questions meet the files of the cells they probe; both sides are bounded."""
+
+    @F.pandas_udf("array<int>")
+    def nearest(vectors: pd.Series) -> pd.Series:
+        steps = range(0, len(vectors), STEP_ROWS)
+        found = [index.probes(np.stack(vectors.iloc[a:a + STEP_ROWS]).astype(float), n)[0] for a in steps]
+        return pd.Series([row for part in found for row in part.astype(np.int32)], dtype=object)
+
+    blocks = math.ceil(q.count() / CELL_QUESTIONS)
+    probing = materialize(
+        q.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int")).withColumn("cell", F.explode(nearest("v"))),
+        "probes",
     )
+    probed = sorted(r.cell for r in probing.select("cell").distinct().collect())  # at most MOST_CELLS
+    read = codes.where(F.col("cell").isin(probed))
+    files = broadcast_if_small(read.select("cell", "part").distinct())
+    blocks_of = broadcast_if_small(probing.select("cell", "qb").distinct())
+    # both sides descend from the same frames, so their columns get names of their own
+    left = probing.join(files, "cell").toDF("cell", "qid", "v", "qb", "part")
+    right = read.select("cell", "id", "code", "part").join(blocks_of, "cell").toDF("cell", "id", "code", "part", "qb")
+
+    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
+        types = a.schema.field("qid").type, b.schema.field("id").type
+        matrix = _matrix(a.column("v")) if a.num_rows else np.zeros((0, index.dim))
+        cell = numpy_values(a.column("cell")).astype(np.int64)
+        base = np.einsum("ij,ij->i", matrix, index.centres[cell])[:, None]
+        held, offer = _approximate(index, k, numpy_values(a.column("qid")), matrix, cell[:, None], base)
+        if a.num_rows and b.num_rows:
+            found = _code_matrix(b.column("code").combine_chunks(), len(index.books))
+            offer(numpy_values(b.column("cell")), numpy_values(b.column("id")), found)
+        return pa.Table.from_batches([held.batch(*types)])
+
+    keys = "cell", "part", "qb"
+    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, hit_schema(q, codes))
+    return near, probed
+
+
+def ann_topk(questions: DataFrame, vectors: DataFrame, k: int, *, n_probes: int | None = None, **build) -> DataFrame:
+    """Build an index of ``vectors`` under a name of its own and search it once."""
+    index = build_cells(vectors, f"cells_{uuid4().hex}", n_probes=n_probes, k=k, **build)
+    return search_cells(questions, index, k)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

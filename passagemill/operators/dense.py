@@ -32,18 +32,12 @@ def _score(
     questions: np.ndarray,
     ids: np.ndarray,
     vectors: np.ndarray,
-    cells: np.ndarray | None,
-    probes: list[np.ndarray] | None,
 ) -> None:
     """Offer one batch of vectors to all questions."""
     for low in range(0, len(questions), QUESTION_BLOCK):
         scores = round_scores(questions[low:low + QUESTION_BLOCK] @ vectors.T)
         for i, row in enumerate(scores):
-            if probes is None:
-                best.offer(low + i, ids, row)
-            else:
-                near = np.isin(cells, probes[low + i])
-                best.offer(low + i, ids[near], row[near])
+            best.offer(low + i, ids, row)
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -71,29 +65,21 @@ def dense_topk(
     dim: int,
     vector: str = "embedding",
     id_column: str = "id",
-    probes: str | None = None,
-    cell: str | None = None,
 ) -> DataFrame:
     """``qid, id, score, rank``: the k best vectors of every question.
 
     Scores are rounded to six decimals and ties go to the smaller id. Null
     vectors and rows whose ``ok`` column is false are skipped; a vector of
-    another dimension is an error. With ``probes`` (an array column of the
-    questions) and ``cell`` (a column of the vectors) only vectors whose cell is
-    among the question's probes are compared.
+    another dimension is an error.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     if "ok" in vectors.columns:
         vectors = vectors.where("ok")
     v = vectors.where(F.col(vector).isNotNull()).select(
-        F.col(id_column).alias("id"),
-        _checked(vector, dim).alias("v"),
-        *([F.col(cell).alias("cell")] if cell else []),
-    )
-    q = questions.where(F.col(vector).isNotNull()).select(
-        "qid", _checked(vector, dim).alias("v"), *([F.col(probes).alias("probes")] if probes else [])
+        F.col(id_column).alias("id"), _checked(vector, dim).alias("v")
     )
+    q = questions.where(F.col(vector).isNotNull()).select("qid", _checked(vector, dim).alias("v"))
     limit = min(SHIP_ROWS, SHIP_BYTES // (8 * dim))
     count = q.limit(limit + 1).count()
     if count <= limit:
@@ -103,18 +89,11 @@ def dense_topk(
     return rank_top(partial, k)
 
 
-def _probe_lists(table: pa.Table) -> list[np.ndarray] | None:
-    if "probes" not in table.column_names:
-        return None
-    return [np.asarray(p) for p in table.column("probes").to_pylist()]
-
-
 def _scan(questions: DataFrame, v: DataFrame, k: int) -> DataFrame:
     """Map-side partial top-k; the question matrix travels with the task."""
     q = questions.toArrow()
     qids = numpy_values(q.column("qid"))
     matrix = _matrix(q.column("v")) if len(qids) else np.zeros((0, 1))
-    probes = _probe_lists(q)
     qid_type = q.schema.field("qid").type
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -122,9 +101,7 @@ def _scan(questions: DataFrame, v: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             id_type = batch.schema.field("id").type
             if len(qids) and batch.num_rows:
-                cells = numpy_values(batch.column("cell")) if probes is not None else None
-                ids = numpy_values(batch.column("id"))
-                _score(held, matrix, ids, _matrix(batch.column("v")), cells, probes)
+                _score(held, matrix, numpy_values(batch.column("id")), _matrix(batch.column("v")))
         if id_type is not None:
             yield held.batch(qid_type, id_type)
 
@@ -149,10 +126,7 @@ def _cells(q: DataFrame, v: DataFrame, k: int, n_questions: int) -> DataFrame:
     def meet(a: pa.Table, b: pa.Table) -> pa.Table:
         held = Best(numpy_values(a.column("qid")), k)
         if a.num_rows and b.num_rows:
-            probes = _probe_lists(a)
-            cells_of = numpy_values(b.column("cell")) if probes is not None else None
-            ids = numpy_values(b.column("id"))
-            _score(held, _matrix(a.column("v")), ids, _matrix(b.column("v")), cells_of, probes)
+            _score(held, _matrix(a.column("v")), numpy_values(b.column("id")), _matrix(b.column("v")))
         types = a.schema.field("qid").type, b.schema.field("id").type
         return pa.Table.from_batches([held.batch(*types)])
 

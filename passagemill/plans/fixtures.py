@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import detected_type
+from ..operators.ann import CellIndex, build_cells
 from ..operators.index import Index, build_index
 from ..operators.windows import char_windows
 from ..session import materialize, spread
@@ -49,6 +50,7 @@ def passages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _built: dict[tuple[str, str, str], tuple[Index, DataFrame]] = {}
+_cells: dict[tuple[str, str], CellIndex] = {}
 
 
 def passage_index(spark: SparkSession, sf: str) -> tuple[Index, DataFrame]:
@@ -62,6 +64,15 @@ def passage_index(spark: SparkSession, sf: str) -> tuple[Index, DataFrame]:
     return _built[key]
 
 
+def cell_index(spark: SparkSession, sf: str, k: int = 12) -> CellIndex:
+    """The inverted file over all given vectors, built on first use in a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _cells:
+        vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+        _cells[key] = build_cells(vectors, f"cells_{uuid4().hex}", dim=64, k=k)
+    return _cells[key]
+
+
 def versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Two versions of the documents: some rows gone, some new, some changed."""
     docs = table(spark, sf, "documents")

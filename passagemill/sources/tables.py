@@ -85,8 +85,8 @@ def _location(spark: SparkSession, name: str) -> str:
     return described.where(F.col("col_name") == "Location").head()["data_type"]
 
 
-def swap_table(df: DataFrame, name: str) -> None:
-    """Make ``df`` the table's content.
+def swap_table(df: DataFrame, name: str, *, partition_by: list[str] | None = None) -> None:
+    """Make ``df`` the table's content; ``partition_by`` names columns with a folder per value.
 
     Rows go to a fresh folder and the table is then pointed there, so ``df`` may
     read the table itself and readers see the old or the new state. The last
@@ -95,7 +95,8 @@ def swap_table(df: DataFrame, name: str) -> None:
     """
     spark = df.sparkSession
     fresh = f"{name}__{uuid.uuid4().hex}"
-    df.write.option("path", table_path(spark, name)).saveAsTable(fresh)
+    writer = df.write.option("path", table_path(spark, name))
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(fresh)
     if spark.catalog.tableExists(name):
         replaced = _location(spark, name)
         spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(_location(spark, fresh))}")
