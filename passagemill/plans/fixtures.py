@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import detected_type
 from ..operators.ann import CellIndex, build_cells
 from ..operators.index import Index, build_index
+from ..operators.postings import Postings, build_postings
 from ..operators.windows import char_windows
 from ..session import materialize, spread
 
@@ -50,6 +51,7 @@ def passages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _built: dict[tuple[str, str, str], tuple[Index, DataFrame]] = {}
+_postings: dict[tuple[str, str], Postings] = {}
 _cells: dict[tuple[str, str], CellIndex] = {}
 
 
@@ -64,6 +66,15 @@ def passage_index(spark: SparkSession, sf: str) -> tuple[Index, DataFrame]:
     return _built[key]
 
 
+def passage_postings(spark: SparkSession, sf: str) -> Postings:
+    """Postings of the passage index, built on first use in a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _postings:
+        index, _ = passage_index(spark, sf)
+        _postings[key] = build_postings(index.postings(spark), f"postings_{uuid4().hex}")
+    return _postings[key]
+
+
 def cell_index(spark: SparkSession, sf: str, k: int = 12) -> CellIndex:
     """The inverted file over all given vectors, built on first use in a session."""
     key = (spark.sparkContext.applicationId, sf)

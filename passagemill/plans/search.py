@@ -9,6 +9,7 @@ from ..operators.ann import search_cells
 from ..operators.dense import dense_topk
 from ..operators.fusion import reciprocal_rank_fusion, take_top
 from ..operators.keyword import bm25_topk, forward_index
+from ..operators.postings import postings_topk
 from ..operators.rerank import detect_types, rerank_passages, tag_route, union_routes
 from ..operators.retrievers import (
     dense_retriever,
@@ -94,6 +95,11 @@ def keyword_indexed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def keyword_postings(spark: SparkSession, sf: str) -> DataFrame:
+    """The same ranking from stored postings: only blocks of asked terms are read."""
+    return postings_topk(X.questions(spark, sf), X.passage_postings(spark, sf), K_HYBRID)
+
+
 def fusion(spark: SparkSession, sf: str) -> DataFrame:
     index, _ = X.passage_index(spark, sf)
     asked = X.questions(spark, sf).drop("k_override")
@@ -210,6 +216,7 @@ QUERIES = {
     "table_topk": tables,
     "bm25_topk": keyword,
     "bm25_indexed": keyword_indexed,
+    "bm25_postings": keyword_postings,
     "rrf_fusion": fusion,
     "rrf_two_lists": two_lists,
     "hybrid_topk": hybrid,
@@ -278,6 +285,8 @@ found AS (SELECT n.qid, n.rank, n.id, content, content_type, question
 {reranked_sql('picked', 'found', top)}"""
 
 
+_BM25_PASSAGES = f"""WITH {X.PASSAGES_SQL}, {X.BM25_SQL}, {X.ranked_sql('top', 'bm25', K_HYBRID)}
+SELECT qid, id, score, rank FROM top"""
 _WEIGHTED = "CASE WHEN content_type = 'table' THEN {t}::DOUBLE ELSE {n}::DOUBLE END AS weight"
 
 ORACLES = {
@@ -288,8 +297,8 @@ ORACLES = {
     "bm25_topk": f"""WITH passages AS (SELECT doc_id AS id, text AS content FROM documents),
 questions AS (SELECT item_id AS qid, text AS question FROM benchmark),
 {X.BM25_SQL}, {X.ranked_sql('top', 'bm25', TOP)} SELECT qid, id, score, rank FROM top""",
-    "bm25_indexed": f"""WITH {X.PASSAGES_SQL}, {X.BM25_SQL}, {X.ranked_sql('top', 'bm25', K_HYBRID)}
-SELECT qid, id, score, rank FROM top""",
+    "bm25_indexed": _BM25_PASSAGES,
+    "bm25_postings": _BM25_PASSAGES,
     "rrf_fusion": f"WITH {X.hybrid_sql(K_HYBRID)} SELECT qid, id, score, rank FROM fused_top",
     "rrf_two_lists": f"""WITH {_V}, {_nearest_sql('a', K_DENSE, 'narrative')}, {_nearest_sql('b', K_DENSE)},
 fused AS (SELECT qid, id, round(sum(part), 6)::DOUBLE AS score FROM (
