@@ -93,8 +93,8 @@ def _indexed_columns(rows: DataFrame, text: str, vector: str | None) -> list[str
     return [text, *([vector] if vector else []), *kept]
 
 
-def _entries(
-    rows: DataFrame, index: Index, text: str, vector: str | None, embed: Embedder | None
+def index_entries(
+    rows: DataFrame, index: Index, text: str = "content", vector: str | None = None, embed: Embedder | None = None
 ) -> DataFrame:
     """``id, fp, embedding, ok, dl, terms`` and the kept columns of each row.
 
@@ -141,7 +141,7 @@ def build_index(
     spark = rows.sparkSession
     if not force_rebuild:
         return index.exists(spark)
-    swap_table(_entries(rows, index, text, vector, embed), f"{index.name}_entries")
+    swap_table(index_entries(rows, index, text, vector, embed), f"{index.name}_entries")
     swap_table(document_frequencies(index.postings(spark)), f"{index.name}_terms")
     return True
 
@@ -177,7 +177,7 @@ def sync_index(
         return counts.asDict()
     changed = broadcast_if_small(changes.where(~F.col("gone")).select("id"))
     fresh = materialize(
-        _entries(rows.join(changed, "id", "left_semi"), index, text, vector, embed), "entries"
+        index_entries(rows.join(changed, "id", "left_semi"), index, text, vector, embed), "entries"
     )
     touched = broadcast_if_small(changes.select("id"))
     removed = document_frequencies(index.postings(spark).join(touched, "id", "left_semi"))

@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.index import Index, build_index, create_or_sync_index, sync_index
+from ..operators.keyed import create_keyed, upsert_keyed
 from ..operators.mutation import append_rows, change_feed, upsert, upsert_rows
+from ..operators.windows import char_windows
 from ..session import work_path
 from ..sources.tables import append_table, create_table
+from ..streaming.chain import open_chain, refresh_chain
 from ..streaming.refresh import refresh
 from . import fixtures as X
 
@@ -140,7 +143,57 @@ def stream_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.table(name)
 
 
+def upserted_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """The upsert through a table of key buckets, of which only touched ones are rewritten."""
+    old, new = X.versions(spark, sf)
+    columns = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    table = create_keyed(spark, f"keyed_{uuid4().hex}", columns, KEY, 16)
+    upsert_keyed(table, old)
+    upsert_keyed(table, new)
+    return table.read(spark)
+
+
+def failed_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """A source that brings some keys twice cannot be merged; all its rows are appended."""
+    old, new = X.versions(spark, sf)
+    name = f"docs_{uuid4().hex}"
+    append_table(old, name)
+    count = upsert(spark, name, new.unionByName(new.where("source = 'src3'")), KEY, on_error="append")
+    rows = spark.read.table(name).groupBy("doc_id").agg(F.count("*").alias("n_rows"))
+    return rows.withColumn("n_source", F.lit(count).cast("bigint"))
+
+
+def stream_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """Files through elements, chunks, embedding and index: two drops, the second one delivered twice."""
+    old, new = X.versions(spark, sf)
+    drop, checkpoint = work_path(spark, "drop"), work_path(spark, "chain")
+    chain = open_chain(spark, f"chain_{uuid4().hex}", X.DIM, buckets=16)
+    for version in (old, new, new):
+        version.write.mode("append").parquet(drop)
+        refresh_chain(spark, chain, drop, version.schema, checkpoint, order="n_chars")
+    chunks = chain.chunks.read(spark).select("id", "doc_id", "chunk_no", "chunk_header", "content", "content_type")
+    return chunks.join(_index_rows(spark, chain.index), "id")
+
+
+def stream_chain_terms(spark: SparkSession, sf: str) -> DataFrame:
+    """Term counts of the maintained index after the same drops, in small batches."""
+    old, new = X.versions(spark, sf)
+    drop, checkpoint = work_path(spark, "drop"), work_path(spark, "chain")
+    chain = open_chain(spark, f"chain_{uuid4().hex}", X.DIM, buckets=16)
+    for version in (old, new, new):
+        version.write.mode("append").parquet(drop)
+        refresh_chain(
+            spark, chain, drop, version.schema, checkpoint, order="n_chars", files_per_batch=4,
+            chunker=lambda docs: char_windows(docs).select("doc_id", "chunk_no", F.col("text").alias("content")),
+        )
+    return chain.terms.read(spark).where("df > 0").select("term", "df")
+
+
 QUERIES = {
+    "upsert_partitions": upserted_partitions,
+    "upsert_failed_append": failed_upsert,
+    "stream_chain": stream_chain,
+    "stream_chain_terms": stream_chain_terms,
     "upsert": upserted,
     "upsert_table": upserted_table,
     "upsert_append_fallback": appended,
@@ -167,6 +220,24 @@ _CHANGED = "a.text IS DISTINCT FROM b.text"
 
 ORACLES = {
     "upsert": f"WITH {_UP} SELECT * FROM up",
+    "upsert_partitions": f"WITH {_UP} SELECT * FROM up",
+    "upsert_failed_append": f"""WITH {_V}, source AS (SELECT doc_id FROM v2 UNION ALL SELECT doc_id FROM v2 WHERE doc_id IN
+    (SELECT doc_id FROM documents WHERE source = 'src3'))
+SELECT doc_id, count(*) AS n_rows, (SELECT count(*) FROM source) AS n_source
+FROM (SELECT doc_id FROM v1 UNION ALL SELECT doc_id FROM source) GROUP BY doc_id""",
+    "stream_chain": f"""WITH {_UP}, documents AS (SELECT * FROM up), {X.LINES_SQL},
+{X.scopes_sql('e1')},
+c AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS chunk_no,
+    coalesce(array_to_string(headings, ', '), '') AS chunk_header,
+    coalesce(array_to_string(headings, chr(10)) || chr(10), '') || text AS content FROM hier),
+w AS (SELECT *, {X.tokens_sql('content')} AS t FROM c)
+SELECT doc_id * {X.ID_STRIDE} + chunk_no AS id, doc_id, chunk_no, chunk_header, content,
+  CASE WHEN {X.table_like_sql('content')} THEN 'table' ELSE 'narrative' END AS content_type,
+  len(t)::BIGINT AS dl, len(list_distinct(t))::INTEGER AS n_terms,
+  CASE WHEN len(t) > 0 THEN 1.0::DOUBLE ELSE 0 END AS weight, len(t) > 0 AS ok FROM w""",
+    "stream_chain_terms": f"""WITH {_UP}, documents AS (SELECT * FROM up), {X.PASSAGES_SQL}
+SELECT term, count(*) AS df FROM (SELECT DISTINCT id, unnest({X.tokens_sql('content')}) AS term FROM passages)
+GROUP BY term""",
     "upsert_table": f"""WITH {_UP} SELECT count(*) AS n_rows, count(*) FILTER (text LIKE '%!') AS n_marked,
   sum(n_chars)::BIGINT AS n_chars, (SELECT count(*) FROM v2) AS n_source FROM up""",
     "upsert_append_fallback": f"""WITH {_V} SELECT doc_id, count(*) AS n_rows
