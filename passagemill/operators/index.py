@@ -18,6 +18,7 @@ from ..functions.text import tokens
 from ..functions.vectors import has_dimension, hash_embedding
 from ..session import broadcast_if_small, materialize
 from ..sources.tables import swap_table
+from .digests import differing_leaves, digest_tree, in_leaves, tree_leaves
 from .keyword import document_frequencies, index_columns
 
 Embedder = Callable[[Column], Column]
@@ -76,6 +77,15 @@ class Index:
     def terms(self, spark: SparkSession) -> DataFrame:
         return spark.read.table(f"{self.name}_terms")
 
+    def tree(self, spark: SparkSession) -> DataFrame:
+        """Digest tree of the entries' ids and fingerprints; made anew where it is not stored."""
+        name = f"{self.name}_tree"
+        if spark.catalog.tableExists(name):
+            return spark.read.table(name)
+        tree = digest_tree(self.entries(spark).select("id", "fp"), ["id"])
+        swap_table(tree.coalesce(1), name)
+        return spark.read.table(name)
+
     def exists(self, spark: SparkSession) -> bool:
         return all(
             spark.catalog.tableExists(f"{self.name}_{part}") for part in ("entries", "terms")
@@ -141,6 +151,7 @@ def build_index(
     spark = rows.sparkSession
     if not force_rebuild:
         return index.exists(spark)
+    spark.sql(f"DROP TABLE IF EXISTS {index.name}_tree")
     swap_table(index_entries(rows, index, text, vector, embed), f"{index.name}_entries")
     swap_table(document_frequencies(index.postings(spark)), f"{index.name}_terms")
     return True
@@ -156,13 +167,22 @@ def sync_index(
 ) -> dict[str, int]:
     """Bring an index up to date with its source; returns counts of changes.
 
-    Source and index are compared by id and digest. Only new and changed rows
-    are embedded and tokenised again; the result equals a rebuild.
+    Source and index are compared by the trees of their ids and digests; rows are
+    joined in differing leaves only, so an unchanged source costs one pass over it.
+    Only new and changed rows are embedded and tokenised again; the result equals a
+    rebuild.
     """
     spark = rows.sparkSession
     inputs = _indexed_columns(rows, text, vector)
-    source = rows.select("id", _fingerprint(inputs).alias("fp"))
-    held = index.vectors(spark).select("id", F.col("fp").alias("old"))
+    prints = rows.select("id", _fingerprint(inputs).alias("fp"))
+    kept = index.tree(spark)
+    leaves = 1 if kept.isEmpty() else tree_leaves(kept)
+    tree = digest_tree(prints, ["id"], leaves=leaves)
+    nodes = differing_leaves(kept, tree)
+    if nodes.isEmpty():
+        return {"inserted": 0, "deleted": 0, "updated": 0}
+    source = in_leaves(prints, ["id"], nodes, leaves)
+    held = in_leaves(index.vectors(spark).select("id", F.col("fp").alias("old")), ["id"], nodes, leaves)
     state = source.join(held, "id", "full_outer").where(~F.col("fp").eqNullSafe(F.col("old")))
     changes = materialize(
         state.select("id", F.col("fp").isNull().alias("gone"), F.col("old").isNull().alias("new")),
@@ -189,10 +209,13 @@ def sync_index(
         .agg(F.sum("df").alias("df"))
         .where(F.col("df") > 0)
     )
+    # A tree must never be older than the entries: it is dropped before they change.
+    spark.sql(f"DROP TABLE IF EXISTS {index.name}_tree")
     # Terms first: their removals are counted from the entries still in place.
     swap_table(terms, f"{index.name}_terms")
     kept = index.entries(spark).join(touched, "id", "left_anti")
     swap_table(kept.unionByName(fresh), f"{index.name}_entries")
+    swap_table(tree.coalesce(1), f"{index.name}_tree")
     return counts.asDict()
 
 

@@ -7,6 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.digests import change_feed_by_tree
 from ..operators.index import Index, build_index, create_or_sync_index, sync_index
 from ..operators.keyed import create_keyed, upsert_keyed
 from ..operators.mutation import append_rows, change_feed, upsert, upsert_rows
@@ -49,6 +50,12 @@ def feed(spark: SparkSession, sf: str) -> DataFrame:
     return change_feed(old, new, KEY)
 
 
+def feed_by_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """The same changes, rows being joined in differing key ranges only."""
+    old, new = X.versions(spark, sf)
+    return change_feed_by_tree(old, new, KEY)
+
+
 def _docs_index(spark: SparkSession) -> Index:
     return Index(f"docs_{uuid4().hex}", X.DIM)
 
@@ -198,6 +205,7 @@ QUERIES = {
     "upsert_table": upserted_table,
     "upsert_append_fallback": appended,
     "change_feed": feed,
+    "change_feed_tree": feed_by_tree,
     "index_rebuild": index_rebuild,
     "index_terms": index_terms,
     "stored_vector_index": stored_vector_index,
@@ -217,6 +225,11 @@ SELECT id, len(t)::BIGINT AS dl, len(list_distinct(t))::INTEGER AS n_terms,
 
 
 _CHANGED = "a.text IS DISTINCT FROM b.text"
+_FEED = f"""WITH {_V}
+SELECT 'insert' AS _change_type, * FROM v2 WHERE doc_id NOT IN (SELECT doc_id FROM v1)
+UNION ALL SELECT 'delete', * FROM v1 WHERE doc_id NOT IN (SELECT doc_id FROM v2)
+UNION ALL SELECT 'update_preimage', a.* FROM v1 a JOIN v2 b USING (doc_id) WHERE {_CHANGED}
+UNION ALL SELECT 'update_postimage', b.* FROM v1 a JOIN v2 b USING (doc_id) WHERE {_CHANGED}"""
 
 ORACLES = {
     "upsert": f"WITH {_UP} SELECT * FROM up",
@@ -242,11 +255,8 @@ GROUP BY term""",
   sum(n_chars)::BIGINT AS n_chars, (SELECT count(*) FROM v2) AS n_source FROM up""",
     "upsert_append_fallback": f"""WITH {_V} SELECT doc_id, count(*) AS n_rows
 FROM (SELECT doc_id FROM v1 UNION ALL SELECT doc_id FROM v2) GROUP BY doc_id""",
-    "change_feed": f"""WITH {_V}
-SELECT 'insert' AS _change_type, * FROM v2 WHERE doc_id NOT IN (SELECT doc_id FROM v1)
-UNION ALL SELECT 'delete', * FROM v1 WHERE doc_id NOT IN (SELECT doc_id FROM v2)
-UNION ALL SELECT 'update_preimage', a.* FROM v1 a JOIN v2 b USING (doc_id) WHERE {_CHANGED}
-UNION ALL SELECT 'update_postimage', b.* FROM v1 a JOIN v2 b USING (doc_id) WHERE {_CHANGED}""",
+    "change_feed": _FEED,
+    "change_feed_tree": _FEED,
     "index_rebuild": f"WITH {_entries_sql('documents')} FROM w",
     "index_terms": f"""WITH {X.PASSAGES_SQL}
 SELECT term, count(*) AS df FROM (SELECT DISTINCT id, unnest({X.tokens_sql('content')}) AS term FROM passages)
