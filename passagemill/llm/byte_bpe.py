@@ -5,14 +5,14 @@ maps its hash to one of exactly as many places as the vocabulary has entries, an
 the entry stored there is compared. Any other pre-token is merged: its bytes form
 a linked list, the ranks of neighbouring pairs wait in a heap, and the lowest
 (leftmost among equals) is joined until no pair is in the vocabulary. Pre-tokens
-are looked up once per slice of text, and merges are remembered in a table of
-bounded size. The ranks file is read on the driver and sent along.
+and their ids are remembered in a table of bounded size. The ranks file is read on the driver and sent along.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -23,9 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Characters of text in one slice, and merged pre-tokens that a task remembers.
+#: Characters of text in one slice, and pre-tokens (of at most so many characters)
+#: that a task remembers between slices.
 SLICE_CHARS = 1 << 20
 REMEMBERED = 400_000
+REMEMBERED_LENGTH = 64
 _MASK = (1 << 64) - 1
 
 
@@ -78,6 +80,20 @@ class PerfectHash:
         return self.place[-d - 1 if d < 0 else _spot(h, d, self.n)]
 
 
+class _Known(dict):
+    """Remembered ids of short pre-tokens; a missing one is encoded."""
+
+    def __init__(self, coder: ByteBpe):
+        super().__init__()
+        self.coder = coder
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.coder.piece(text)
+        if len(text) <= REMEMBERED_LENGTH:
+            self[text] = ids
+        return ids
+
+
 class ByteBpe:
     """Encoder and decoder for a table of ranks (token bytes -> id) and a splitting pattern."""
 
@@ -93,11 +109,17 @@ class ByteBpe:
         self.lengths = lengths
         self.starts = np.cumsum(lengths) - lengths
         self.bytes = np.frombuffer(b"".join(t for _, t in sorted(zip(self.ids, self.tokens, strict=True))), np.uint8)
-        self.merged: dict[str, bytes] = {}
-        self.split = None
+        self._start()
+
+    def _start(self) -> None:
+        self.known, self.split = _Known(self), None
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"merged": {}, "split": None}
+        return {k: v for k, v in self.__dict__.items() if k not in ("known", "split")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._start()
 
     def piece(self, text: str) -> bytes:
         """The ids of one pre-token as little-endian 32-bit integers."""
@@ -105,13 +127,7 @@ class ByteBpe:
         at = self.whole(token) if self.tokens else -1
         if at >= 0 and self.tokens[at] == token:
             return self.ids[at].to_bytes(4, "little")
-        known = self.merged.get(text)
-        if known is None:
-            known = np.array(self.merge(token), np.uint32).tobytes()
-            if len(self.merged) >= REMEMBERED:
-                self.merged.clear()
-            self.merged[text] = known
-        return known
+        return array("I", self.merge(token)).tobytes()
 
     def merge(self, token: bytes) -> list[int]:
         n, ranks = len(token), self.ranks
@@ -141,12 +157,13 @@ class ByteBpe:
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text; every distinct pre-token is looked up once."""
+        """The ids of each text; a remembered pre-token is looked up once."""
         if self.split is None:
             self.split = regex.compile(self.pattern).findall
-        pieces = [self.split(t) for t in texts]
-        found = {p: self.piece(p) for p in set().union(*pieces)}
-        return [np.frombuffer(b"".join(map(found.__getitem__, p)), np.uint32) for p in pieces]
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        found = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(found, self.split(t))), np.uint32) for t in texts]
 
     def decode(self, ids: np.ndarray) -> bytes:
         lengths = self.lengths[ids]
