@@ -144,10 +144,11 @@ def _meetings(node: DataFrame, percent: int) -> DataFrame:
     rows = node.select(F.explode("prefix").alias("token"), "id", "key", "n")
     several = rows.groupBy("token").agg(F.count("*").alias("_c")).filter("_c > 1").select("token")
     met = materialize(rows.join(several, "token"), "shared-shingles")
-    # sums of three 32-bit hashes and the count stand for the set of nodes; two nodes can have one id
-    sums = [F.sum(F.hash("key", F.lit(i))).alias(f"_h{i}") for i in range(3)]
-    sets = met.groupBy("token").agg(F.count("*").alias("members"), *sums)
-    kept = sets.groupBy("members", "_h0", "_h1", "_h2").agg(F.min("token").alias("token")).select("token", "members")
+    # 128 bits and the count stand for the set of nodes; two nodes can have one id. The
+    # literal comes first: behind the key it would only go on from one and the same hash
+    bits = [F.bit_xor(F.xxhash64(F.lit(i), "key")).alias(f"_h{i}") for i in range(2)]
+    sets = met.groupBy("token").agg(F.count("*").alias("members"), *bits)
+    kept = sets.groupBy("members", "_h0", "_h1").agg(F.min("token").alias("token")).select("token", "members")
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent))).cast("int")
     return met.join(kept, "token").select("token", "id", "key", "n", size_class.alias("s"), "members")
 
@@ -339,9 +340,12 @@ def _sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
 def distinct_documents(documents: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each component: the one with the smallest doc_id; all columns are kept.
 
-    Of repeated rows of that doc_id one stays; rows with a null doc_id all stay.
+    Of several rows of that doc_id the one with the smallest text stays (null first,
+    then by a digest of all columns); rows with a null doc_id all stay.
     """
     found = near_duplicates(documents, words, percent)
     heads = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_head")).distinct()
-    kept = documents.join(heads, documents["doc_id"] == heads["_head"], "left_semi").dropDuplicates(["doc_id"])
+    kept = documents.join(heads, documents["doc_id"] == heads["_head"], "left_semi")
+    row, order = F.struct(*documents.columns), F.struct("text", F.xxhash64(*documents.columns))
+    kept = kept.groupBy("doc_id").agg(F.min_by(row, order).alias("_row")).select("_row.*")
     return kept.unionByName(documents.filter(F.col("doc_id").isNull()))

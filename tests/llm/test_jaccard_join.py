@@ -95,3 +95,31 @@ def test_repeated_id_in_trees(spark, monkeypatch):
     got = jaccard_join._tree_pairs(jaccard_join._meetings(node, 85), node, known, 85).collect()
     assert {tuple(r) for r in got} >= {(1, 2), (1, 3)}
     assert run(spark, rows) == brute(rows)
+
+
+def test_words_of_equal_polynomial_hash_differ(spark):
+    """A Thue-Morse word and its complement agree in every polynomial hash modulo a power of two."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = [(i, " ".join([w] * 6)) for i, w in ((1, one), (2, other), (3, one))]
+    assert run(spark, rows) == brute(rows) == sorted(["(1, 1, 1)", "(2, 1, 2)", "(3, 1, 1)"])
+
+
+def test_keys_of_equal_32_bit_hash_are_different_nodes(spark):
+    from pyspark.sql import functions as F
+
+    keys = spark.range(300_000).select(F.md5(F.col("id").cast("string")).cast("binary").alias("key"))
+    keys = keys.withColumn("h", F.hash("key"))
+    twins = keys.groupBy("h").agg(F.collect_list("key").alias("k")).filter("size(k) > 1").first().k[:2]
+    # two nodes with such keys, each with a shingle that only a third node shares
+    rows = [(1, twins[0], [10]), (2, twins[1], [20]), (3, bytearray(b"third"), [10, 20])]
+    node = spark.createDataFrame([(i, k, 9, p, [0] * 4) for i, k, p in rows], "id bigint, key binary, n int, prefix array<bigint>, signature array<bigint>")
+    met = jaccard_join._meetings(node, 85)
+    assert {r.token for r in met.collect()} == {10, 20}
+
+
+def test_of_one_id_the_smallest_text_stays(spark):
+    rows = [(1, "b b b b b b"), (1, "a a a a a a"), (1, "a a a a a a"), (2, None), (None, "x"), (None, "x")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(map(repr, map(tuple, jaccard_join.distinct_documents(df).collect())))
+    assert got == sorted(map(repr, [(1, "a a a a a a"), (2, None), (None, "x"), (None, "x")]))
