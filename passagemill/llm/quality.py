@@ -292,7 +292,9 @@ def train(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABEL
     features = materialize(described, "quality-features")
     present = marked.join(features.select(F.col("doc_id").alias("_id")), "_id", "left_semi")
     chosen = present.orderBy(F.xxhash64("_id"), F.col("_id")).limit(max_labelled)
-    table = features.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "_quality", "view", "page").toArrow()
+    # of several rows of one doc_id one is used, so that max_labelled bounds the rows too
+    labelled = features.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).groupBy("doc_id", "_quality")
+    table = labelled.agg(F.min(F.struct("view", "page")).alias("f")).select("doc_id", "_quality", "f.view", "f.page").toArrow()
     table = table.take(np.array(sorted(range(table.num_rows), key=list(zip(*(table[c].to_pylist() for c in ("doc_id", "view", "page")), strict=True)).__getitem__), np.int64))
     known = table["_quality"].to_numpy().astype(np.int64)
     if (known == 0).sum() < 4 or (known == 1).sum() < 4:

@@ -98,7 +98,7 @@ def train(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABEL
 
     Uses the ``max_labelled`` labelled documents of smallest hash of doc_id, of
     those in ``documents`` that have toxic 0 or 1; a document labelled twice counts as toxic if one label says
-    so. Without two classes the model knows no words and scores nothing as toxic.
+    so, and of several rows of one doc_id the smallest text is used. Without two classes the model knows no words and scores nothing as toxic.
     """
     chosen = (
         labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -107,18 +107,19 @@ def train(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABEL
         .orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
     )
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    parts = rows.select("doc_id", "text", "_toxic").mapInArrow(
-        _features, "doc_id bigint, toxic int, counts array<int>, words binary"
-    ).toArrow()  # bounded by max_labelled
-    order = np.argsort(parts["doc_id"].to_numpy(), kind="stable")
-    parts = parts.take(order)
+    # of several rows of one doc_id the smallest text, so that max_labelled bounds the rows too
+    single = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("_toxic").alias("_toxic"))
+    parts = single.mapInArrow(_features, "doc_id bigint, toxic int, counts array<int>, words binary").toArrow()
+    parts = parts.take(np.argsort(parts["doc_id"].to_numpy(), kind="stable")).combine_chunks()
     labels_of = parts["toxic"].to_numpy()
     if len(set(labels_of.tolist())) < 2:
         return {"words": np.zeros(0, np.uint64), "weights": np.zeros(0), "offset": -20.0}
-    counts = [np.array(c, np.int64) for c in parts["counts"].to_pylist()]
-    words = np.concatenate([np.frombuffer(w, np.uint64) for w in parts["words"].to_pylist()])
-    doc = np.repeat(np.arange(len(counts)), [len(c) for c in counts])
-    sentence = np.repeat(np.arange(len(doc)), np.concatenate(counts))
+    # the words of all documents as one array over Arrow's buffer, without copies in Python
+    counts, words = parts["counts"].combine_chunks(), parts["words"].combine_chunks().cast(pa.large_binary())
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    words = np.frombuffer(words.buffers()[2], np.uint8)[ends[0]:ends[-1]].view(np.uint64)
+    doc = np.repeat(np.arange(len(counts)), counts.value_lengths().to_numpy())
+    sentence = np.repeat(np.arange(len(doc)), counts.flatten().to_numpy())
     return fit(words, sentence, doc, labels_of)
 
 

@@ -84,3 +84,47 @@ def test_labels_of_other_documents_take_no_places(spark):
     labels = spark.range(4000).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS toxic", "CAST(1 - id % 2 AS int) AS quality")
     model = toxicity.train(docs(spark, rows), labels, max_labelled=40)
     assert len(model["words"]) and quality.train(docs(spark, rows), labels, max_labelled=40) is not None
+
+
+def test_repeated_rows_of_a_labelled_document_are_fitted_once(spark, monkeypatch):
+    """The bound on labelled documents is one on the rows that come to the driver."""
+    rows = [(i % 4, f"clean words here {i % 4}." if i % 4 < 2 else f"vile words here {i % 4}!") for i in range(400)]
+    documents = spark.createDataFrame([(i, t, "s", "en") for i, t in rows], "doc_id bigint, text string, source string, lang string")
+    labels = spark.createDataFrame([(i, int(i >= 2), int(i < 2)) for i in range(4)], "doc_id bigint, toxic int, quality int")
+    seen = []
+    real = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda *a: seen.append(len(a[3])) or real(*a))
+    toxicity.train(documents, labels, 4)
+    assert seen == [4]
+    seen = []
+    monkeypatch.setattr(quality, "co_train", lambda text, *a: seen.append(len(text)))
+    many = spark.createDataFrame([(i, int(i % 2)) for i in range(10)], "doc_id bigint, quality int")
+    more = spark.createDataFrame([(i % 10, f"text {i % 10}", "s", "en") for i in range(200)], documents.schema)
+    quality.train(more, many, 10)
+    assert seen == [10]
+
+
+def test_score_is_the_noisy_or_of_a_loop(spark):
+    import math
+    import re
+
+    def hash_of(word):
+        data = np.frombuffer(word.encode(), np.uint8)
+        return int(toxicity.sentences(data, np.array([0, len(data)]))["word"][0])
+
+    weight = {"vile": 2.5, "bad": 1.0, "kind": -1.5, "wörter": 0.7}
+    pairs = sorted((hash_of(w), v) for w, v in weight.items())
+    model = {"words": np.array([h for h, _ in pairs], np.uint64), "weights": np.array([v for _, v in pairs]), "offset": -3.0}
+    texts = ["vile bad. kind vile! nothing", "Kind\nBAD bad WÖRTER? x", "", None, "...", "vile " * 50 + ". " + "bad! " * 40, "one"]
+
+    def expected(text):
+        clean = 1.0
+        for sentence in re.split(r"[.!?\n\r]", (text or "").lower()):
+            words = set(re.findall(r"\w+", sentence))
+            if words:
+                clean *= 1 - 1 / (1 + math.exp(3.0 - sum(weight.get(w, 0) for w in words)))
+        return 1 - clean
+
+    got = toxicity.score(docs(spark, [(i, t, "s") for i, t in enumerate(texts)]), model)
+    for r in got.select("doc_id", "text", "toxicity").collect():
+        assert abs(r.toxicity - expected(r.text)) < 1e-9
