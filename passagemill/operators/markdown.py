@@ -8,8 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _cell(value: Column) -> Column:
+    """A cell that stays one cell: bars are escaped, line ends become ``<br>``."""
+    text = F.coalesce(value.cast("string"), F.lit(""))
+    barred = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+    return F.regexp_replace(barred, r"\r\n|\r|\n", "<br>")
+
+
 def markdown_row(cells: Sequence[Column]) -> Column:
-    shown = [F.coalesce(c.cast("string"), F.lit("")) for c in cells]
+    """One line of a Markdown table."""
+    shown = [_cell(c) for c in cells]
     return F.concat(F.lit("| "), F.concat_ws(" | ", *shown), F.lit(" |"))
 
 

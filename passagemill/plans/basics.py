@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,10 @@ from ..functions.text import (
 )
 from ..functions.vectors import has_dimension, weighted_counts
 from ..operators.index import provider, split_by_dimension
+from ..session import work_path
 from ..sources import elements as E
-from ..sources.files import file_metadata, scan_files
+from ..sources.dead_letters import open_parse, run_parse
+from ..sources.files import file_metadata, file_texts, scan_files
 from ..sources.isolation import check_isolated, parse_isolated, quarantined, succeeded
 from ..sources.tables import (
     append_table,
@@ -212,6 +215,38 @@ def quarantined_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def scanned_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages written as one file each, found, read and decoded again, and parsed to elements."""
+    folder = work_path(spark, "pages")
+    X.table(spark, sf, "pages").select("page_id", "html").write.partitionBy("page_id").option("lineSep", "\x03").text(folder)
+    texts = file_texts(scan_files(spark, folder, ".txt"))
+    page = F.regexp_extract("path", "page_id=([0-9]+)/", 1).cast("bigint")
+    pages = texts.where(F.col("error").isNull()).select(page.alias("page_id"), F.rtrim("text", F.lit("\x03")).alias("html"))
+    return E.page_elements(pages).where(~F.col("excluded")).select(
+        "doc_id", "pos", "kind", "label", "level", "text", "self_ref"
+    )
+
+
+def dead_letters(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages parsed in three runs, the last one with a mended parser; only failures are taken up again."""
+    pages = X.table(spark, sf, "pages").select("page_id", "html")
+    tables = open_parse(spark, f"letters_{uuid4().hex}", {"page_id": "bigint"}, {"title": "string"}, 8)
+    title = F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)
+
+    def parse(mended: bool):
+        bold = F.regexp_count("html", F.lit("<b>")) == F.regexp_count("html", F.lit("</b>"))
+        checks = {"entity in the title": ~F.contains(title, F.lit("&"))}
+        return lambda rows: check_isolated(rows.withColumn("title", title), checks if mended else checks | {"unclosed bold": bold})
+
+    counts = [run_parse(pages, tables, parse(mended), max_attempts=3) for mended in (False, False, True)]
+    good = tables.parsed.read(spark).select("page_id", "title", F.lit(None).cast("string").alias("error"), F.lit(0).alias("attempts"))
+    bad = tables.failed.read(spark).select("page_id", F.lit(None).cast("string").alias("title"), "error", "attempts")
+    first, last = counts[0], counts[-1]
+    return good.unionByName(bad).select(
+        "*", F.lit(first["failed"]).cast("bigint").alias("failed_first"), F.lit(last["parsed"]).cast("bigint").alias("parsed_last")
+    )
+
+
 def _title_of(html: str) -> str:
     found = re.search(r"<title>(.*?)</title>", html, re.S)
     if not found or "&" in found.group(1):
@@ -269,6 +304,8 @@ QUERIES = {
     "table_ddl": table_ddl,
     "stage_guard": stage_guard,
     "quarantine_pages": quarantined_pages,
+    "scanned_pages": scanned_pages,
+    "dead_letters": dead_letters,
     "isolated_parse": isolated_parse,
     "batched_apply_status": batched_apply_status,
 }
@@ -334,12 +371,23 @@ items AS (
 
 _ITEMS = page_items_sql()
 
+_PAGES = f"""WITH {_ITEMS}
+SELECT doc_id, pos, kind, label, level, text, self_ref FROM items WHERE NOT excluded"""
+
 ORACLES = {
     "file_metadata": r"""SELECT list_extract(string_split(url, '/'), -1) AS file_name, url AS file_path,
   octet_length(encode(html))::BIGINT AS file_size FROM pages
   WHERE lower(list_extract(string_split(url, '/'), -1)) LIKE '%.html'""",
-    "pages_elements": f"""WITH {_ITEMS}
-SELECT doc_id, pos, kind, label, level, text, self_ref FROM items WHERE NOT excluded""",
+    "pages_elements": _PAGES,
+    "scanned_pages": _PAGES,
+    "dead_letters": """WITH t AS (
+  SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title,
+    len(regexp_extract_all(html, '<b>')) <> len(regexp_extract_all(html, '</b>')) AS bold FROM pages)
+SELECT page_id, CASE WHEN NOT contains(title, '&') THEN title END AS title,
+  CASE WHEN contains(title, '&') THEN 'entity in the title' END AS error,
+  CASE WHEN contains(title, '&') THEN 3 ELSE 0 END AS attempts,
+  (SELECT count(*) FROM t WHERE contains(title, '&') OR bold) AS failed_first,
+  (SELECT count(*) FROM t WHERE bold AND NOT contains(title, '&')) AS parsed_last FROM t""",
     "collapsed_lists": f"""WITH {_ITEMS}
 SELECT doc_id, pos, label, text, self_ref FROM items WHERE group_ref IS NULL
 UNION ALL

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import has_extension, last_segment
 
+#: Largest file whose content is read; a longer one goes to the error side unread.
+MAX_FILE_BYTES = 64 * 1024 * 1024
+
 FILE_SCHEMA = "file_name string, file_path string, file_size bigint, modification_time timestamp"
 
 
@@ -37,3 +40,25 @@ def file_metadata(files: DataFrame, extension: str | None = None) -> DataFrame:
         F.col("modificationTime").alias("modification_time"),
     )
     return rows.where(has_extension("file_name", extension)) if extension else rows
+
+
+def file_texts(files: DataFrame, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+    """``path, modificationTime, length, text, error``: contents read and decoded on the executors.
+
+    Exactly one of text and error is null. Files longer than ``max_bytes`` and
+    contents that are not UTF-8 have an error in place of a text. The length is
+    tested by the file source, so the content of a longer file is never read. A byte
+    order mark is dropped. Empty files have no row, as Spark's sources skip them.
+    """
+    own = ["path", "modificationTime", "length"]
+    text = F.col("content").cast("string")
+    valid = F.call_function("is_valid_utf8", text)
+    read = files.where(F.col("length") <= max_bytes).select(
+        *own,
+        F.when(valid, F.regexp_replace(text, "^\ufeff", "")).alias("text"),
+        F.when(~valid, F.lit("not UTF-8")).alias("error"),
+    )
+    unread = files.where(F.col("length") > max_bytes).select(
+        *own, F.lit(None).cast("string").alias("text"), F.lit(f"longer than {max_bytes} bytes").alias("error")
+    )
+    return read.unionByName(unread)
