@@ -7,7 +7,9 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import token_count
 from ..functions.vectors import hash_embedding, vector_norm
+from ..operators.boundaries import split_at_boundaries
 from ..operators.chunk_table import chunk_table, item_pages
 from ..operators.headings import heading_scopes, hierarchical_chunks
 from ..operators.hybrid import hybrid_chunks, merge_peers, split_long_chunks, with_items
@@ -78,6 +80,28 @@ def split(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "pos", "piece", "text", _joined("headings"))
 
 
+def _boundary_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    docs = X.table(spark, sf, "documents").select(
+        "doc_id", F.lit(0).alias("pos"), F.lit(None).cast("array<string>").alias("headings"), "text"
+    )
+    return split_at_boundaries(docs, SMALL_CAP)
+
+
+def boundary_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole documents in pieces of at most 64 words, cut at the strongest boundaries."""
+    return _boundary_pieces(spark, sf).select("doc_id", "piece", token_count("text").alias("num_tokens"), "text")
+
+
+def rejoined_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    """The pieces put together again, and whether all of them keep the cap."""
+    pieces = _boundary_pieces(spark, sf)
+    ordered = F.array_sort(F.collect_list(F.struct("piece", "text")))
+    return pieces.groupBy("doc_id").agg(
+        F.sha2(F.array_join(F.transform(ordered, lambda p: p["text"]), ""), 256).alias("text_sha256"),
+        F.bool_and(token_count("text") <= SMALL_CAP).alias("within_cap"),
+    )
+
+
 def capped(spark: SparkSession, sf: str) -> DataFrame:
     """Split and merged under a cap that binds."""
     out = hybrid_chunks(_chunks(spark, sf), SMALL_CAP)
@@ -149,6 +173,8 @@ QUERIES = {
     "page_chunks": page_chunks,
     "merged_peer_chunks": merged,
     "split_long_chunks": split,
+    "boundary_pieces": boundary_pieces,
+    "boundary_pieces_rejoined": rejoined_pieces,
     "hybrid_chunks": capped,
     "chunk_table": chunk_rows,
     "stored_chunk_table": stored,
@@ -218,6 +244,7 @@ FROM (SELECT *, unnest(range(0, greatest(n - 101, 0) + 1, 924)) AS s FROM typed
   CASE role WHEN 'system' THEN 0 WHEN 'user' THEN 1 END AS level FROM conversations),
 {X.scopes_sql('e')} SELECT doc_id, pos, text, {_JOIN} FROM hier""",
     "merged_peer_chunks": f"WITH {_MERGED} SELECT doc_id, pos, text, {_JOIN}, n_items FROM merged",
+    "boundary_pieces_rejoined": "SELECT doc_id, sha256(text) AS text_sha256, true AS within_cap FROM documents",
     "split_long_chunks": f"WITH {_SPLIT} SELECT doc_id, pos, piece, text, {_JOIN} FROM pieces",
     "hybrid_chunks": f"""WITH RECURSIVE {_CAPPED}
 SELECT r.doc_id, f.grp AS first_no, string_agg(r.text, chr(10) ORDER BY r.no) AS text,
