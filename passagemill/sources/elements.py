@@ -26,6 +26,8 @@ DROPPED_MARKUP = (
     r"(?s)<!--.*?-->",
 )
 REGION_TAGS = "nav|footer|div|ul|ol"
+#: Regions of a page whose states are carried together.
+REGION_GROUP = 256
 ADVERTISEMENT = '(?i)class="ad"'
 ENTITIES = (
     ("&nbsp;", " "),
@@ -122,11 +124,8 @@ def _states(regions: Column) -> Column:
     open advertisement among its ``div``s.
     """
     none = F.lit(0)
-    start = F.struct(
-        *[none.alias(c) for c in ("nav", "footer", "div", "ad", "seen")],
-        F.array().cast("array<int>").alias("lists"),
-        F.array().cast("array<struct<excluded: boolean, group_no: int>>").alias("out"),
-    )
+    depths = ("nav", "footer", "div", "ad", "seen")
+    state_type = "struct<excluded: boolean, group_no: int>"
 
     def step(acc: Column, region: Column) -> Column:
         tag, lists = region["tag"], acc["lists"]
@@ -165,7 +164,25 @@ def _states(regions: Column) -> Column:
             F.concat(acc["out"], F.array(state)).alias("out"),
         )
 
-    return F.aggregate(regions, start, step, lambda acc: acc["out"])
+    # An array that grows by one is copied each time, so regions are taken in groups:
+    # only the states of a group are copied per region, and one entry per group per group.
+    def group(acc: Column, members: Column) -> Column:
+        start = F.struct(
+            *[acc[c].alias(c) for c in (*depths, "lists")], F.array().cast(f"array<{state_type}>").alias("out")
+        )
+        done = F.aggregate(members, start, step)
+        return F.struct(
+            *[done[c].alias(c) for c in (*depths, "lists")], F.concat(acc["groups"], F.array(done["out"])).alias("groups")
+        )
+
+    first = F.struct(
+        *[none.alias(c) for c in depths],
+        F.array().cast("array<int>").alias("lists"),
+        F.array().cast(f"array<array<{state_type}>>").alias("groups"),
+    )
+    starts = F.sequence(F.lit(1), F.size(regions), F.lit(REGION_GROUP))
+    groups = F.transform(starts, lambda s: F.slice(regions, s, REGION_GROUP))
+    return F.aggregate(groups, first, group, lambda acc: F.flatten(acc["groups"]))
 
 
 def _pieces(regions: Column, states: Column) -> Column:

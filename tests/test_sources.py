@@ -87,3 +87,17 @@ def test_cells_stay_cells(spark):
     rows = spark.createDataFrame([(1, 1, "a|b", "x\ny\r\nz"), (1, 2, None, "\\|")], "g int, o int, a string, b string")
     shown = markdown_tables(rows, "g", "o", {"A": "a", "B": "b"}).first().markdown
     assert shown == "| A | B |\n| --- | --- |\n| a\\|b | x<br>y<br>z |\n|  | \\\\\\| |"
+
+
+def test_region_states_do_not_depend_on_the_grouping(spark, data, monkeypatch):
+    from passagemill.sources import elements as E
+
+    pages = spark.read.parquet(f"{data}/pages.parquet")
+    nested = "<nav><ul><li>a</nav><div class=\"ad\"><div><p>b</div><p>c</div><ol><li>d<ul><li>e</ul><li>f</ol></footer><p>g" * 40
+    pages = pages.select("page_id", "html").unionByName(spark.createDataFrame([(-1, nested), (-2, ""), (-3, None)], "page_id bigint, html string"))
+
+    def found(size):
+        monkeypatch.setattr(E, "REGION_GROUP", size)
+        return sorted(map(tuple, E.page_elements(pages).collect()), key=repr)
+
+    assert found(3) == found(256) == found(100_000)
