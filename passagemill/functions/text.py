@@ -118,7 +118,7 @@ def fill_template(template: str, context: Column | str, question: Column | str)
     """Put context and question into a template.
 
     The template is cut at its placeholders first, so a placeholder that occurs
-    inside the inserted text stays as it is.
+    inside the inserted text stays as it is. A null context or question is empty.
     """
     check_template(template)
     parts: list[Column] = []
@@ -131,7 +131,8 @@ def fill_template(template: str, context: Column | str, question: Column | str)
         at, mark = min(hits)
         if at:
             parts.append(F.lit(rest[:at]))
-        parts.append(_col(context) if mark == "{context}" else _col(question))
+        value = _col(context) if mark == "{context}" else _col(question)
+        parts.append(F.coalesce(value, F.lit("")))
         rest = rest[at + len(mark):]
     return F.concat(*parts)
 

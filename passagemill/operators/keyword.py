@@ -136,13 +136,15 @@ def _joined_scores(
     matched = postings.join(weights.withColumn("salt", copies), ["term", "salt"])
     length = k1 * (1 - b + b * F.col("dl") / F.lit(mean))
     part = F.col("idf") * (F.col("tf") * (k1 + 1)) / (F.col("tf") + length)
-    # Exact decimals make the sum independent of the order of its terms.
+    # The same whole multiples as in place, so that both forms agree at halves too.
+    whole = F.floor(part * PART_SCALE + 0.5)
+    score = F.floor((F.col("_sum").cast("double") + SCORE_UNIT / 2) / SCORE_UNIT) / 10**SCORE_DECIMALS
     return (
-        matched.select("qid", "id", part.cast("decimal(20,10)").alias("part"))
+        matched.select("qid", "id", whole.alias("part"))
         .groupBy("qid", "id")
         .agg(F.sum("part").alias("_sum"))
-        .where("_sum > 0")  # as in place: no hit where every part rounds to nothing
-        .select("qid", "id", F.round("_sum", SCORE_DECIMALS).cast("double").alias("score"))
+        .where("_sum > 0")  # no hit where every part rounds to nothing
+        .select("qid", "id", score.alias("score"))
     )
 
 

@@ -117,3 +117,23 @@ def test_edges(spark, small):
     assert [(q, i) for q, i, _, _ in rows(got)] == [(q, i) for q in (1, 2) for i in range(4)]
     with pytest.raises(ValueError):
         P.postings_topk(asked, stored, 0)
+
+
+def test_joined_and_shipped_scores_agree_at_halves(spark, monkeypatch):
+    """Scores of both forms of the scan, and of the postings, are equal to the last bit."""
+    from passagemill.operators import keyword
+
+    index = forward_index(passages(spark, 400, seed=8))
+    asked = spark.createDataFrame(ASKED + [(9, "w1 w2 w3 w4 w5 w6 w7 w8 w9")], "qid int, question string")
+    shipped = rows(bm25_topk(asked, index, 200))
+    assert shipped == rows(P.postings_topk(asked, P.build_postings(index, "postings_halves"), 200))
+    monkeypatch.setattr(keyword, "SHIP_WEIGHTS", 0)
+    assert rows(bm25_topk(asked, index, 200)) == shipped
+
+    # one term whose part is a half of the last place: idf * tf * (k1 + 1) / (tf + length)
+    half = spark.createDataFrame([(1, 1, [("t", 1)])], "id bigint, dl bigint, terms array<struct<value: string, n: int>>")
+    weights = spark.createDataFrame([(1, "t", (7 + 0.5) / 1e10)], "qid int, term string, idf double")
+    mean, k1, b = 1.0, 1.2, 0.75
+    one = keyword._joined_scores(weights, half, mean, k1, b).collect()
+    two = keyword._scored_in_place(weights, half, 1, mean, k1, b).collect()
+    assert [(r.qid, r.id, r.score) for r in one] == [(r.qid, r.id, r.score) for r in two]

@@ -117,3 +117,13 @@ def test_wrong_number_of_answers_is_a_failure(spark):
     assert not any(r.e.ok for r in rows)
     with pytest.raises(ValueError):
         batched_apply(short, 0, list, "array<float>")
+
+
+def test_a_null_question_leaves_the_prompt(spark):
+    from pyspark.sql import functions as F
+
+    from passagemill.functions.text import fill_template
+
+    rows = spark.createDataFrame([("c", None), (None, "q"), (None, None)], "c string, q string")
+    filled = rows.select(fill_template("<{context}|{question}>", F.col("c"), F.col("q")).alias("p"))
+    assert [r.p for r in filled.collect()] == ["<c|>", "<|q>", "<|>"]
