@@ -2,10 +2,11 @@
 
 Rows with equal vectors become one node that carries its smallest ids; nodes are
 dealt over shards of bounded size, so one very common vector is one node. A task
-builds the graph of its shard: nodes get a top level by a fixed random number,
-on every level each node is linked to near nodes chosen for direction as well as
-distance, links run both ways, and levels are stored as flat neighbour arrays
-(one int32 row of fixed width per node, -1 where empty). A search descends from
+builds the graph of its shard: nodes get a top level by a fixed random number and
+are inserted one batch after the other, each by a search of the graph built so
+far; its links go to found nodes chosen for direction as well as distance and run
+both ways, and every node can be reached from the entry. Levels are stored as flat
+neighbour arrays (one int32 row of fixed width per node, -1 where empty). A search descends from
 the top level and keeps the ``ef`` best on the lowest; all queries of a block
 take their steps together. The results of the shards are merged by distance.
 """
@@ -27,13 +28,16 @@ from .arrays import matrix, mix, widened
 from .exact_search import usable
 
 #: Nodes of a shard, links of a node (twice as many on the lowest level), breadth of a search.
-SHARD_NODES = 4096
+SHARD_NODES = 16384
 LINKS = 16
 EF = 96
-#: Near nodes from which the links of a node are chosen.
-CANDIDATES = 48
+#: Breadth of the search that inserts a node, nearest nodes of its own batch, largest batch.
+BUILD_EF = 48
+PEERS = 16
+INSERT_STEP = 256
 #: Queries that take their steps together.
 QUERY_STEP = 512
+_LEVEL_KEY, _ORDER_KEY = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x5DEECE66D)
 
 INDEX_SCHEMA = (
     "shard int, n int, width int, entry int, ids array<array<bigint>>, vectors binary, "
@@ -114,71 +118,169 @@ def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def levels_of(ids: np.ndarray) -> np.ndarray:
     """The top level of each node: geometric with mean spacing ``LINKS``, fixed by its id."""
-    u = (mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(11)).astype(np.float64) / (1 << 53)
+    u = (mix(ids.astype(np.int64).view(np.uint64) ^ _LEVEL_KEY) >> np.uint64(11)).astype(np.float64) / (1 << 53)
     return np.floor(-np.log(np.maximum(u, 1e-18)) / math.log(LINKS)).astype(np.int64)
 
 
-def build_graph(vectors: np.ndarray, links: int) -> np.ndarray:
-    """Neighbours of every node, nearest first, at most ``links`` and -1 where there are none.
+def choose(vectors: np.ndarray, near: np.ndarray, dist: np.ndarray, links: int) -> np.ndarray:
+    """Which candidates of each row become neighbours; ``near`` is sorted by ``dist``, -1 where empty.
 
-    A near node becomes a neighbour if it is nearer to the node than to the
-    neighbours chosen before it; free places go to the nearest of the others.
-    Links are then made mutual, and each node keeps its ``links`` best.
+    A candidate is taken if it is nearer to the node than to all neighbours taken
+    before it; of the places up to half the links that then are free, the nearest others get them.
     """
-    n = len(vectors)
-    out = np.full((n, links), -1, np.int32)
-    if n < 2:
-        return out
-    width = min(CANDIDATES, n - 1)
-    chosen_from, chosen_to = [], []
-    for a in range(0, n, 512):
-        far = _squared(vectors[a:a + 512], vectors)
-        own = np.arange(len(far))
-        far[own, a + own] = np.inf
-        near = np.argpartition(far, width - 1, axis=1)[:, :width]
-        near = np.take_along_axis(near, np.argsort(np.take_along_axis(far, near, 1), axis=1, kind="stable"), 1)
-        dist = np.take_along_axis(far, near, 1)
-        points = vectors[near]
-        between = ((points[:, :, None, :] - points[:, None, :, :]) ** 2).sum(-1) if points.shape[2] <= 8 else (
-            (points * points).sum(-1)[:, :, None] + (points * points).sum(-1)[:, None, :] - 2 * points @ points.transpose(0, 2, 1)
-        )
-        taken = np.zeros(near.shape, bool)
-        for j in range(width):
-            blocked = (taken & (between[:, j, :] < dist[:, j, None])).any(1)
-            taken[:, j] = ~blocked & (taken.sum(1) < links)
-        for j in range(width):
-            taken[:, j] |= taken.sum(1) < links // 2
-        rows, cols = np.nonzero(taken)
-        chosen_from.append(rows + a)
-        chosen_to.append(near[rows, cols])
-    one, two = np.concatenate(chosen_from), np.concatenate(chosen_to)
-    pairs = np.unique(np.concatenate([one * n + two, two * n + one]))
-    one, two = pairs // n, pairs % n
-    dist = ((vectors[one] - vectors[two]) ** 2).sum(1)
-    forward = np.isin(pairs, np.concatenate(chosen_from) * n + np.concatenate(chosen_to))
-    order = np.lexsort((two, dist, ~forward, one))
-    one, two = one[order], two[order]
-    place = np.arange(len(one)) - np.searchsorted(one, one)
-    fits = place < links
-    out[one[fits], place[fits]] = two[fits]
+    points = vectors[np.maximum(near, 0)]
+    lengths = (points * points).sum(-1)
+    between = lengths[:, :, None] + lengths[:, None, :] - 2 * points @ points.transpose(0, 2, 1)
+    closer = between < dist[:, :, None]
+    real, taken, count = near >= 0, np.zeros(near.shape, bool), np.zeros(len(near), np.int64)
+    for j in range(near.shape[1]):
+        taken[:, j] = real[:, j] & ~(taken & closer[:, j]).any(1) & (count < links)
+        count += taken[:, j]
+    for j in range(near.shape[1]):
+        more = real[:, j] & ~taken[:, j] & (count < links // 2)
+        taken[:, j] |= more
+        count += more
+    return taken
+
+
+def _sorted_by_distance(near: np.ndarray, dist: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(dist, axis=1, kind="stable")
+    return np.take_along_axis(near, order, 1), np.take_along_axis(dist, order, 1)
+
+
+def _packed(near: np.ndarray, taken: np.ndarray, width: int) -> np.ndarray:
+    """The taken candidates of each row in order, then -1."""
+    out = np.full((len(near), width), -1, np.int32)
+    rows, cols = np.nonzero(taken)
+    out[rows, (np.cumsum(taken, 1) - 1)[rows, cols]] = near[rows, cols]
     return out
 
 
+def build_graph(vectors: np.ndarray, top: np.ndarray, order: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Members and their links on every level, by inserting nodes with a search of the graph so far.
+
+    Levels are built from the highest down; ``order`` holds all nodes, those of
+    higher levels first. Nodes are inserted in batches that double with the graph up to
+    ``INSERT_STEP``: each node searches the nodes inserted before its batch, starting
+    from where the levels above lead, and meets the others of its batch directly.
+    Links run both ways; a node with too many keeps those that ``choose`` takes.
+    At last nodes that no links lead to from the entry get a link from the
+    nearest node that is reached, so every node can be found.
+    """
+    base = vectors.astype(np.float32)
+    n, levels = len(base), []
+    for level in range(int(top.max()), -1, -1):
+        members = order[top[order] >= level]
+        width = LINKS * (2 if level == 0 else 1)
+        links = np.full((n, width), -1, np.int32)
+        inside = np.zeros(n, bool)
+        done = 0
+        while done < len(members):
+            batch = members[done:done + min(max(done, 32), INSERT_STEP)]
+            if done:
+                at = np.full((len(batch), 1), order[0], np.int64)
+                for full in levels:
+                    at = _Graph._walk(base, full, base[batch], at, 4)
+                at = np.where(inside[at] & (at >= 0) & (at != order[0]), at, -1)
+                start = np.concatenate([np.full((len(batch), 1), order[0], np.int64), at], 1)
+                near = _Graph._walk(base, links, base[batch], start, BUILD_EF)
+            else:
+                near = np.full((len(batch), 0), -1, np.int64)
+            far = _squared(base[batch], base[batch])
+            np.fill_diagonal(far, np.inf)
+            some = min(PEERS, len(batch) - 1)
+            peers = batch[np.argsort(far, axis=1, kind="stable")[:, :some]]
+            near = np.concatenate([near, peers], 1)
+            _link(base, links, batch, near)
+            inside[batch] = True
+            done += len(batch)
+        levels.append(_reachable(base, links, members))
+    levels.reverse()
+    return [(np.sort(m := order[top[order] >= level]).astype(np.int32), full[np.sort(m)]) for level, full in enumerate(levels)]
+
+
+def _link(base: np.ndarray, links: np.ndarray, batch: np.ndarray, near: np.ndarray) -> None:
+    """Link the nodes of a batch with some of their candidates, both ways."""
+    width = links.shape[1]
+    for a in range(0, len(batch), 128):
+        nodes, some = batch[a:a + 128], near[a:a + 128]
+        dist = ((base[np.maximum(some, 0)] - base[nodes][:, None, :]) ** 2).sum(2)
+        some, dist = _sorted_by_distance(some, np.where(some >= 0, dist, np.inf))
+        links[nodes] = _packed(some, choose(base, some, dist, width), width)
+    one, at = np.nonzero(links[batch] >= 0)
+    to, source = links[batch][one, at].astype(np.int64), batch[one]
+    fresh = ~(links[to] == source[:, None]).any(1)
+    to, source = to[fresh], source[fresh]
+    dist = ((base[to] - base[source]) ** 2).sum(1)
+    by = np.lexsort((source, dist, to))
+    to, source = to[by], source[by]
+    place = np.arange(len(to)) - np.searchsorted(to, to)
+    fits = place < 2 * width  # farther ones still have their own link to the node
+    to, source, place = to[fits], source[fits], place[fits]
+    targets, row = np.unique(to, return_inverse=True)
+    for a in range(0, len(targets), 128):
+        nodes, here = targets[a:a + 128], (row >= a) & (row < a + 128)
+        added = np.full((len(nodes), int(place[here].max()) + 1), -1, np.int64)
+        added[row[here] - a, place[here]] = source[here]
+        some = np.concatenate([links[nodes], added], 1)
+        dist = ((base[np.maximum(some, 0)] - base[nodes][:, None, :]) ** 2).sum(2)
+        some, dist = _sorted_by_distance(some, np.where(some >= 0, dist, np.inf))
+        few = (some >= 0).sum(1) <= width
+        taken = choose(base, some, dist, width)
+        taken[few] = some[few] >= 0
+        links[nodes] = _packed(some, taken, width)
+
+
+def _spread(links: np.ndarray, reached: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Mark all nodes that links lead to from ``start``; returns the newly marked."""
+    fresh, found = start, [start]
+    reached[start] = True
+    while len(fresh):
+        to = np.unique(links[fresh])
+        fresh = to[to >= 0]
+        fresh = fresh[~reached[fresh]]
+        reached[fresh] = True
+        found.append(fresh)
+    return np.concatenate(found)
+
+
+def _reachable(base: np.ndarray, links: np.ndarray, members: np.ndarray) -> np.ndarray:
+    """The links with further ones where the first member cannot reach all; the array may grow wider."""
+    reached = np.zeros(len(base), bool)
+    fresh = _spread(links, reached, members[:1])
+    left = members[~reached[members]]
+    nearest, dist = np.zeros(len(left), np.int64), np.full(len(left), np.inf)
+    while len(left):
+        for a in range(0, len(fresh), 1024):  # nodes reached since the last turn may be nearer
+            far = _squared(base[left], base[fresh[a:a + 1024]])
+            best = far.argmin(1)
+            least = far[np.arange(len(left)), best]
+            nearest, dist = np.where(least < dist, fresh[a + best], nearest), np.minimum(dist, least)
+        at = int(dist.argmin())
+        for one, two in ((nearest[at], left[at]), (left[at], nearest[at])):
+            if two in links[one]:
+                continue
+            if links[one, -1] >= 0:
+                links = np.concatenate([links, np.full((len(links), 4), -1, np.int32)], 1)
+            links[one, np.argmax(links[one] < 0)] = two
+        fresh = _spread(links, reached, left[at:at + 1])
+        keep = ~reached[left]
+        left, nearest, dist = left[keep], nearest[keep], dist[keep]
+    return links
+
+
 def _build_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for shard, ids, vectors in _by_shard(batches):
-        top = levels_of(np.array([i[0] for i in ids], np.int64))
-        level_nodes, level_links = [], []
-        for level in range(int(top.max()) + 1):
-            members = np.flatnonzero(top >= level).astype(np.int32)
-            local = build_graph(vectors[members], LINKS * (2 if level == 0 else 1))
-            level_nodes.append(members.tobytes())
-            level_links.append(np.where(local >= 0, members[local], -1).astype(np.int32).tobytes())
-        entry = int(np.flatnonzero(top == top.max())[0])
+        first = np.array([i[0] for i in ids], np.int64)
+        top = levels_of(first)
+        # a fixed random order, as neighbouring ids may lie near each other
+        order = np.lexsort((mix(first.view(np.uint64) ^ _ORDER_KEY), -top))
+        levels = build_graph(vectors, top, order)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([shard], pa.int32()), pa.array([len(ids)], pa.int32()), pa.array([vectors.shape[1]], pa.int32()),
-                pa.array([entry], pa.int32()), pa.array([ids], pa.list_(pa.list_(pa.int64()))), pa.array([vectors.tobytes()], pa.binary()),
-                pa.array([level_nodes], pa.list_(pa.binary())), pa.array([level_links], pa.list_(pa.binary())),
+                pa.array([int(order[0])], pa.int32()), pa.array([ids], pa.list_(pa.list_(pa.int64()))), pa.array([vectors.tobytes()], pa.binary()),
+                pa.array([[m.tobytes() for m, _ in levels]], pa.list_(pa.binary())), pa.array([[x.tobytes() for _, x in levels]], pa.list_(pa.binary())),
             ],
             names=["shard", "n", "width", "entry", "ids", "vectors", "level_nodes", "level_links"],
         )
@@ -214,10 +316,11 @@ class _Graph:
         self.vectors = np.frombuffer(row["vectors"]).reshape(row["n"], row["width"])
         self.entry = row["entry"]
         self.levels = []
-        for level, (nodes, links) in enumerate(zip(row["level_nodes"], row["level_links"], strict=True)):
+        for nodes, links in zip(row["level_nodes"], row["level_links"], strict=True):
             nodes = np.frombuffer(nodes, np.int32)
-            full = np.full((row["n"], LINKS * (2 if level == 0 else 1)), -1, np.int32)
-            full[nodes] = np.frombuffer(links, np.int32).reshape(len(nodes), -1)
+            links = np.frombuffer(links, np.int32).reshape(len(nodes), -1)
+            full = np.full((row["n"], links.shape[1]), -1, np.int32)
+            full[nodes] = links
             self.levels.append(full)
 
     def search(self, q: np.ndarray, ef: int) -> np.ndarray:

@@ -87,6 +87,44 @@ def test_hnsw_recall_and_scores(spark, monkeypatch):
     assert hits / total >= 0.9
 
 
+def graph_of(vectors):
+    ids = np.arange(len(vectors), dtype=np.int64)
+    top = hnsw.levels_of(ids)
+    levels = hnsw.build_graph(vectors, top, np.lexsort((ids, -top)))
+    return hnsw._Graph({
+        "ids": [[i] for i in ids], "vectors": vectors.tobytes(), "n": len(vectors), "width": vectors.shape[1],
+        "entry": int(np.lexsort((ids, -top))[0]), "level_nodes": [m.tobytes() for m, _ in levels], "level_links": [x.tobytes() for _, x in levels],
+    })
+
+
+@pytest.mark.parametrize(("clusters", "each", "apart"), [(60, 60, 10), (30, 100, 1000), (200, 12, 50)])
+def test_hnsw_of_clusters(clusters, each, apart):
+    """No query may lose its neighbours because its group has few links to others."""
+    rng = np.random.default_rng(clusters)
+    vectors = (rng.normal(size=(clusters, 1, 16)) * apart + rng.normal(size=(clusters, each, 16))).reshape(-1, 16)
+    graph = graph_of(vectors)
+    asked = np.arange(0, len(vectors), 7)
+    for q, found in zip(asked, graph.search(vectors[asked], hnsw.EF), strict=True):
+        dist = ((vectors - vectors[q]) ** 2).sum(1)
+        assert len(set(np.argsort(dist, kind="stable")[:10]) & set(found[:10])) >= 8
+
+
+def test_hnsw_reaches_every_node():
+    """Also where all links of a node were given up for nearer ones."""
+    rng = np.random.default_rng(4)
+    vectors = np.concatenate([rng.normal(size=(400, 4)), rng.normal(size=(80, 4)) * 1e-3 + 1e4])
+    graph = graph_of(vectors)
+    for links in graph.levels:
+        reached = np.zeros(len(vectors), bool)
+        hnsw._spread(links, reached, np.array([graph.entry]))
+        assert reached[(links >= 0).any(1)].all()
+    cut = np.full((6, 1), -1, np.int32)
+    cut[[0, 1, 2, 3], 0] = [1, 0, 3, 2]
+    mended = hnsw._reachable(vectors[:6].astype(np.float32), cut, np.arange(6))
+    reached = np.zeros(6, bool)
+    assert sorted(hnsw._spread(mended, reached, np.array([0]))) == list(range(6))
+
+
 def test_hnsw_on_the_tables(spark, data):
     got = queries.QUERIES["op10_hnsw"](spark, data).collect()
     rows = spark.read.parquet(f"{data}/embeddings.parquet").collect()
