@@ -67,7 +67,7 @@ def build_index(vectors: DataFrame, k: int, *, id_col: str = "vec_id", vector_co
     shards = max(1, math.ceil(nodes.count() / SHARD_NODES))
     dealt = (
         nodes.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
-        .repartition(shards, "shard")
+        .repartitionById(shards, "shard")
         .sortWithinPartitions("shard", F.col("ids")[0])
     )
     return materialize(dealt.mapInArrow(_build_shards, INDEX_SCHEMA), "hnsw-index")
@@ -98,7 +98,7 @@ def search_index(index: DataFrame, queries: DataFrame, k: int = 10, *, id_col: s
     right = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(max(shards, 1) - 1)))).select(
         F.col("shard").cast("int").alias("shard"), F.lit(1).alias("kind"), "id", "v", none.alias("graph")
     )
-    meet = left.unionByName(right).repartition(max(shards, 1), "shard").sortWithinPartitions("shard", "kind")
+    meet = left.unionByName(right).repartitionById(max(shards, 1), "shard").sortWithinPartitions("shard", "kind")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _search_shards(batches, k, ef)

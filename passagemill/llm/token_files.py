@@ -3,24 +3,27 @@
 File format. A file set is a Parquet folder; a row is a segment: consecutive
 documents in order, with ``shard`` and ``segment`` giving the order of rows. The
 payload of a segment holds, behind a magic word, its documents' ids and token
-counts and then its blocks. Every ``BLOCK_IDS`` ids are a block that is coded with
-fresh models and has its own CRC-32 (of its ids and its code), so a damaged block is noticed and no block
-needs another one.
+counts, its starting model, a CRC-32 of both, and then its blocks. Every ``BLOCK_IDS``
+ids are a block that is coded from the starting model on and has its own CRC-32 (of its
+ids and its code), so a damaged block is noticed and no block needs another one.
 
-Model of a block. Ids are numbered by frequency inside the block. Order 2 and order
+Model of a block. Ids are numbered by frequency inside the segment. Order 2 and order
 1 each predict one id from the last two ids and the last id; their chance to be
 right is learned per level of confidence, and the two are mixed by a weight that
-follows whichever predicts better. What they miss is coded by an order-0 model:
-adaptive frequencies of the number's bit length, then its lower bits. All chances
+follows whichever predicts better. What they miss is coded by order 0, the frequencies
+of all ids. The starting model holds these frequencies and what orders 1 and 2 should
+expect at first, learned from blocks spread over the segment. All chances
 are integers, so the reader repeats the writer's steps exactly. Blocks of a segment
 are coded side by side, one numpy step for one id of each.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,160 +36,201 @@ from pyspark.sql import functions as F
 #: Ids in a block, ids after which a segment ends at the next document.
 BLOCK_IDS = 2048
 SEGMENT_IDS = 1 << 22
+#: Ids from which orders 1 and 2 learn what to expect at first.
+START_IDS = 1 << 18
 #: Encoded words that a task remembers, characters of text encoded at a time.
 REMEMBERED = 600_000
 SLICE_CHARS = 1 << 20
 
-_MAGIC = b"TIDS1\0"
-_HEAD = "<QQQ"  # documents, blocks, bytes of the index
-_BLOCK = "<IIII"  # ids, bytes of the table, bytes of the code, checksum
-_CELLS = 2048  # contexts of a block and order
-_LEVELS = 8  # of confidence
-_CLASSES = 16  # bit lengths of a number
-_ONE = np.uint64(1)
-_TOP, _BOTTOM = np.uint64(1 << 56), np.uint64(1 << 48)
+_MAGIC = b"TIDS2\0"
+_HEAD = "<QQQQI"  # documents, blocks, bytes of the index and of the starting model, checksum
+_BLOCK = "<III"  # ids, bytes of the code, checksum
+_CELLS = 4096  # contexts of a block and order
+_LEVELS = 8  # of confidence, the lowest bits of a cell; a cell of -1 is empty
+_TOP, _BOTTOM, _BYTE = np.uint64(1 << 56), np.uint64(1 << 48), np.uint64(8)
 _SCHEMA = "shard int, segment int, documents bigint, ids bigint, payload binary"
 
 
+class _Start:
+    """The starting model of a segment: ids by frequency, order-0 chances, first cells of orders 2 and 1."""
+
+    def __init__(self, values: np.ndarray, chances: np.ndarray, cells2: np.ndarray, cells1: np.ndarray):
+        self.values, self.chances, self.cells2, self.cells1 = values, chances, cells2, cells1
+        self.cdf = np.concatenate([[0], np.cumsum(chances, dtype=np.uint64)]).astype(np.uint64)
+        self.bits = np.uint64(int(self.cdf[-1]).bit_length() - 1)  # chances sum to a power of two
+
+    @classmethod
+    def learn(cls, ids: np.ndarray) -> tuple[_Start, np.ndarray]:
+        """The starting model, and the ids as numbers by frequency."""
+        values, inverse, seen = np.unique(ids, return_inverse=True, return_counts=True)
+        order = np.argsort(-seen, kind="stable")
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order))
+        kinds, total = len(values), 1 << max(16, len(values).bit_length() + 2)
+        chances = 1 + seen[order] * (total - kinds) // len(ids)
+        chances[0] += total - chances.sum()
+        numbers = place[inverse]
+        step = max(1, len(numbers) // START_IDS)
+        some = numbers[:len(numbers) // BLOCK_IDS * BLOCK_IDS].reshape(-1, BLOCK_IDS)[::step].astype(np.int64)
+        last, before, now = some[:, 1:-1].ravel(), some[:, :-2].ravel(), some[:, 2:].ravel()
+        return cls(values[order], chances, _expected(_context2(last, before), now), _expected(last & (_CELLS - 1), now)), numbers
+
+    def pack(self) -> bytes:
+        raw = self.values.astype("<u4").tobytes() + self.chances.astype("<u4").tobytes()
+        return struct.pack("<I", len(self.values)) + zlib.compress(raw + self.cells2.tobytes() + self.cells1.tobytes(), 6)
+
+    @classmethod
+    def unpack(cls, data: bytes) -> _Start:
+        kinds, raw = struct.unpack_from("<I", data)[0], zlib.decompress(data[4:])
+        values, chances = np.frombuffer(raw, "<u4", kinds), np.frombuffer(raw, "<u4", kinds, 4 * kinds)
+        cells = np.frombuffer(raw, "<i4", 2 * _CELLS, 8 * kinds)
+        return cls(values, chances, cells[:_CELLS], cells[_CELLS:])
+
+
+def _context2(last: np.ndarray, before: np.ndarray) -> np.ndarray:
+    return (last * 1061 + before * 31) & (_CELLS - 1)
+
+
+def _expected(context: np.ndarray, now: np.ndarray) -> np.ndarray:
+    """Per context the number that most often follows, with its level; -1 where there is too little to learn."""
+    cells = np.full(_CELLS, -1, np.int32)
+    pairs, seen = np.unique(context << 32 | now, return_counts=True)
+    context, now = pairs >> 32, pairs & 0xFFFFFFFF
+    all_seen = np.bincount(context, seen, minlength=_CELLS)
+    order = np.lexsort((now, -seen, context))
+    order = order[np.append(True, np.diff(context[order]) > 0)] if len(order) else order
+    order = order[seen[order] > 3]
+    level = np.minimum(seen[order] * _LEVELS // all_seen[context[order]].astype(np.int64), _LEVELS - 1)
+    cells[context[order]] = now[order] * _LEVELS + level
+    return cells
+
+
 class _Models:
-    """The models of all blocks of a segment; row b belongs to block b."""
-
-    def __init__(self, blocks: int):
-        self.rows = np.arange(blocks)
-        self.seen2 = np.full((blocks, _CELLS), -1, np.int32)
-        self.seen1 = np.full((blocks, _CELLS), -1, np.int32)
-        self.sure2 = np.zeros((blocks, _CELLS), np.uint8)
-        self.sure1 = np.zeros((blocks, _CELLS), np.uint8)
-        start = (np.arange(_LEVELS) * 300 + 200).astype(np.int64)
-        self.right2 = np.tile(start, (blocks, 1))
-        self.right1 = np.tile(start // 2, (blocks, 1))
+    """The models of all blocks of a segment; cells lie block after block."""
+
+    def __init__(self, start: _Start, blocks: int):
+        rows = np.arange(blocks)
+        self.off, self.off_level = rows * _CELLS, rows * _LEVELS
+        self.cells2, self.cells1 = np.tile(start.cells2, blocks), np.tile(start.cells1, blocks)
+        chance = np.arange(_LEVELS) * 480 + 240
+        self.right2, self.right1 = np.tile(chance, blocks), np.tile(chance, blocks)
         self.weight = np.full(blocks, 128, np.int64)
-        self.cdf = np.tile(np.arange(_CLASSES + 1, dtype=np.int64) * (4096 // _CLASSES), (blocks, 1))
-        self.last = np.zeros(blocks, np.int64)
-        self.before = np.zeros(blocks, np.int64)
-        self.steps = np.arange(_CLASSES + 1, dtype=np.int64)
+        self.last, self.before = np.zeros(blocks, np.int64), np.zeros(blocks, np.int64)
 
     def predict(self, n: int) -> None:
-        """For the first n blocks: what orders 2 and 1 expect, and their chances of 4096."""
-        self.n, r = n, self.rows[:n]
-        self.at2 = (self.last[:n] * 1061 + self.before[:n] * 31) & (_CELLS - 1)
-        self.at1 = self.last[:n] & (_CELLS - 1)
-        self.id2, self.id1 = self.seen2[r, self.at2], self.seen1[r, self.at1]
-        self.level2, self.level1 = self.sure2[r, self.at2], self.sure1[r, self.at1]
-        chance2 = np.where(self.id2 >= 0, self.right2[r, self.level2], 0)
-        chance1 = np.where(self.id1 >= 0, self.right1[r, self.level1], 0)
-        w = self.weight[:n]
-        part2, part1 = (chance2 * w) >> 8, (chance1 * (256 - w)) >> 8
-        same = self.id2 == self.id1
-        self.one = np.maximum(part2 + np.where(same, part1, 0), 1)
-        self.two = self.one + np.maximum(np.where(same, 0, part1), 1)
-
-    def update(self, number: np.ndarray, size: np.ndarray, missed: np.ndarray) -> None:
-        """After the blocks' next numbers: ``size`` their bit length, ``missed`` where order 0 coded."""
-        n, r = self.n, self.rows[:self.n]
+        """For the first n blocks: what orders 2 and 1 expect, and where their shares of 4096 end."""
+        self.n = n
+        last, w = self.last[:n], self.weight[:n]
+        self.at2 = _context2(last, self.before[:n]) + self.off[:n]
+        self.at1 = (last & (_CELLS - 1)) + self.off[:n]
+        self.cell2, self.cell1 = self.cells2.take(self.at2), self.cells1.take(self.at1)
+        self.id2, self.id1 = self.cell2 >> 3, self.cell1 >> 3
+        self.level2, self.level1 = (self.cell2 & 7) + self.off_level[:n], (self.cell1 & 7) + self.off_level[:n]
+        self.chance2, self.chance1 = self.right2.take(self.level2), self.right1.take(self.level1)
+        part2 = (self.chance2 * w >> 8) * (self.cell2 >= 0)
+        part1 = (self.chance1 * (256 - w) >> 8) * (self.cell1 >= 0)
+        both = np.where(self.id2 == self.id1, part1, 0)
+        self.one = np.maximum(part2 + both, 1)
+        self.two = self.one + np.maximum(part1 - both, 1)
+
+    def update(self, number: np.ndarray) -> None:
+        """After the next number of each block."""
+        n = self.n
         hit2, hit1 = self.id2 == number, self.id1 == number
-        for hit, right, level in ((hit2, self.right2, self.level2), (hit1, self.right1, self.level1)):
-            now = right[r, level]
-            right[r, level] = now + np.where(hit, (3900 - now) >> 5, -(now >> 5))
-        w = self.weight[:n]
-        w += np.where(hit2 > hit1, (250 - w) >> 5, np.where(hit1 > hit2, -((w - 6) >> 5), 0))
-        for hit, seen, sure, at, known, level in (
-            (hit2, self.seen2, self.sure2, self.at2, self.id2, self.level2),
-            (hit1, self.seen1, self.sure1, self.at1, self.id1, self.level1),
+        first = number << 3
+        for hit, right, level, chance, cells, cell, at in (
+            (hit2, self.right2, self.level2, self.chance2, self.cells2, self.cell2, self.at2),
+            (hit1, self.right1, self.level1, self.chance1, self.cells1, self.cell1, self.at1),
         ):
-            seen[r, at] = np.where(hit | (level > 1), known, number)
-            sure[r, at] = np.where(hit, np.minimum(level + 1, _LEVELS - 1), level >> 1)
-        cdf = self.cdf[:n]
-        goal = self.steps + np.where(self.steps > size[:, None], 4096 - _CLASSES, 0)
-        cdf += np.where(missed[:, None], (goal - cdf) >> 5, 0)
+            right[level] = chance + ((hit * 4000 - chance) >> 5)
+            sure = cell & 7
+            missed = np.where((sure > 1) & (cell >= 0), cell - sure + (sure >> 1), first)
+            cells[at] = np.where(hit, cell + (sure < 7), missed)
+        w = self.weight[:n]
+        side = hit2.view(np.int8) - hit1.view(np.int8)
+        w += np.where(side > 0, (250 - w) >> 5, np.where(side < 0, -((w - 6) >> 5), 0))
         self.before[:n] = self.last[:n]
         self.last[:n] = number
 
 
-def _bit_length(number: np.ndarray) -> np.ndarray:
-    return np.frexp(number.astype(np.float64))[1].astype(np.int64)
-
-
-def _write_blocks(numbers: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+def _settle(low: np.ndarray, span: np.ndarray, take) -> None:
+    """Shift out the leading bytes that no later step can change."""
+    rows = np.flatnonzero(((low ^ (low + span)) < _TOP) | (span < _BOTTOM))
+    while len(rows):
+        lo, sp = low[rows], span[rows]
+        tight = (lo ^ (lo + sp)) >= _TOP  # the interval lies across a border: keep the part below it
+        if tight.any():
+            sp[tight] = (~lo[tight] + np.uint64(1)) & (_BOTTOM - np.uint64(1))
+        take(rows, lo >> np.uint64(56))
+        lo, sp = lo << _BYTE, sp << _BYTE
+        low[rows], span[rows] = lo, sp
+        rows = rows[((lo ^ (lo + sp)) < _TOP) | (sp < _BOTTOM)]
+
+
+def _write_blocks(numbers: np.ndarray, lengths: np.ndarray, start: _Start) -> list[bytes]:
     """Code the numbers of every block (rows, longest block first)."""
     blocks, most = len(numbers), int(lengths[0])
-    models = _Models(blocks)
+    models = _Models(start, blocks)
     low = np.zeros(blocks, np.uint64)
     span = np.full(blocks, np.uint64(0xFFFFFFFFFFFFFFFF))
-    out = np.zeros((blocks, most * 5 + 16), np.uint8)
-    end = np.zeros(blocks, np.int64)
-    sizes = _bit_length(numbers)
-    columns, size_columns = np.ascontiguousarray(numbers.T), np.ascontiguousarray(sizes.T)
+    width = most * 5 + 16
+    out = np.zeros(blocks * width, np.uint8)
+    begin = np.arange(blocks) * width
+    end = begin.copy()
+
+    def take(rows: np.ndarray, top: np.ndarray) -> None:
+        at = end[rows]
+        out[at] = top
+        end[rows] = at + 1
+
+    columns = np.ascontiguousarray(numbers.T)
     active = blocks
     for t in range(most):
         while lengths[active - 1] <= t:
             active -= 1
         models.predict(active)
-        number, size = columns[t, :active].astype(np.int64), size_columns[t, :active]
+        number = columns[t, :active].astype(np.int64)
         lo, sp = low[:active], span[:active]
         is2 = models.id2 == number
-        is1 = ~is2 & (models.id1 == number)
-        missed = ~(is2 | is1)
-        start = np.where(is2, 0, np.where(is1, models.one, models.two))
-        stop = np.where(is2, models.one, np.where(is1, models.two, 4096))
+        missed = ~(is2 | (models.id1 == number))
+        first = np.where(is2, 0, np.where(missed, models.two, models.one))
+        stop = np.where(is2, models.one, np.where(missed, 4096, models.two))
         unit = sp >> np.uint64(12)
-        lo += unit * start.astype(np.uint64)
-        sp[:] = unit * (stop - start).astype(np.uint64)
+        lo += unit * first.astype(np.uint64)
+        sp[:] = unit * (stop - first).astype(np.uint64)
         m = np.flatnonzero(missed)
-        if len(m):
-            unit = sp[m] >> np.uint64(12)
-            at = models.cdf[m, size[m]]
-            low_bits = np.maximum(size[m] - 1, 0).astype(np.uint64)
-            wide = unit * (models.cdf[m, size[m] + 1] - at).astype(np.uint64) >> low_bits
-            rest = number[m].astype(np.uint64) & ((_ONE << low_bits) - _ONE)
-            lo[m] += unit * at.astype(np.uint64) + wide * rest
-            sp[m] = wide
-        models.update(number, size, missed)
-        _settle(lo, sp, lambda rows, top: _put(out, end, rows, top))
+        unit = sp[m] >> start.bits
+        lo[m] += unit * start.cdf[number[m]]
+        sp[m] = unit * start.chances[number[m]].astype(np.uint64)
+        models.update(number)
+        _settle(lo, sp, take)
+    every = np.arange(blocks)
     for _ in range(8):
-        _put(out, end, np.arange(blocks), (low >> np.uint64(56)).astype(np.uint8))
-        low <<= np.uint64(8)
-    return [out[b, :end[b]].tobytes() for b in range(blocks)]
+        take(every, low >> np.uint64(56))
+        low <<= _BYTE
+    return [out[a:b].tobytes() for a, b in zip(begin, end, strict=True)]
 
 
-def _settle(low: np.ndarray, span: np.ndarray, take) -> None:
-    """Shift out the leading bytes that no later step can change."""
-    while True:
-        fixed = (low ^ (low + span)) < _TOP
-        narrow = ~fixed & (span < _BOTTOM)
-        rows = np.flatnonzero(fixed | narrow)
-        if not len(rows):
-            return
-        tight = np.flatnonzero(narrow)
-        if len(tight):  # the interval lies across a border: keep the part below it
-            span[tight] = (~low[tight] + _ONE) & (_BOTTOM - _ONE)
-        take(rows, (low[rows] >> np.uint64(56)).astype(np.uint8))
-        low[rows] <<= np.uint64(8)
-        span[rows] <<= np.uint64(8)
-
-
-def _put(out: np.ndarray, end: np.ndarray, rows: np.ndarray, top: np.ndarray) -> None:
-    out[rows, end[rows]] = top
-    end[rows] += 1
-
-
-def _read_blocks(coded: list[bytes], lengths: np.ndarray) -> np.ndarray:
+def _read_blocks(coded: list[bytes], lengths: np.ndarray, start: _Start) -> np.ndarray:
     """The numbers of every block; the longest block comes first."""
     blocks, most = len(coded), int(lengths[0])
-    models = _Models(blocks)
+    models = _Models(start, blocks)
+    slots = np.repeat(np.arange(len(start.chances)), start.chances)
     width = max(map(len, coded)) + 16
     data = np.zeros((blocks, width), np.uint8)
     for b, c in enumerate(coded):
         data[b, :len(c)] = np.frombuffer(c, np.uint8)
-    at = np.full(blocks, 8, np.int64)
     code = data[:, :8].copy().view(">u8")[:, 0].astype(np.uint64)
+    data, at = data.ravel(), np.arange(blocks) * width + 8
+    end = np.arange(1, blocks + 1) * width - 1
     low = np.zeros(blocks, np.uint64)
     span = np.full(blocks, np.uint64(0xFFFFFFFFFFFFFFFF))
-    columns = np.zeros((most, blocks), np.int64)
+    columns = np.zeros((most, blocks), np.int32)
 
     def take(rows: np.ndarray, _) -> None:
-        code[rows] = (code[rows] << np.uint64(8)) | data[rows, np.minimum(at[rows], width - 1)].astype(np.uint64)
-        at[rows] += 1
+        here = at[rows]
+        code[rows] = (code[rows] << _BYTE) | data[np.minimum(here, end[rows])]  # damaged code may end too early
+        at[rows] = here + 1
 
     active = blocks
     for t in range(most):
@@ -197,80 +241,67 @@ def _read_blocks(coded: list[bytes], lengths: np.ndarray) -> np.ndarray:
         unit = sp >> np.uint64(12)
         value = np.minimum((co - lo) // unit, np.uint64(4095)).astype(np.int64)
         is2, missed = value < models.one, value >= models.two
-        start = np.where(is2, 0, np.where(missed, models.two, models.one))
+        first = np.where(is2, 0, np.where(missed, models.two, models.one))
         stop = np.where(is2, models.one, np.where(missed, 4096, models.two))
         number = np.where(is2, models.id2, models.id1).astype(np.int64)
-        lo += unit * start.astype(np.uint64)
-        sp[:] = unit * (stop - start).astype(np.uint64)
+        lo += unit * first.astype(np.uint64)
+        sp[:] = unit * (stop - first).astype(np.uint64)
         m = np.flatnonzero(missed)
-        if len(m):
-            unit = sp[m] >> np.uint64(12)
-            value = np.minimum((co[m] - lo[m]) // unit, np.uint64(4095)).astype(np.int64)
-            size = (models.cdf[m, 1:] <= value[:, None]).sum(1)
-            begin = models.cdf[m, size]
-            low_bits = np.maximum(size - 1, 0).astype(np.uint64)
-            wide = unit * (models.cdf[m, size + 1] - begin).astype(np.uint64) >> low_bits
-            lo[m] += unit * begin.astype(np.uint64)
-            rest = np.minimum((co[m] - lo[m]) // wide, (_ONE << low_bits) - _ONE)
-            lo[m] += wide * rest
-            sp[m] = wide
-            number[m] = np.where(size > 0, (_ONE << low_bits) | rest, 0).astype(np.int64)
+        unit = sp[m] >> start.bits
+        got = slots[np.minimum((co[m] - lo[m]) // unit, np.uint64(len(slots) - 1)).astype(np.int64)]
+        lo[m] += unit * start.cdf[got]
+        sp[m] = unit * start.chances[got].astype(np.uint64)
+        number[m] = got
         columns[t, :active] = number
-        models.update(number, _bit_length(number), missed)
+        models.update(number)
         _settle(lo, sp, take)
     return columns.T
 
 
 def pack(doc_ids: list, counts: np.ndarray, ids: np.ndarray) -> bytes:
-    """A segment of documents with ``counts`` ids each (at most 65,536 different ids in a block)."""
+    """A segment of documents with ``counts`` ids each."""
     blocks = [ids[a:a + BLOCK_IDS] for a in range(0, len(ids), BLOCK_IDS)]
     lengths = np.array([len(b) for b in blocks], np.int64)
-    numbers = np.zeros((len(blocks), BLOCK_IDS if len(blocks) else 0), np.uint16)
-    tables = []
-    for i, block in enumerate(blocks):
-        values, inverse, seen = np.unique(block, return_inverse=True, return_counts=True)
-        order = np.argsort(-seen, kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        numbers[i, :len(block)] = place[inverse]
-        tables.append(zlib.compress(np.diff(values, prepend=np.uint32(0)).astype(np.uint32).tobytes() + seen.astype(np.uint16).tobytes(), 6))
-    coded = _write_blocks(numbers, lengths) if blocks else []
     names = np.array([-(1 << 63) if d is None else d for d in doc_ids], np.int64)
     index = zlib.compress(names.tobytes() + counts.astype(np.int64).tobytes(), 6)
-    parts = [_MAGIC, struct.pack(_HEAD, len(doc_ids), len(blocks), len(index)), index]
-    for block, table, code in zip(blocks, tables, coded, strict=True):
-        parts += [struct.pack(_BLOCK, len(block), len(table), len(code), zlib.crc32(code, zlib.crc32(block.tobytes()))), table, code]
+    model, coded = b"", []
+    if blocks:
+        start, numbers = _Start.learn(ids)
+        model = start.pack()
+        numbers = np.pad(numbers, (0, len(blocks) * BLOCK_IDS - len(ids))).reshape(len(blocks), BLOCK_IDS)
+        coded = _write_blocks(numbers, lengths, start)
+    head = struct.pack(_HEAD, len(doc_ids), len(blocks), len(index), len(model), zlib.crc32(model, zlib.crc32(index)))
+    parts = [_MAGIC, head, index, model]
+    for block, code in zip(blocks, coded, strict=True):
+        parts += [struct.pack(_BLOCK, len(block), len(code), zlib.crc32(code, zlib.crc32(block.tobytes()))), code]
     return b"".join(parts)
 
 
 def unpack(payload: bytes) -> tuple[list, np.ndarray, np.ndarray]:
-    """doc_ids, counts and all ids of a segment; a block that does not match its checksum is an error."""
+    """doc_ids, counts and all ids of a segment; a part that does not match its checksum is an error."""
     if payload[:len(_MAGIC)] != _MAGIC:
         raise ValueError("not a segment of token ids")
     at = len(_MAGIC)
-    documents, n, size = struct.unpack_from(_HEAD, payload, at)
+    documents, n, size, model, crc = struct.unpack_from(_HEAD, payload, at)
     at += struct.calcsize(_HEAD)
+    if zlib.crc32(payload[at:at + size + model]) != crc:
+        raise ValueError("the index or the starting model does not match its checksum")
     index = np.frombuffer(zlib.decompress(payload[at:at + size]), np.int64)
-    at += size
+    start = _Start.unpack(payload[at + size:at + size + model]) if n else None
+    at += size + model
     names, counts = index[:documents], index[documents:]
-    tables, coded, lengths, sums = [], [], [], []
+    coded, lengths, sums = [], [], []
     for _ in range(n):
-        length, table, code, crc = struct.unpack_from(_BLOCK, payload, at)
+        length, code, crc = struct.unpack_from(_BLOCK, payload, at)
         at += struct.calcsize(_BLOCK)
-        raw = zlib.decompress(payload[at:at + table])
-        kinds = len(raw) // 6
-        values = np.cumsum(np.frombuffer(raw, np.uint32, kinds), dtype=np.uint32)
-        seen = np.frombuffer(raw, np.uint16, kinds, kinds * 4).astype(np.int64)
-        tables.append(values[np.argsort(-seen, kind="stable")])
-        at += table
         coded.append(payload[at:at + code])
         at += code
         lengths.append(length)
         sums.append(crc)
     ids = np.zeros(0, np.uint32)
     if n:
-        numbers = _read_blocks(coded, np.array(lengths, np.int64))
-        parts = [t[np.minimum(numbers[b, :lengths[b]], len(t) - 1)] for b, t in enumerate(tables)]
+        numbers = _read_blocks(coded, np.array(lengths, np.int64), start)
+        parts = [start.values[numbers[b, :length]].astype(np.uint32) for b, length in enumerate(lengths)]
         for b, part in enumerate(parts):
             if zlib.crc32(coded[b], zlib.crc32(part.tobytes())) != sums[b]:
                 raise ValueError(f"block {b} does not match its checksum")
@@ -278,29 +309,76 @@ def unpack(payload: bytes) -> tuple[list, np.ndarray, np.ndarray]:
     return [None if d == -(1 << 63) else d for d in names.tolist()], counts, ids
 
 
+#: Steps that change single characters or act alike on both sides of a blank, and such that drop blanks.
+_LOCAL_STEPS = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents", "Nmt"}
+_DROPPING_STEPS = {"Whitespace", "WhitespaceSplit", "BertPreTokenizer"}
+
+
+def drops_blanks(tokenizer: str) -> bool:
+    """Whether a tokenizer file gives the same ids if texts are cut at blanks and line ends.
+
+    That holds if its normalizer only changes single characters or shortens white
+    space, its first pre-tokenizer drops blanks (shown by the library on a probe for patterns),
+    and no added token holds a blank or takes those beside it.
+    """
+    from tokenizers import Tokenizer
+
+    def steps(part: dict | None, name: str) -> list[dict]:
+        return [] if part is None else part[name] if part["type"] == "Sequence" else [part]
+
+    settings = json.loads(tokenizer)
+    shorter = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+    if not all(n["type"] in _LOCAL_STEPS or n == shorter for n in steps(settings.get("normalizer"), "normalizers")):
+        return False
+    if any(t["lstrip"] or t["rstrip"] or set(t["content"]) & set(" \n") for t in settings.get("added_tokens") or []):
+        return False
+    first = steps(settings.get("pre_tokenizer"), "pretokenizers")[:1]
+    if not first or settings["model"].get("type") == "Unigram":
+        return False
+    if first[0]["type"] in _DROPPING_STEPS:
+        return True
+    if first[0]["type"] != "Split" or first[0]["behavior"] != "Removed" or not first[0]["invert"]:
+        return False
+    split = Tokenizer.from_str(tokenizer).pre_tokenizer.pre_tokenize_str
+
+    def probe(text: str) -> list[str]:
+        return [piece for piece, _ in split(text)]
+
+    marks = "aZ7.'é"
+    return not any(probe(blank) for blank in (" ", "  ", "\n", " \n ")) and all(
+        probe(f"{a}{blank}{b}") == probe(a) + probe(b) for a in marks for b in marks for blank in (" ", "\n")
+    )
+
+
 class WordEncoder:
-    """Ids of texts by a tokenizer file; each word is encoded once and remembered.
+    """Ids of texts by a tokenizer file, each text encoded as a whole or word by word.
 
-    Texts are cut at blanks and line ends, which the tokenizer itself drops, and
-    every part is encoded by the library. Other white space stays inside parts.
+    Where the tokenizer drops blanks (``drops_blanks``), texts are cut at blanks and
+    line ends, and every part is encoded once by the library and remembered; other white
+    space stays inside parts. Otherwise the library gets whole texts.
     """
 
     def __init__(self, tokenizer: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer
 
-        self.encode_batch = Tokenizer.from_str(tokenizer).encode_batch
+        self.encode_batch = Tokenizer.from_str(tokenizer).encode_batch_fast
         self.end = np.array([end_id], np.uint32).tobytes()
+        self.cut = drops_blanks(tokenizer)
         self.known: dict[str, bytes] = {}
 
+    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
+        return (array("I", got.ids).tobytes() for got in self.encode_batch(texts, add_special_tokens=False))
+
     def __call__(self, texts: list[str]) -> list[bytes]:
+        if not self.cut:
+            return [got + self.end for got in self._encoded(texts)]
         parts = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh = [w for w in set().union(*parts) if w not in self.known]
+        words = set().union(*parts)
+        fresh = list(words.difference(self.known))
         if len(self.known) + len(fresh) > REMEMBERED:
-            self.known = {}
-            fresh = list(set().union(*parts))
-        for word, got in zip(fresh, self.encode_batch(fresh, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(got.ids, np.uint32).tobytes()
+            self.known, fresh = {}, list(words)
+        self.known.update(zip(fresh, self._encoded(fresh), strict=True))
         return [b"".join(map(self.known.__getitem__, p)) + self.end for p in parts]
 
 
@@ -309,7 +387,8 @@ def write_ids(documents: DataFrame, path: str, tokenizer_path: str, end_id: int
 
     Null ids come first; rows of one doc_id are ordered by their text. Null and
     empty texts consist of the end id alone. Texts are dealt by ranges of doc_id
-    and a hash of the text, so rows of one id can lie in several tasks. Other
+    and a hash of the text, so rows of one id can lie in several tasks. A long text is
+    encoded whole, and its ids are one value of a segment. Other
     columns are ignored. The tokenizer file is read on the driver and sent along.
     """
     with open(tokenizer_path, encoding="utf-8") as file:

@@ -59,3 +59,62 @@ def test_no_rows(spark, tmp_path):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     token_files.write_ids(df, str(tmp_path / "t"), PATH)
     assert token_files.read_ids(spark, str(tmp_path / "t")).collect() == []
+
+
+def test_smaller_than_general_compression(spark, data):
+    """The ids of real texts need less than zlib's and less than their order-0 entropy."""
+    texts = [r.text or "" for r in spark.read.parquet(f"{data}/documents.parquet").orderBy("doc_id").collect()]
+    with open(PATH, encoding="utf-8") as file:
+        ids = np.frombuffer(b"".join(token_files.WordEncoder(file.read(), 1)(texts)), np.uint32)
+    payload = token_files.pack([0], np.array([len(ids)]), ids)
+    share = np.unique(ids, return_counts=True)[1] / len(ids)
+    assert len(payload) < len(zlib.compress(ids.astype(np.uint16).tobytes(), 6))
+    assert len(payload) < -(share * np.log2(share)).sum() / 8 * len(ids)
+
+
+def tokenizer(pre, normalizer=None, added=()):
+    """A tokenizer file of single letters and blanks with the given first steps."""
+    import json
+
+    letters = [chr(c) for c in range(33, 127)] + ["Ġ", "Ċ", "▁"]
+    return json.dumps({
+        "version": "1.0", "truncation": None, "padding": None, "normalizer": normalizer, "pre_tokenizer": pre, "post_processor": None, "decoder": None,
+        "added_tokens": [{"id": 500 + i, "content": t, "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False} for i, t in enumerate(added)],
+        "model": {
+            "type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "fuse_unk": False,
+            "byte_fallback": False, "ignore_merges": False, "vocab": {c: i for i, c in enumerate(letters)}, "merges": [],
+        },
+    })
+
+
+@pytest.mark.parametrize(
+    ("file", "cut"),
+    [
+        (tokenizer({"type": "Whitespace"}), True),
+        (tokenizer({"type": "WhitespaceSplit"}, {"type": "Lowercase"}), True),
+        (tokenizer({"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}), False),
+        (tokenizer({"type": "Metaspace", "replacement": "▁", "prepend_scheme": "always", "split": True}), False),
+        (tokenizer({"type": "Split", "pattern": {"Regex": "[a-z]+ ?"}, "behavior": "Removed", "invert": True}), False),
+        (tokenizer({"type": "Split", "pattern": {"Regex": "[^\\s]+"}, "behavior": "Removed", "invert": True}), True),
+        (tokenizer({"type": "Whitespace"}, added=["a b"]), False),
+        (tokenizer({"type": "Whitespace"}, {"type": "Replace", "pattern": {"String": "a b"}, "content": "c"}), False),
+        (tokenizer(None), False),
+    ],
+)
+def test_texts_are_cut_only_where_the_tokenizer_drops_blanks(file, cut):
+    assert token_files.drops_blanks(file) == cut
+    texts = ["a b", "", "some  words\nand lines ", " a b a", "x" * 3000]
+    library = Tokenizer.from_str(file)
+    got = token_files.WordEncoder(file, 7)(texts)
+    assert [np.frombuffer(g, np.uint32).tolist() for g in got] == [[*library.encode(t, add_special_tokens=False).ids, 7] for t in texts]
+
+
+def test_long_texts_and_forgotten_words(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 50)
+    monkeypatch.setattr(token_files, "SLICE_CHARS", 400)
+    texts = [" ".join(f"w{i * j % 97}x" for j in range(200)) for i in range(12)] + ["one two"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    token_files.write_ids(df, str(tmp_path / "t"), PATH, partitions=2)
+    library = Tokenizer.from_file(PATH)
+    got = {r.doc_id: r.ids for r in token_files.read_ids(spark, str(tmp_path / "t")).collect()}
+    assert got == {i: [*library.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
