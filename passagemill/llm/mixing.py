@@ -77,15 +77,28 @@ def mix(documents: DataFrame, *, share: float = 1.0, weights: tuple[int, ...] =
     taken at no cost; a source without words has target 0; null ids and sources
     are values like others; an empty table gives no rows.
     """
-    sized = documents.select(
-        "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size")
-    )
-    # equal rows are one unit with a count, so they cannot crowd a block
-    units = materialize(
-        sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows"))
-        .withColumn("unit", F.xxhash64("doc_id", "source", "size")),
-        "mix-units",
+    sized = documents.select("doc_id", "source", _size().alias("size"))
+    units = sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows"))
+    counted = _copies(units, share, weights, most, seed)
+    # back to one row per input row: the first of equal rows take the remainder
+    each = counted.withColumn("_no", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
+    share_of = F.floor(F.col("_copies") / F.col("rows"))
+    left = F.col("_copies") - share_of * F.col("rows")
+    copies = (share_of + F.when(F.col("_no") <= left, 1).otherwise(0)).cast("int")
+    return each.withColumn("copies", copies).select(
+        "doc_id", "source", "size", F.col("source_size").cast("bigint").alias("source_size"),
+        "target", "copies", (F.col("copies") * F.col("size")).cast("bigint").alias("taken"), F.col("_no").alias("no"),
     )
+
+
+def _size() -> Column:
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
+
+
+def _copies(units: DataFrame, share: float, weights: tuple[int, ...], most: float, seed: int) -> DataFrame:
+    """Units (doc_id, source, size, rows) with ``_copies``, the copies of all their rows together."""
+    # equal rows are one unit with a count, so they cannot crowd a block
+    units = materialize(units.withColumn("unit", F.xxhash64("doc_id", "source", "size")), "mix-units")
     targets = source_targets(units.select("source", (F.col("size") * F.col("rows")).alias("words")), share, weights, most)
     counts = units.groupBy("source").agg(F.count("*").alias("n"))
     known = targets.join(counts, targets["source"].eqNullSafe(counts["source"])).select(
@@ -119,39 +132,62 @@ def mix(documents: DataFrame, *, share: float = 1.0, weights: tuple[int, ...] =
             "_key", F.ceil(F.col("of") / BLOCK).alias("of"), F.floor(F.col("block") / BLOCK).alias("block"),
             F.struct("unit", "w", "mass").alias("item"),
         )
-    extra = chosen.filter("full").select(F.col("unit").alias("_unit"), F.lit(1).alias("_one"))
-    counted = ready.join(extra, ready["unit"] == extra["_unit"], "left").withColumn(
+    # units of one hash share a copy instead of being joined twice
+    extra = chosen.filter("full").select(F.col("unit").alias("_unit"), F.lit(1).alias("_one")).dropDuplicates(["_unit"])
+    return ready.join(extra, ready["unit"] == extra["_unit"], "left").withColumn(
         "_copies", F.col("sure") + F.coalesce("_one", F.lit(0))
     )
-    # back to one row per input row: the first of equal rows take the remainder
-    each = counted.withColumn("_no", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
-    share_of = F.floor(F.col("_copies") / F.col("rows"))
-    left = F.col("_copies") - share_of * F.col("rows")
-    copies = (share_of + F.when(F.col("_no") <= left, 1).otherwise(0)).cast("int")
-    return each.withColumn("copies", copies).select(
-        "doc_id", "source", "size", F.col("source_size").cast("bigint").alias("source_size"),
-        "target", "copies", (F.col("copies") * F.col("size")).cast("bigint").alias("taken"), F.col("_no").alias("no"),
-    )
 
 
-def mixed_documents(documents: DataFrame, **settings) -> DataFrame:
+def mixed_documents(
+    documents: DataFrame, *, share: float = 1.0, weights: tuple[int, ...] = WEIGHTS, most: float = MOST, seed: int = 17
+) -> DataFrame:
     """The rows of the mix: every document as often as ``mix`` takes it, with all its columns.
 
-    Documents that are not taken are left out. Of rows that agree in doc_id,
-    source and size, the ones with the smallest text come first.
+    Documents that are not taken are left out. Rows that agree in doc_id, source and
+    size share their copies evenly; what remains goes to those whose digest of all
+    columns is smallest. Digests stand for the rows until the copies are known,
+    so texts are read twice but move at most once, in the last join.
     """
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    same = W.partitionBy("doc_id", "source", "_size").orderBy("text")
-    rows = documents.withColumn("_size", size).withColumn("_no", F.row_number().over(same))
-    taken = mix(documents, **settings).filter("copies > 0").select(
-        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_w"), F.col("no").alias("_n"), F.col("copies").alias("_c")
+    # null columns leave a hash as it is, so their places come in as well
+    nulls = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in documents.columns])
+    values = [F.to_json(F.struct(f"`{c.name}`")) if "map<" in c.dataType.simpleString() else F.col(f"`{c.name}`") for c in documents.schema]
+    one, two = (F.xxhash64(F.lit(i), nulls, *values) for i in (1, 2))
+    narrow = documents.select("doc_id", "source", _size().alias("size"), one.alias("_one_key"), two.alias("_two_key"))
+    alike = materialize(
+        narrow.groupBy("doc_id", "source", "size", "_one_key", "_two_key").agg(F.count("*").alias("same")), "mix-rows"
+    )
+    counted = _copies(alike.groupBy("doc_id", "source", "size").agg(F.sum("same").alias("rows")), share, weights, most, seed)
+    counted = counted.filter("_copies > 0").select(
+        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_w"), "rows", "_copies"
     )
-    match = (
-        rows["doc_id"].eqNullSafe(taken["_d"]) & rows["source"].eqNullSafe(taken["_s"])
-        & (rows["_size"] == taken["_w"]) & (rows["_no"] == taken["_n"])
+    match = alike["doc_id"].eqNullSafe(counted["_d"]) & alike["source"].eqNullSafe(counted["_s"]) & (alike["size"] == counted["_w"])
+    before = W.partitionBy("doc_id", "source", "size").orderBy("_one_key", "_two_key").rowsBetween(W.unboundedPreceding, -1)
+    share_of, left = F.floor(F.col("_copies") / F.col("rows")), F.col("_copies") % F.col("rows")
+    first = F.coalesce(F.sum("same").over(before), F.lit(0))
+    more = F.greatest(F.lit(0), F.least(F.col("same"), left - first))  # of the equal rows, so many take one more
+    whole = more == F.col("same")
+    taken = materialize(
+        alike.join(counted, match).select(
+            F.col("_one_key").alias("_a"), F.col("_two_key").alias("_b"),
+            (share_of + F.when(whole, 1).otherwise(0)).cast("int").alias("_each"), F.when(whole, 0).otherwise(more).cast("int").alias("_some"),
+        ).filter("_each > 0 or _some > 0"),
+        "mix-taken",
     )
-    repeated = rows.join(taken, match).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_c"))))
-    return repeated.select(*documents.columns)
+    names = [f"_c{i}" for i in range(len(documents.columns))]
+    rows = documents.select(one.alias("_one_key"), two.alias("_two_key"), *[F.col(f"`{c}`").alias(n) for c, n in zip(documents.columns, names, strict=True)])
+
+    def met(some: DataFrame) -> DataFrame:
+        return rows.join(broadcast_if_small(some), (rows["_one_key"] == some["_a"]) & (rows["_two_key"] == some["_b"]))
+
+    every = met(taken.filter("_each > 0")).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_each")))).select(*names)
+    few = taken.filter("_some > 0")
+    if not few.isEmpty():  # some of several equal rows: any of them serves as the original
+        once = met(few).groupBy("_a", "_b").agg(F.first("_some").alias("_some"), F.first(F.struct(*names)).alias("_row"))
+        every = every.unionByName(
+            once.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_some")))).select(*[F.col(f"_row.{n}").alias(n) for n in names])
+        )
+    return every.toDF(*documents.columns)
 
 
 def _fold(rows: DataFrame, seed: int, last: bool) -> DataFrame:

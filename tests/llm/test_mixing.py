@@ -70,3 +70,28 @@ def test_chances(spark):
     sizes = {s: sum(i % 7 + 1 for i in range(40) if "ab"[i % 2] == s) for s in "ab"}
     for s, target in targets(sizes).items():
         assert n[s] / 6 == pytest.approx(target, abs=5)
+
+
+def test_documents_of_the_mix_follow_the_copies(spark):
+    """Equal rows, rows that differ in other columns or null places, and null keys."""
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    rows = [(i, "w " * (1 + i % 7), "abc"[i % 3], None if i % 2 else "x", "n") for i in range(300)]
+    rows += [(1000, "same text", "a", "x", None)] * 41 + [(1000, "same text", "a", None, "x")] * 20 + [(1000, "text same", "a", "x", "n")] * 9
+    rows += [(None, "no id", None, "x", "n")] * 3 + [(7, None, "b", "x", "n"), (8, "", "c", "x", "n")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string, unit string")
+    df = df.withColumn("size", F.lit("own")).withColumn("_copies", F.create_map(F.lit("k"), "doc_id"))
+    got = mixing.mixed_documents(df)
+    assert got.columns == df.columns
+    chosen = Counter((r.doc_id, r.source, len((r.text or "").split())) for r in got.collect())
+    wanted = Counter()
+    for r in mixing.mix(df).collect():
+        wanted[r.doc_id, r.source, r.size] += r.copies
+    assert chosen == +wanted
+    each = Counter((r.text, r.lang, r.unit) for r in got.collect() if r.doc_id == 1000)
+    share, left = divmod(wanted[1000, "a", 2], 70)
+    for key, n in {("same text", "x", None): 41, ("same text", None, "x"): 20, ("text same", "x", "n"): 9}.items():
+        assert share * n <= each[key] <= (share + 1) * n
+    assert sorted(map(str, got.collect())) == sorted(map(str, mixing.mixed_documents(df.repartition(5)).collect()))
