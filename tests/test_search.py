@@ -2,9 +2,11 @@
 
 import math
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,3 +158,30 @@ def test_approximate_search_finds_most_neighbours(spark, data):
     assert share > 0.6
     full = recall(ann_topk(q, c, 5, dim=64, cells=4, n_probes=4), exact).first().recall
     assert full == 1.0
+
+
+def test_scoring_holds_steps_of_bounded_size():
+    rng = np.random.default_rng(5)
+    questions, corpus = rng.normal(size=(300, 8)), rng.normal(size=(50_000, 8)).astype(np.float32)
+    corpus[7], corpus[49_000] = corpus[100], corpus[100]  # equal rows: smaller ids first
+    column = pa.FixedSizeListArray.from_arrays(pa.array(corpus.ravel()), 8).cast(pa.list_(pa.float32()))
+    scorer = dense.Scorer(np.arange(300), questions, 3)
+    tracemalloc.start()
+    scorer.offer(np.arange(50_000), column)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6  # one matrix of 256 questions and all rows has 102 MB
+    got = scorer.batch(pa.int64(), pa.int64()).to_pylist()
+    scores = np.round(questions @ corpus.T.astype(float), 6)
+    want = [(q, i, scores[q, i]) for q in range(300) for i in np.lexsort((np.arange(50_000), -scores[q]))[:3]]
+    assert [(r["qid"], r["id"]) for r in got] == [w[:2] for w in want]
+    assert np.allclose([r["score"] for r in got], [w[2] for w in want], atol=1e-9)
+
+
+def test_rounding_may_lift_a_row_into_the_best():
+    scorer = dense.Scorer(np.array([4]), np.array([[1.0]]), 2)
+    values = [0.5000004, 0.5000002, 0.4999998, 0.1, float("nan"), 0.4999996]
+    column = pa.array([[v] for v in values], pa.list_(pa.float64()))
+    for at in (4, 0, 2):  # one batch after the other
+        scorer.offer(np.array([9, 8, 7, 6, 5, 3])[at:at + 2], column[at:at + 2])
+    assert [tuple(r.values()) for r in scorer.batch(pa.int64(), pa.int64()).to_pylist()] == [(4, 3, 0.5), (4, 7, 0.5)]
