@@ -111,3 +111,25 @@ def test_edges(spark):
     skipped = frame(spark, [1, 2], [[1.0, 0.0], [3.0, 0.0]], ok=("boolean", False))
     empty = ann.build_cells(skipped, "cells_empty", dim=2)
     assert rows(ann.search_cells(questions, empty, 2)) == []
+
+
+def test_few_rows_leave_a_slab(spark, clustered, monkeypatch):
+    df, index = clustered
+    leaving = []
+
+    def counted(scored, k):
+        leaving.append(scored.count())
+        return ann_rank_top(scored, k)
+
+    ann_rank_top = ann.rank_top
+    monkeypatch.setattr(ann, "rank_top", counted)
+    want = rows(dense_topk(asked(df), df, 10, dim=32))
+    assert rows(ann.search_cells(asked(df), index, 10, n_probes=20, rerank=1 << 20)) == want
+    assert leaving == [12_000]  # every pair left before: 1,440,000
+    shipped = rows(ann.search_cells(asked(df), index, 10, n_probes=4))
+    monkeypatch.setattr(ann, "SHIP_BYTES", 1)
+    monkeypatch.setattr(ann, "SLAB_ROWS", 400)
+    monkeypatch.setattr(ann, "CELL_QUESTIONS", 500)
+    leaving.clear()
+    assert rows(ann.search_cells(asked(df), index, 10, n_probes=4)) == shipped
+    assert leaving[0] <= 1200 * 3 * 80  # at most three slabs
