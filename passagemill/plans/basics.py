@@ -25,7 +25,7 @@ from ..operators.index import provider, split_by_dimension
 from ..session import work_path
 from ..sources import elements as E
 from ..sources.dead_letters import open_parse, run_parse
-from ..sources.files import file_metadata, file_texts, scan_files
+from ..sources.files import file_metadata, file_texts, in_few_tasks, scan_files
 from ..sources.isolation import check_isolated, parse_isolated, quarantined, succeeded
 from ..sources.tables import (
     append_table,
@@ -218,10 +218,16 @@ def quarantined_pages(spark: SparkSession, sf: str) -> DataFrame:
 def scanned_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Pages written as one file each, found, read and decoded again, and parsed to elements."""
     folder = work_path(spark, "pages")
-    X.table(spark, sf, "pages").select("page_id", "html").write.partitionBy("page_id").option("lineSep", "\x03").text(folder)
-    texts = file_texts(scan_files(spark, folder, ".txt"))
-    page = F.regexp_extract("path", "page_id=([0-9]+)/", 1).cast("bigint")
-    pages = texts.where(F.col("error").isNull()).select(page.alias("page_id"), F.rtrim("text", F.lit("\x03")).alias("html"))
+    pages = X.table(spark, sf, "pages")
+    # one folder for all: a folder of its own per page would make listing cost more than reading.
+    # The id is the last line of a file. Tasks move their files themselves, as the folder is fresh.
+    line = F.concat_ws("\x03", F.coalesce("html", F.lit("")), F.coalesce(F.col("page_id").cast("string"), F.lit("")))
+    writer = pages.select(line.alias("value")).write.option("lineSep", "\x03").option("maxRecordsPerFile", 1)
+    writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(folder)
+    texts = file_texts(in_few_tasks(scan_files(spark, folder, ".txt"))).where(F.col("error").isNull())
+    page = F.regexp_extract("text", "\x03(-?[0-9]*)\x03$", 1).try_cast("bigint")
+    html = F.rtrim(F.regexp_replace("text", "\x03-?[0-9]*\x03$", ""), F.lit("\x03"))
+    pages = texts.select(page.alias("page_id"), html.alias("html"))
     return E.page_elements(pages).where(~F.col("excluded")).select(
         "doc_id", "pos", "kind", "label", "level", "text", "self_ref"
     )

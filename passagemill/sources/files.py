@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,9 @@ from ..functions.text import has_extension, last_segment
 #: Largest file whose content is read; a longer one goes to the error side unread.
 MAX_FILE_BYTES = 64 * 1024 * 1024
 
+#: Splits of a scan that one task takes at most; a split holds a few small files.
+TASK_SPLITS = 64
+
 FILE_SCHEMA = "file_name string, file_path string, file_size bigint, modification_time timestamp"
 
 
@@ -31,6 +36,17 @@ def scan_files(spark: SparkSession, folder: str, extension: str | None = None) -
     return reader.load(folder)
 
 
+def in_few_tasks(files: DataFrame) -> DataFrame:
+    """A scan of very many small files in fewer tasks, each of them with many files.
+
+    Spark counts every file as several megabytes, so that a task has only a few;
+    their contents pass one by one, so a longer task holds no more of them.
+    """
+    splits, cores = files.rdd.getNumPartitions(), files.sparkSession.sparkContext.defaultParallelism
+    tasks = max(4 * cores, math.ceil(splits / TASK_SPLITS))
+    return files.coalesce(tasks) if splits > tasks else files
+
+
 def file_metadata(files: DataFrame, extension: str | None = None) -> DataFrame:
     """``file_name, file_path, file_size, modification_time`` of scanned files."""
     rows = files.select(
