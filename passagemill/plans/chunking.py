@@ -16,6 +16,7 @@ from ..operators.hybrid import hybrid_chunks, merge_peers, split_long_chunks, wi
 from ..operators.ingest import store_chunks
 from ..operators.markdown import markdown_tables
 from ..operators.windows import char_windows, routed_chunks
+from ..session import materialize
 from ..sources.elements import collapse_groups, line_elements, page_elements, turn_elements
 from . import fixtures as X
 
@@ -59,7 +60,9 @@ def turn_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 def page_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """Page text with title and heading, navigation and footer left out."""
-    items = collapse_groups(page_elements(X.table(spark, sf, "pages")))
+    # both are read more than once: a page is parsed once, and lists are collapsed once
+    elements = materialize(page_elements(X.table(spark, sf, "pages")), "elements")
+    items = materialize(collapse_groups(elements), "items")
     return hierarchical_chunks(items).select("doc_id", "pos", "text", _joined("headings"))
 
 
