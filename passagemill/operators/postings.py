@@ -37,6 +37,9 @@ from .topk import SCORE_DECIMALS, Best, hit_schema, numpy_values, rank_top
 SHARD_PASSAGES = 16_384
 BLOCK = 128
 BUCKETS = 64
+#: Tasks that postings are built in at least, and shards of one task beyond that.
+BUILD_TASKS = 32
+TASK_SHARDS = 4
 #: Block maxima that are known per term before a search, and lists merged at a time.
 BEST_KEPT = 64
 MERGED = 1024
@@ -81,9 +84,16 @@ def build_postings(index: DataFrame, name: str, *, k1: float = K1, b: float = B)
     n, total = index.agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0))).first()
     mean = total / n if n and total else 1.0
     shards = max(1, math.ceil(n / SHARD_PASSAGES))
-    single = index.select("id", "dl", F.explode("terms").alias("t")).select(
+    shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard")
+    # whole passages move to the task of their shard, once; their postings are made,
+    # grouped and written there
+    tasks = max(BUILD_TASKS, math.ceil(shards / TASK_SHARDS))
+    passages = index.select("id", "dl", "terms", shard).withColumn("task", F.pmod("shard", F.lit(tasks)))
+    # more partitions than tasks, so that few of them meet in one
+    single = passages.repartition(4 * tasks, "task").select("id", "dl", "shard", "task", F.explode("terms").alias("t")).select(
         F.col("t.value").alias("term"),
-        F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"),
+        "shard",
+        "task",
         F.struct("id", F.col("t.n").cast("int").alias("tf"), F.col("dl").cast("int").alias("dl")).alias("p"),
     )
 
@@ -91,7 +101,7 @@ def build_postings(index: DataFrame, name: str, *, k1: float = K1, b: float = B)
         tf = p["tf"].cast("double")
         return (tf * (k1 + 1)) / (tf + k1 * (1 - b + b * p["dl"] / F.lit(mean)))
 
-    grouped = single.groupBy("term", "shard").agg(F.sort_array(F.collect_list("p")).alias("all"))
+    grouped = single.groupBy("task", "term", "shard").agg(F.sort_array(F.collect_list("p")).alias("all"))
     starts = F.sequence(F.lit(1), F.size("all"), F.lit(BLOCK))
     cut = grouped.select("term", "shard", F.explode(F.transform(starts, lambda s: F.slice("all", s, BLOCK))).alias("postings"))
     blocks = cut.select(
@@ -99,21 +109,20 @@ def build_postings(index: DataFrame, name: str, *, k1: float = K1, b: float = B)
         F.col("postings")[0]["id"].alias("first"), F.element_at("postings", -1)["id"].alias("last"),
         F.array_max(F.transform("postings", part)).alias("top"), "postings", _bucket(F.col("term")).alias("bucket"),
     )
-    # a bucket's blocks are spread over its shards, so a frequent term is no single task
-    dealt = blocks.repartition("bucket", F.pmod("shard", F.lit(32))).sortWithinPartitions("bucket", "term", "shard", "first")
-    swap_table(dealt, f"{name}_postings", partition_by=["bucket"])
+    # a bucket has a file of each task, so a frequent term is no single one
+    swap_table(blocks.sortWithinPartitions("bucket", "term", "shard", "first"), f"{name}_postings", partition_by=["bucket"])
     spark = index.sparkSession
     found = Postings(name, n, mean, k1, b)
-    lists = found.blocks(spark).groupBy("term", F.col("shard").alias("g")).agg(
+    # a group holds one value per block of MERGED shards; tasks merge their own before the shuffle
+    lists = found.blocks(spark).groupBy("term", F.floor(F.col("shard") / MERGED).cast("int").alias("g")).agg(
         F.sum(F.size("postings")).alias("df"), _largest(F.collect_list("top")).alias("best")
     )
-    while True:
+    shards = math.ceil(shards / MERGED)
+    while shards > 1:
         shards = math.ceil(shards / MERGED)
         lists = lists.groupBy("term", F.floor(F.col("g") / MERGED).cast("int").alias("g")).agg(
             F.sum("df").alias("df"), _largest(F.flatten(F.collect_list("best"))).alias("best")
         )
-        if shards <= 1:
-            break
     swap_table(lists.select("term", "df", "best"), f"{name}_maxima")
     return found
 

@@ -137,3 +137,13 @@ def test_joined_and_shipped_scores_agree_at_halves(spark, monkeypatch):
     one = keyword._joined_scores(weights, half, mean, k1, b).collect()
     two = keyword._scored_in_place(weights, half, 1, mean, k1, b).collect()
     assert [(r.qid, r.id, r.score) for r in one] == [(r.qid, r.id, r.score) for r in two]
+
+
+def test_postings_are_built_with_one_shuffle_of_passages(spark, monkeypatch):
+    written = []
+    swap = P.swap_table
+    monkeypatch.setattr(P, "swap_table", lambda df, name, **more: (written.append(df), swap(df, name, **more))[1])
+    rows = spark.createDataFrame([(i, f"word{i % 7} all") for i in range(90)], "id bigint, content string")
+    P.build_postings(forward_index(rows), "postings_one_shuffle")
+    plan = written[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Generate explode") < plan.index("Exchange")
