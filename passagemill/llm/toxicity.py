@@ -7,18 +7,22 @@ sentences that carry the score can then be pointed at.
 
 The model is fitted in numpy on at most ``MAX_LABELLED`` labelled documents, the
 ones of smallest hash of their id; every document is scored from its whole text.
+Only words of several of these documents reach the driver, as 32-bit numbers.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from passagemill.session import materialize
+
 from .arrays import LETTER, lowered, runs, span_hashes, text_slices
 
 #: Bound of the labelled documents that the model is fitted on.
@@ -26,6 +30,8 @@ MAX_LABELLED = 8_000
 #: Documents of the fit a word must occur in to get a weight.
 LEAST_DOCUMENTS = 3
 STEPS = 150
+#: Entries of the fit that are summed at a time.
+PIECE = 1 << 18
 
 _END = np.zeros(256, bool)
 _END[[0x0A, 0x0D, ord("."), ord("!"), ord("?")]] = True
@@ -59,31 +65,43 @@ def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, z)
 
 
-def fit(words: np.ndarray, sentence: np.ndarray, doc: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray | float]:
+def _sums(at: np.ndarray, weights: Callable[[slice], np.ndarray], number: int) -> np.ndarray:
+    """Sums of weights per place for ascending places, taken in pieces so that little memory is needed at once."""
+    out = np.zeros(number)
+    a = 0
+    while a < len(at):
+        b = a + PIECE
+        # a piece ends with a place: each place is summed in one go, in the order of its entries
+        b = len(at) if b >= len(at) else int(np.searchsorted(at, at[b], "right"))
+        first, last = int(at[a]), int(at[b - 1])
+        out[first:last + 1] = np.bincount(at[a:b] - first, weights(slice(a, b)), minlength=last - first + 1)
+        a = b
+    return out
+
+
+def fit(index: np.ndarray, sentence: np.ndarray, doc: np.ndarray, labels: np.ndarray, vocabulary: np.ndarray) -> dict[str, np.ndarray | float]:
     """Weights of words and the offset, by full gradients of the noisy-or likelihood (Adam).
 
-    words and sentence: one entry per distinct word of a sentence; doc: of each
-    sentence; labels: of each document.
+    index (place in the sorted ``vocabulary``) and sentence: one entry per distinct known word
+    of a sentence, in order of sentences; doc: of each sentence; labels: of each document.
     """
-    vocabulary, index = np.unique(words, return_inverse=True)
-    pairs = np.unique(index * (len(labels) + 1) + doc[sentence])  # word and document
-    known = np.bincount(pairs // (len(labels) + 1), minlength=len(vocabulary)) >= LEAST_DOCUMENTS
-    keep = known[index]
-    index, sentence = (np.cumsum(known) - 1)[index[keep]], sentence[keep]
-    vocabulary = vocabulary[known]
     share = labels.mean()
     per_doc = max(1.0, len(doc) / max(1, len(labels)))
     theta = np.zeros(len(vocabulary) + 1)
     theta[-1] = np.log(np.expm1(max(-np.log1p(-min(share, 0.99)) / per_doc, 1e-6)))
     moment, power = np.zeros_like(theta), np.zeros_like(theta)
     toxic = labels == 1
+    # the entries by word, for the gradient
+    by = np.argsort(index, kind="stable").astype(np.int32)
+    by_index, by_sentence = index[by], sentence[by]
+    del by
     for step in range(1, STEPS + 1):
-        z = theta[-1] + np.bincount(sentence, theta[index], minlength=len(doc))
+        z = theta[-1] + _sums(sentence, lambda part: theta[index[part]], len(doc))
         s = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
         clean = np.exp(-np.bincount(doc, _softplus(z), minlength=len(labels)))
         pull = np.where(toxic, -clean / np.maximum(1 - clean, 1e-9), 1.0)
         grad_z = s * pull[doc]
-        grad = np.append(np.bincount(index, grad_z[sentence], minlength=len(vocabulary)), grad_z.sum())
+        grad = np.append(_sums(by_index, lambda part, grad_z=grad_z: grad_z[by_sentence[part]], len(vocabulary)), grad_z.sum())
         grad[:-1] += 0.05 * theta[:-1] + 0.3 * np.sign(theta[:-1])
         moment = 0.9 * moment + 0.1 * grad
         power = 0.99 * power + 0.01 * grad * grad
@@ -109,36 +127,76 @@ def train(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABEL
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
     # of several rows of one doc_id the smallest text, so that max_labelled bounds the rows too
     single = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("_toxic").alias("_toxic"))
-    parts = single.mapInArrow(_features, "doc_id bigint, toxic int, counts array<int>, words binary").toArrow()
-    parts = parts.take(np.argsort(parts["doc_id"].to_numpy(), kind="stable")).combine_chunks()
+    single = materialize(single, "toxicity-fit")
+    # words of fewer documents get no weight and never leave the tasks
+    often = single.mapInArrow(_words, "word bigint").groupBy("word").count().filter(F.col("count") >= LEAST_DOCUMENTS)
+    vocabulary = np.sort(often.select("word").toArrow()["word"].to_numpy().view(np.uint64))
+    parts = single.mapInArrow(_features(vocabulary), "doc_id bigint, toxic int, counts binary, words binary").toArrow()
     labels_of = parts["toxic"].to_numpy()
     if len(set(labels_of.tolist())) < 2:
         return {"words": np.zeros(0, np.uint64), "weights": np.zeros(0), "offset": -20.0}
-    # the words of all documents as one array over Arrow's buffer, without copies in Python
-    counts, words = parts["counts"].combine_chunks(), parts["words"].combine_chunks().cast(pa.large_binary())
-    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
-    words = np.frombuffer(words.buffers()[2], np.uint8)[ends[0]:ends[-1]].view(np.uint64)
-    doc = np.repeat(np.arange(len(counts)), counts.value_lengths().to_numpy())
-    sentence = np.repeat(np.arange(len(doc)), counts.flatten().to_numpy())
-    return fit(words, sentence, doc, labels_of)
-
-
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    order = np.argsort(parts["doc_id"].to_numpy(), kind="stable")
+    counts, sentences_of = _joined(parts["counts"], order)
+    index, _ = _joined(parts["words"], order)
+    del parts
+    doc = np.repeat(np.arange(len(order), dtype=np.int32), sentences_of)
+    sentence = np.repeat(np.arange(len(doc), dtype=np.int32), counts)
+    return fit(index, sentence, doc, labels_of[order], vocabulary)
+
+
+def _joined(column: pa.ChunkedArray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The 32-bit numbers of all rows in the given order as one array, and their number per row."""
+    sizes = pc.binary_length(column).to_numpy().astype(np.int64)[order] // 4
+    out = np.empty(sizes.sum(), np.int32)
+    ends = np.cumsum(sizes)
+    at = np.empty(len(order), np.int64)
+    at[order] = ends - sizes
+    row = 0
+    for chunk in column.chunks:
+        for value in chunk:
+            part = np.frombuffer(value.as_buffer(), np.int32)
+            out[at[row]:at[row] + len(part)] = part
+            row += 1
+    return out, sizes
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words of each document."""
     for batch in batches:
         for a, b, data, offsets in text_slices(batch.column("text")):
             got = sentences(data, offsets)
-            sizes = np.bincount(got["sentence"], minlength=len(got["doc"]))
-            cut = np.searchsorted(got["doc"], np.arange(b - a + 1))
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").slice(a, b - a).cast(pa.int64()),
-                    batch.column("_toxic").slice(a, b - a).cast(pa.int32()),
-                    pa.array([sizes[cut[i]:cut[i + 1]].tolist() for i in range(b - a)], pa.list_(pa.int32())),
-                    pa.array([got["word"][ends[cut[i]]:ends[cut[i + 1]]].tobytes() for i in range(b - a)], pa.binary()),
-                ],
-                names=["doc_id", "toxic", "counts", "words"],
-            )
+            doc, word = got["doc"][got["sentence"]], got["word"]
+            order = np.lexsort((word, doc))
+            doc, word = doc[order], word[order]
+            first = np.ones(len(doc), bool)
+            first[1:] = (doc[1:] != doc[:-1]) | (word[1:] != word[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(word[first].view(np.int64))], names=["word"])
+
+
+def _features(vocabulary: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Per document the number of known words in each sentence, and their places in the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in text_slices(batch.column("text")):
+                got = sentences(data, offsets)
+                place = np.searchsorted(vocabulary, got["word"])
+                place[place == len(vocabulary)] = 0
+                known = vocabulary[place] == got["word"] if len(vocabulary) else np.zeros(len(place), bool)
+                place, sizes = place[known].astype(np.int32), np.bincount(got["sentence"][known], minlength=len(got["doc"])).astype(np.int32)
+                cut = np.searchsorted(got["doc"], np.arange(b - a + 1))
+                ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(a, b - a).cast(pa.int64()),
+                        batch.column("_toxic").slice(a, b - a).cast(pa.int32()),
+                        pa.array([sizes[cut[i]:cut[i + 1]].tobytes() for i in range(b - a)], pa.binary()),
+                        pa.array([place[ends[cut[i]]:ends[cut[i + 1]]].tobytes() for i in range(b - a)], pa.binary()),
+                    ],
+                    names=["doc_id", "toxic", "counts", "words"],
+                )
+
+    return run
 
 
 def score(documents: DataFrame, model: dict[str, np.ndarray | float], at: float = 0.5) -> DataFrame:

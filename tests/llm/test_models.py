@@ -128,3 +128,18 @@ def test_score_is_the_noisy_or_of_a_loop(spark):
     got = toxicity.score(docs(spark, [(i, t, "s") for i, t in enumerate(texts)]), model)
     for r in got.select("doc_id", "text", "toxicity").collect():
         assert abs(r.toxicity - expected(r.text)) < 1e-9
+
+
+def test_only_words_of_several_documents_come_to_the_fit(spark, monkeypatch):
+    rows = [(i, f"calm words own{i} other{i}. A {'vile rant' if i % 2 else 'kind song'}! lone{i}", "s") for i in range(30)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id bigint, toxic int")
+    seen, real = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda *a: seen.append(a) or real(*a))
+    whole = toxicity.train(docs(spark, rows), labels)
+    words, sentence, doc, of = seen[0][:4]
+    assert len(words) == len(sentence) == 30 * 5 and words.dtype.itemsize == 4
+    assert doc.tolist() == [i for i in range(30) for _ in range(3)] and of.tolist() == [i % 2 for i in range(30)]
+    # small pieces give the very same model
+    monkeypatch.setattr(toxicity, "PIECE", 7)
+    pieces = toxicity.train(docs(spark, rows[::-1]).repartition(3), labels)
+    assert all((whole[k] == pieces[k]).all() for k in ("words", "weights")) and whole["offset"] == pieces["offset"]
