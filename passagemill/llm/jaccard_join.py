@@ -15,7 +15,8 @@ share hardly brings any together. Nodes meet on prefix shingles in two passes:
    when the largest possible overlap is too small for any pair of sizes below
    them, or when everything below them is connected already.
 
-Pairs that survive are compared exactly on their whole sets.
+Pairs that survive are held against wide bitmaps, whose size follows that of the sets, and
+then compared exactly on their whole sets.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from passagemill.session import broadcast_if_small, materialize
@@ -46,7 +48,10 @@ LAST = 8
 FREQUENT = 200_000
 OFTEN = 4
 
-_SETS = "doc_id bigint, n int, key binary, prefix array<bigint>, signature array<bigint>"
+#: Bits of a text's wide bitmap for each shingle, at least.
+WIDE_BITS = 4
+
+_SETS = "doc_id bigint, n int, key binary, prefix array<bigint>, signature array<bigint>, wide binary"
 
 
 def frequent_shingles(documents: DataFrame, words: int = SHINGLE_WORDS) -> np.ndarray:
@@ -68,7 +73,7 @@ def frequent_shingles(documents: DataFrame, words: int = SHINGLE_WORDS) -> np.nd
 
 
 def shingle_table(documents: DataFrame, words: int, percent: int, last: np.ndarray) -> DataFrame:
-    """Per row: size and key of its shingle set, its prefix and its bitmap."""
+    """Per row: size and key of its shingle set, its prefix and its bitmaps."""
     sorter = np.argsort(last)
     known = last[sorter]
     bits = np.uint64(64 - int(math.log2(SIGNATURE_WORDS * 64)))
@@ -76,7 +81,7 @@ def shingle_table(documents: DataFrame, words: int, percent: int, last: np.ndarr
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in text_slices(batch.column("text")):
-                n, keys, prefixes, signatures = [], [], [], []
+                n, keys, prefixes, signatures, wides = [], [], [], [], []
                 for s in shingle_sets(data, offsets, words):
                     n.append(len(s))
                     keys.append(blake2b(s.tobytes(), digest_size=16).digest())
@@ -91,19 +96,63 @@ def shingle_table(documents: DataFrame, words: int, percent: int, last: np.ndarr
                     mask = np.zeros(SIGNATURE_WORDS * 64, bool)
                     mask[(s >> bits).astype(np.int64)] = True
                     signatures.append(np.packbits(mask).view(np.int64))
+                    wides.append(_wide(s))
                 ends = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(a, b - a).cast(pa.int64()), pa.array(n, pa.int32()), pa.array(keys, pa.binary()),
                         pa.ListArray.from_arrays(ends, pa.array(np.concatenate(prefixes))),
                         pa.ListArray.from_arrays(np.arange(b - a + 1, dtype=np.int32) * SIGNATURE_WORDS, pa.array(np.concatenate(signatures))),
+                        pa.array(wides, pa.binary()),
                     ],
-                    names=["doc_id", "n", "key", "prefix", "signature"],
+                    names=["doc_id", "n", "key", "prefix", "signature", "wide"],
                 )
 
     return documents.select("doc_id", "text").mapInArrow(describe, _SETS)
 
 
+def _wide(s: np.ndarray) -> bytes:
+    """A bitmap of a set whose length is a power of two, ``WIDE_BITS`` to twice as many for each member."""
+    if not len(s):
+        return b""
+    bits = max(8, 1 << (len(s) * WIDE_BITS - 1).bit_length())
+    mask = np.zeros(bits, bool)
+    mask[(s >> np.uint64(65 - bits.bit_length())).astype(np.int64)] = True
+    return np.packbits(mask).tobytes()
+
+
+def _may_link(n: int, one: bytes, m: int, two: bytes, percent: int) -> bool:
+    """Whether two sets of these sizes and wide bitmaps can be similar enough."""
+    if 100 * n < percent * m or 100 * m < percent * n:
+        return False
+    a, b = np.frombuffer(one, np.uint8), np.frombuffer(two, np.uint8)
+    if len(a) != len(b):
+        # neighbouring bits of the longer one stand for one bit of the shorter one
+        short = min(len(a), len(b))
+        a, b = (x if len(x) == short else np.packbits(np.unpackbits(x).reshape(8 * short, -1).any(1)) for x in (a, b))
+    bits = np.bitwise_count(np.stack([a, b, a & b])).sum(1, dtype=np.int64)
+    most = int(bits[2]) + min(n - int(bits[0]), m - int(bits[1]))
+    return most * (100 + percent) >= percent * (n + m)
+
+
+def _possible(pairs: DataFrame, table: DataFrame, percent: int) -> DataFrame:
+    """The distinct pairs (a, b) that their wide bitmaps do not rule out."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    rows = table.select("doc_id", "n", "wide").join(broadcast_if_small(wanted), "doc_id", "left_semi")
+    rows = rows.repartition("doc_id").dropDuplicates()  # dealt once, for both sides of the pairs
+    one = rows.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("wide").alias("wide_a"))
+    two = rows.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("wide").alias("wide_b"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("n_a", "wide_a", "n_b", "wide_b")]
+            may = [_may_link(*row, percent) for row in zip(*columns, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(may, pa.bool_()))
+
+    met = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "wide_a", "n_b", "wide_b")
+    return met.mapInArrow(compare, "a bigint, b bigint").distinct()
+
+
 def near_duplicates(documents: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """Each document with the size of its set and its component.
 
@@ -120,14 +169,19 @@ def near_duplicates(documents: DataFrame, words: int = SHINGLE_WORDS, percent: i
     # rows of one key have the same set, hence the same size, prefix and bitmap
     same = [F.first(c).alias(c) for c in ("n", "prefix", "signature")]
     node = materialize(full.groupBy("key").agg(F.min("doc_id").alias("id"), *same), "set-nodes")
+    # two nodes of one id differ by their keys, all others go without: keys are most of what the tokens would carry
+    several = materialize(node.groupBy("id").agg(F.count("*").alias("_c")).filter("_c > 1").select("id", F.lit(True).alias("_several")), "several-nodes")
+    marked = node.join(broadcast_if_small(several), "id", "left").withColumn("key", F.when(F.col("_several"), F.col("key")))
     named = full.select("doc_id", "key").join(node.select("id", "key"), "key").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
-    shared = materialize(_meetings(node, percent), "meetings")
+    shared = materialize(_meetings(marked, percent), "meetings")
     # pass 1: every node against the anchors of its own size class and of the one below
     signs = node.select("id", "n", "signature")
-    first = materialize(verified(_alike(_anchor_pairs(shared, percent), signs, percent), documents, words, percent), "links")
+    first = materialize(_alike(_anchor_pairs(shared, percent), signs, percent), "candidates")
+    first = materialize(verified(_possible(first, table, percent), documents, words, percent), "links")
     known = components(first)
     # pass 2: shingles whose nodes are not connected yet
-    second = materialize(verified(_tree_pairs(shared.filter("members > 2"), node, known, percent), documents, words, percent), "links")
+    second = materialize(_tree_pairs(shared.filter("members > 2"), marked, known, percent), "candidates")
+    second = materialize(verified(_possible(second, table, percent), documents, words, percent), "links")
     found = components(named.unionByName(first).unionByName(second))
     out = table.join(found, table["doc_id"] == found["id"], "left")
     return out.select(
@@ -141,12 +195,13 @@ def _meetings(node: DataFrame, percent: int) -> DataFrame:
     Of shingles with the same nodes, as in a passage that many documents share, one
     is kept. ``s`` is the size class: nodes that link are of one class or of neighbours.
     """
+    # a count over the rows themselves deals them once; a join with the counts would deal the tokens again
     rows = node.select(F.explode("prefix").alias("token"), "id", "key", "n")
-    several = rows.groupBy("token").agg(F.count("*").alias("_c")).filter("_c > 1").select("token")
-    met = materialize(rows.join(several, "token"), "shared-shingles")
+    counted = rows.withColumn("_c", F.count("*").over(W.partitionBy("token")))
+    met = materialize(counted.filter("_c > 1").drop("_c"), "shared-shingles")
     # 128 bits and the count stand for the set of nodes; two nodes can have one id. The
-    # literal comes first: behind the key it would only go on from one and the same hash
-    bits = [F.bit_xor(F.xxhash64(F.lit(i), "key")).alias(f"_h{i}") for i in range(2)]
+    # literal comes first: behind the node it would only go on from one and the same hash
+    bits = [F.bit_xor(F.xxhash64(F.lit(i), "id", "key")).alias(f"_h{i}") for i in range(2)]
     sets = met.groupBy("token").agg(F.count("*").alias("members"), *bits)
     kept = sets.groupBy("members", "_h0", "_h1").agg(F.min("token").alias("token")).select("token", "members")
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent))).cast("int")
@@ -175,17 +230,31 @@ def _alike(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
 
 
 def _tree_pairs(shared: DataFrame, node: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of different components that may link."""
+    """Distinct pairs (a, b) of different components that may link.
+
+    A shingle with few nodes is one leaf, held against itself. The others are cut into
+    leaves by size class, and only leaves whose summaries may link are held against each other.
+    """
     labelled = shared.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    mixed = materialize(labelled.join(open_.select("token"), "token").select("token", "id", "key", "n", "component", "s"), "tree-rows")
-    sizes = mixed.groupBy("token", "s").agg(F.count("*").alias("_c"))
-    placed = mixed.join(sizes, ["token", "s"]).withColumn("leaf", F.pmod(F.xxhash64("id"), F.ceil(F.col("_c") / LEAF)).cast("int"))
-    signs = node.select(F.col("key").alias("_key"), "signature")
+    open_ = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("_all")).filter("lo < hi")
+    mixed = labelled.join(open_.select("token", "_all"), "token").select("token", "id", "key", "n", "component", "s", "_all")
+    mixed = materialize(mixed, "tree-rows")
+    signs = node.select(F.col("id").alias("_id"), F.col("key").alias("_key"), "signature")
     spare = F.col("n") - F.aggregate("signature", F.lit(0), lambda acc, x: acc + F.bit_count(x))
-    members = materialize(
-        placed.join(signs, placed["key"] == signs["_key"]).select("token", "s", "leaf", "id", "n", "component", "signature", spare.alias("spare")), "tree-leaves"
-    )
+
+    def signed(rows: DataFrame) -> DataFrame:
+        met = rows.join(signs, (rows["id"] == signs["_id"]) & rows["key"].eqNullSafe(signs["_key"]))
+        return met.withColumn("spare", spare)
+
+    fields = ["id", "n", "component", "spare", "signature"]
+    cell = ["token", "s", "leaf", "_s", "_leaf"]
+    # pairs of other sizes are ruled out inside the tree, so classes need not be told apart
+    zeros = [F.lit(0).alias(c) for c in (*cell[1:], "side")]
+    few = signed(mixed.filter(F.col("_all") <= LEAF)).select("token", *zeros, *fields)
+    many = mixed.filter(F.col("_all") > LEAF)
+    sizes = many.groupBy("token", "s").agg(F.count("*").alias("_c"))
+    placed = many.join(sizes, ["token", "s"]).withColumn("leaf", F.pmod(F.xxhash64("id"), F.ceil(F.col("_c") / LEAF)).cast("int"))
+    members = materialize(signed(placed).select("token", "s", "leaf", *fields), "tree-leaves")
     union = [F.bit_or(F.col("signature")[i]).alias(f"_w{i}") for i in range(SIGNATURE_WORDS)]
     leaves = members.groupBy("token", "s", "leaf").agg(
         F.min("n").alias("lo_n"), F.max("n").alias("hi_n"), F.max("spare").alias("spare"),
@@ -202,13 +271,11 @@ def _tree_pairs(shared: DataFrame, node: DataFrame, known: DataFrame, percent: i
         & ((common + F.least("spare", "_spare")) * (100 + percent) >= percent * (F.col("lo_n") + F.col("_lo_n")))
     ).select("token", "s", "leaf", "_s", "_leaf")
     pairs = materialize(pairs, "tree-pairs")
-    cell = ["token", "s", "leaf", "_s", "_leaf"]
-    fields = ["id", "n", "component", "spare", "signature"]
     left = pairs.join(members, ["token", "s", "leaf"]).select(*cell, F.lit(0).alias("side"), *fields)
     right_members = members.select("token", F.col("s").alias("_s"), F.col("leaf").alias("_leaf"), *fields)
     apart = (F.col("s") != F.col("_s")) | (F.col("leaf") != F.col("_leaf"))
     right = pairs.filter(apart).join(right_members, ["token", "_s", "_leaf"]).select(*cell, F.lit(1).alias("side"), *fields)
-    cells = left.unionByName(right).repartition(*cell).sortWithinPartitions(*cell, "side", "n", "id")
+    cells = left.unionByName(right).unionByName(few).repartition(*cell).sortWithinPartitions(*cell, "side", "n", "id")
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, sides in _cells(batches):
@@ -316,7 +383,8 @@ def verified(pairs: DataFrame, documents: DataFrame, words: int, percent: int) -
     pairs = materialize(pairs, "candidates")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     # few ids are sent to the texts, so that no other text moves; many meet them by a shuffle
-    texts = documents.select("doc_id", "text").join(broadcast_if_small(wanted), "doc_id", "left_semi").dropDuplicates()
+    texts = documents.select("doc_id", "text").join(broadcast_if_small(wanted), "doc_id", "left_semi")
+    texts = texts.repartition("doc_id").dropDuplicates()  # dealt once, for both sides of the pairs
     one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
 

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from passagemill.llm import graph, jaccard_join
@@ -123,3 +124,28 @@ def test_of_one_id_the_smallest_text_stays(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = sorted(map(repr, map(tuple, jaccard_join.distinct_documents(df).collect())))
     assert got == sorted(map(repr, [(1, "a a a a a a"), (2, None), (None, "x"), (None, "x")]))
+
+
+def test_wide_bitmaps_keep_all_links_and_spare_long_texts(spark, monkeypatch):
+    from passagemill.llm.arrays import mix
+
+    rng = np.random.default_rng(3)
+    for n in (1, 3, 40, 700, 3000):
+        for m in (n, n + 1, -(-n * 100 // 85)):
+            for both in {0, n // 2, n * 9 // 10, n}:
+                pool = np.unique(mix(rng.integers(0, 1 << 62, n + m, dtype=np.int64).view(np.uint64)))
+                pool = rng.permutation(pool)
+                x, y = np.sort(pool[:n]), np.sort(pool[n - both:n - both + m])
+                may = jaccard_join._may_link(n, jaccard_join._wide(x), m, jaccard_join._wide(y), 85)
+                if 100 * both >= 85 * (n + m - both):
+                    assert may
+                elif n > 100 and both <= n // 2:
+                    assert not may
+    # long texts with three quarters in common share rare shingles, but are not compared whole
+    words = [f"w{i}" for i in range(4000)]
+    rows = [(i, " ".join(words[100 * i:100 * i + 1500])) for i in range(0, 25, 4)] + [(90, " ".join(words[:1490]))]
+    seen, real = [], jaccard_join.verified
+    monkeypatch.setattr(jaccard_join, "verified", lambda pairs, *a: seen.append(pairs.collect()) or real(pairs, *a))
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: 0 if i == 90 else i for i, _ in rows}
+    assert {(min(r), max(r)) for rows in seen for r in rows} == {(0, 90)}
