@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from array import array
@@ -33,14 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .arrays import lowered, runs
+
 #: Ids in a block, ids after which a segment ends at the next document.
 BLOCK_IDS = 2048
-SEGMENT_IDS = 1 << 22
+SEGMENT_IDS = 1 << 23
 #: Ids from which orders 1 and 2 learn what to expect at first.
 START_IDS = 1 << 18
 #: Encoded words that a task remembers, characters of text encoded at a time.
 REMEMBERED = 600_000
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 22
 
 _MAGIC = b"TIDS2\0"
 _HEAD = "<QQQQI"  # documents, blocks, bytes of the index and of the starting model, checksum
@@ -62,10 +65,17 @@ class _Start:
     @classmethod
     def learn(cls, ids: np.ndarray) -> tuple[_Start, np.ndarray]:
         """The starting model, and the ids as numbers by frequency."""
-        values, inverse, seen = np.unique(ids, return_inverse=True, return_counts=True)
+        if ids.max() < 1 << 22:
+            seen = np.bincount(ids)
+            values = np.flatnonzero(seen).astype(np.uint32)
+            seen, inverse = seen[values], ids
+            slot = values
+        else:
+            values, inverse, seen = np.unique(ids, return_inverse=True, return_counts=True)
+            slot = np.arange(len(values))
         order = np.argsort(-seen, kind="stable")
-        place = np.empty(len(order), np.int32)
-        place[order] = np.arange(len(order))
+        place = np.empty(int(slot[-1]) + 1, np.int32)
+        place[slot[order]] = np.arange(len(order))
         kinds, total = len(values), 1 << max(16, len(values).bit_length() + 2)
         chances = 1 + seen[order] * (total - kinds) // len(ids)
         chances[0] += total - chances.sum()
@@ -106,65 +116,68 @@ def _expected(context: np.ndarray, now: np.ndarray) -> np.ndarray:
 
 
 class _Models:
-    """The models of all blocks of a segment; cells lie block after block."""
+    """The models of all blocks of a segment: rows for order 2 and order 1, cells lie block after block."""
 
     def __init__(self, start: _Start, blocks: int):
-        rows = np.arange(blocks)
+        rows = np.arange(2 * blocks).reshape(2, blocks)
         self.off, self.off_level = rows * _CELLS, rows * _LEVELS
-        self.cells2, self.cells1 = np.tile(start.cells2, blocks), np.tile(start.cells1, blocks)
-        chance = np.arange(_LEVELS) * 480 + 240
-        self.right2, self.right1 = np.tile(chance, blocks), np.tile(chance, blocks)
-        self.weight = np.full(blocks, 128, np.int64)
-        self.last, self.before = np.zeros(blocks, np.int64), np.zeros(blocks, np.int64)
+        self.cells = np.concatenate([np.tile(start.cells2, blocks), np.tile(start.cells1, blocks)])
+        self.right = np.tile(np.arange(_LEVELS, dtype=np.int32) * 480 + 240, 2 * blocks)
+        self.weights = np.full((2, blocks), 128, np.int32)  # add up to 256
+        self.context = np.zeros((2, blocks), np.int64)
+        self.last = np.zeros(blocks, np.int64)
 
     def predict(self, n: int) -> None:
         """For the first n blocks: what orders 2 and 1 expect, and where their shares of 4096 end."""
         self.n = n
-        last, w = self.last[:n], self.weight[:n]
-        self.at2 = _context2(last, self.before[:n]) + self.off[:n]
-        self.at1 = (last & (_CELLS - 1)) + self.off[:n]
-        self.cell2, self.cell1 = self.cells2.take(self.at2), self.cells1.take(self.at1)
-        self.id2, self.id1 = self.cell2 >> 3, self.cell1 >> 3
-        self.level2, self.level1 = (self.cell2 & 7) + self.off_level[:n], (self.cell1 & 7) + self.off_level[:n]
-        self.chance2, self.chance1 = self.right2.take(self.level2), self.right1.take(self.level1)
-        part2 = (self.chance2 * w >> 8) * (self.cell2 >= 0)
-        part1 = (self.chance1 * (256 - w) >> 8) * (self.cell1 >= 0)
-        both = np.where(self.id2 == self.id1, part1, 0)
-        self.one = np.maximum(part2 + both, 1)
-        self.two = self.one + np.maximum(part1 - both, 1)
-
-    def update(self, number: np.ndarray) -> None:
-        """After the next number of each block."""
-        n = self.n
-        hit2, hit1 = self.id2 == number, self.id1 == number
-        first = number << 3
-        for hit, right, level, chance, cells, cell, at in (
-            (hit2, self.right2, self.level2, self.chance2, self.cells2, self.cell2, self.at2),
-            (hit1, self.right1, self.level1, self.chance1, self.cells1, self.cell1, self.at1),
-        ):
-            right[level] = chance + ((hit * 4000 - chance) >> 5)
-            sure = cell & 7
-            missed = np.where((sure > 1) & (cell >= 0), cell - sure + (sure >> 1), first)
-            cells[at] = np.where(hit, cell + (sure < 7), missed)
-        w = self.weight[:n]
-        side = hit2.view(np.int8) - hit1.view(np.int8)
-        w += np.where(side > 0, (250 - w) >> 5, np.where(side < 0, -((w - 6) >> 5), 0))
-        self.before[:n] = self.last[:n]
+        self.at = self.context[:, :n] + self.off[:, :n]
+        self.cell = self.cells.take(self.at)
+        self.ids, self.sure, self.used = self.cell >> 3, self.cell & 7, self.cell >= 0
+        self.level = self.sure + self.off_level[:, :n]
+        self.chance = self.right.take(self.level)
+        parts = self.chance * self.weights[:, :n]
+        parts >>= 8
+        parts *= self.used
+        both = parts[1] * (self.ids[0] == self.ids[1])
+        self.one = np.maximum(parts[0] + both, 1)
+        self.two = self.one + np.maximum(parts[1] - both, 1)
+
+    def update(self, number: np.ndarray, hit: np.ndarray) -> None:
+        """After the next number of each block; ``hit`` are the orders that expected it."""
+        n, cell, sure = self.n, self.cell, self.sure
+        chance = hit * np.int32(4000)
+        chance -= self.chance
+        chance >>= 5
+        chance += self.chance
+        self.right[self.level] = chance
+        self.used &= sure > 1
+        missed = np.where(self.used, cell - sure + (sure >> 1), (number << 3).astype(np.int32))
+        self.cells[self.at] = np.where(hit, cell + (sure < 7), missed)
+        rows = (hit[0] != hit[1]).nonzero()[0]
+        w = self.weights[0, rows]
+        w += np.where(hit[0, rows], (250 - w) >> 5, -((w - 6) >> 5))
+        self.weights[0, rows], self.weights[1, rows] = w, 256 - w
+        self.context[0, :n] = _context2(number, self.last[:n])
+        self.context[1, :n] = number & (_CELLS - 1)
         self.last[:n] = number
 
 
 def _settle(low: np.ndarray, span: np.ndarray, take) -> None:
     """Shift out the leading bytes that no later step can change."""
-    rows = np.flatnonzero(((low ^ (low + span)) < _TOP) | (span < _BOTTOM))
+    moves = low ^ (low + span)
+    rows = ((moves < _TOP) | (span < _BOTTOM)).nonzero()[0]
+    lo, sp, moves = low[rows], span[rows], moves[rows]
     while len(rows):
-        lo, sp = low[rows], span[rows]
-        tight = (lo ^ (lo + sp)) >= _TOP  # the interval lies across a border: keep the part below it
-        if tight.any():
+        tight = (moves >= _TOP).nonzero()[0]  # the interval lies across a border: keep the part below it
+        if len(tight):
             sp[tight] = (~lo[tight] + np.uint64(1)) & (_BOTTOM - np.uint64(1))
         take(rows, lo >> np.uint64(56))
-        lo, sp = lo << _BYTE, sp << _BYTE
+        lo <<= _BYTE
+        sp <<= _BYTE
         low[rows], span[rows] = lo, sp
-        rows = rows[((lo ^ (lo + sp)) < _TOP) | (sp < _BOTTOM)]
+        moves = lo ^ (lo + sp)
+        more = ((moves < _TOP) | (sp < _BOTTOM)).nonzero()[0]
+        rows, lo, sp, moves = rows[more], lo[more], sp[more], moves[more]
 
 
 def _write_blocks(numbers: np.ndarray, lengths: np.ndarray, start: _Start) -> list[bytes]:
@@ -191,18 +204,19 @@ def _write_blocks(numbers: np.ndarray, lengths: np.ndarray, start: _Start) -> li
         models.predict(active)
         number = columns[t, :active].astype(np.int64)
         lo, sp = low[:active], span[:active]
-        is2 = models.id2 == number
-        missed = ~(is2 | (models.id1 == number))
+        hit = models.ids == number
+        is2 = hit[0]
+        missed = ~(is2 | hit[1])
         first = np.where(is2, 0, np.where(missed, models.two, models.one))
         stop = np.where(is2, models.one, np.where(missed, 4096, models.two))
         unit = sp >> np.uint64(12)
         lo += unit * first.astype(np.uint64)
         sp[:] = unit * (stop - first).astype(np.uint64)
-        m = np.flatnonzero(missed)
+        m = missed.nonzero()[0]
         unit = sp[m] >> start.bits
         lo[m] += unit * start.cdf[number[m]]
         sp[m] = unit * start.chances[number[m]].astype(np.uint64)
-        models.update(number)
+        models.update(number, hit)
         _settle(lo, sp, take)
     every = np.arange(blocks)
     for _ in range(8):
@@ -243,17 +257,17 @@ def _read_blocks(coded: list[bytes], lengths: np.ndarray, start: _Start) -> np.n
         is2, missed = value < models.one, value >= models.two
         first = np.where(is2, 0, np.where(missed, models.two, models.one))
         stop = np.where(is2, models.one, np.where(missed, 4096, models.two))
-        number = np.where(is2, models.id2, models.id1).astype(np.int64)
+        number = np.where(is2, models.ids[0], models.ids[1]).astype(np.int64)
         lo += unit * first.astype(np.uint64)
         sp[:] = unit * (stop - first).astype(np.uint64)
-        m = np.flatnonzero(missed)
+        m = missed.nonzero()[0]
         unit = sp[m] >> start.bits
         got = slots[np.minimum((co[m] - lo[m]) // unit, np.uint64(len(slots) - 1)).astype(np.int64)]
         lo[m] += unit * start.cdf[got]
         sp[m] = unit * start.chances[got].astype(np.uint64)
         number[m] = got
         columns[t, :active] = number
-        models.update(number)
+        models.update(number, models.ids == number)
         _settle(lo, sp, take)
     return columns.T
 
@@ -314,6 +328,11 @@ _LOCAL_STEPS = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents", "Nmt"
 _DROPPING_STEPS = {"Whitespace", "WhitespaceSplit", "BertPreTokenizer"}
 
 
+def _steps(settings: dict, part: str, name: str) -> list[dict]:
+    first = settings.get(part)
+    return [] if first is None else first[name] if first["type"] == "Sequence" else [first]
+
+
 def drops_blanks(tokenizer: str) -> bool:
     """Whether a tokenizer file gives the same ids if texts are cut at blanks and line ends.
 
@@ -323,16 +342,13 @@ def drops_blanks(tokenizer: str) -> bool:
     """
     from tokenizers import Tokenizer
 
-    def steps(part: dict | None, name: str) -> list[dict]:
-        return [] if part is None else part[name] if part["type"] == "Sequence" else [part]
-
     settings = json.loads(tokenizer)
     shorter = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
-    if not all(n["type"] in _LOCAL_STEPS or n == shorter for n in steps(settings.get("normalizer"), "normalizers")):
+    if not all(n["type"] in _LOCAL_STEPS or n == shorter for n in _steps(settings, "normalizer", "normalizers")):
         return False
     if any(t["lstrip"] or t["rstrip"] or set(t["content"]) & set(" \n") for t in settings.get("added_tokens") or []):
         return False
-    first = steps(settings.get("pre_tokenizer"), "pretokenizers")[:1]
+    first = _steps(settings, "pre_tokenizer", "pretokenizers")[:1]
     if not first or settings["model"].get("type") == "Unigram":
         return False
     if first[0]["type"] in _DROPPING_STEPS:
@@ -350,37 +366,140 @@ def drops_blanks(tokenizer: str) -> bool:
     )
 
 
+#: Pre-tokenization for which texts may also be cut where a word of Latin letters ends.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
+#: Letters, and the second bytes of the Latin-1 letters.
+_ASCII, _LATIN = np.zeros(256, bool), np.zeros(256, bool)
+_ASCII[65:91] = _ASCII[97:123] = True
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
+
+
+def splits_words(settings: dict) -> bool:
+    """Whether a word of the letters A-Z, a-z and of Latin-1 between other ASCII characters has the ids of its lower case by the model alone.
+
+    ``settings`` are those of a tokenizer file that drops blanks. The normalizer
+    leaves such a word in lower case alone, and it is one match of the pattern, unless
+    an apostrophe precedes it.
+    """
+    normal = [n["type"] for n in _steps(settings, "normalizer", "normalizers")]  # of Replace, drops_blanks knows only white space
+    split, *more = _steps(settings, "pre_tokenizer", "pretokenizers")
+    return (
+        set(normal) <= {"NFC", "Replace", "Lowercase"} and "Lowercase" in normal
+        and split.get("pattern") == {"Regex": _PATTERN} and split["behavior"] == "Removed" and split["invert"]
+        and all((m["type"], m.get("add_prefix_space"), m.get("use_regex")) == ("ByteLevel", False, False) for m in more)
+        and not any(t["normalized"] for t in settings.get("added_tokens") or [])
+        and settings["model"].get("type") == "BPE" and not settings["model"].get("dropout")
+        and not settings.get("truncation") and not settings.get("padding")
+    )
+
+
+def _pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Texts cut around their words of Latin letters (in lower case) and after blanks, and the first piece of each text."""
+    letter = _ASCII[data]
+    latin = np.flatnonzero((data[:-1] == 0xC3) & _LATIN[data[1:]])
+    letter[latin] = letter[latin + 1] = True
+    starts, ends = runs(letter, offsets)
+    mark = np.zeros(len(data) + 1, bool)
+    mark[offsets] = True
+    before, after = data[starts - 1], data[np.minimum(ends, len(data) - 1)]
+    # beside other characters the word may be longer, or the normalizer may join them
+    plain = (mark[starts] | ((before < 128) & (before != ord("'")))) & (mark[ends] | (after < 128))
+    starts, ends = starts[plain], ends[plain]
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[starts] = 1
+    inside[ends] -= 1
+    lower = np.where(np.cumsum(inside[:-1], dtype=np.int8).view(bool), lowered(data), data)
+    mark[starts] = mark[ends] = True
+    mark[1:] |= (data == ord(" ")) | (data == ord("\n"))
+    cuts = np.flatnonzero(mark)
+    pieces = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(lower)])
+    return pieces, np.searchsorted(cuts, offsets)
+
+
 class WordEncoder:
-    """Ids of texts by a tokenizer file, each text encoded as a whole or word by word.
+    """Ids of texts by a tokenizer file, each text encoded as a whole or piece by piece.
 
     Where the tokenizer drops blanks (``drops_blanks``), texts are cut at blanks and
     line ends, and every part is encoded once by the library and remembered; other white
-    space stays inside parts. Otherwise the library gets whole texts.
+    space stays inside parts. Where it also splits off words (``splits_words``), these
+    are parts of their own, which need the library's model only. Otherwise the library
+    gets whole texts.
     """
 
     def __init__(self, tokenizer: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer
 
-        self.encode_batch = Tokenizer.from_str(tokenizer).encode_batch_fast
+        library = Tokenizer.from_str(tokenizer)
+        self.encode_batch = library.encode_batch_fast
         self.end = np.array([end_id], np.uint32).tobytes()
-        self.cut = drops_blanks(tokenizer)
+        self.cut, settings = drops_blanks(tokenizer), json.loads(tokenizer)
         self.known: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
-        return (array("I", got.ids).tobytes() for got in self.encode_batch(texts, add_special_tokens=False))
+        self.model_batch = None
+        if self.cut and splits_words(settings):
+            from tokenizers.pre_tokenizers import ByteLevel
+
+            model = Tokenizer(library.model)
+            if any(t["type"] == "ByteLevel" for t in _steps(settings, "pre_tokenizer", "pretokenizers")):
+                model.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+            self.model_batch = model.encode_batch_fast
+            self.added = [t["content"].encode() for t in settings.get("added_tokens") or []]
+
+    def _encoded(self, texts: list[str], by=None) -> Iterator[bytes]:
+        return (array("I", got.ids).tobytes() for got in (by or self.encode_batch)(texts, add_special_tokens=False))
+
+    def _looked_up(self, words: list[str]) -> list[bytes]:
+        """The ids of all different ``words``."""
+        got = list(map(self.known.get, words))
+        fresh = [w for w, g in zip(words, got, strict=True) if g is None]
+        if not fresh:
+            return got
+        if len(self.known) + len(fresh) > REMEMBERED:
+            self.known, fresh = {}, words
+        if self.model_batch:
+            plain = [w for w in fresh if _PLAIN(w)]
+            self.known.update(zip(plain, self._encoded(plain, self.model_batch), strict=True))
+            fresh = [w for w in fresh if w not in self.known]
+        self.known.update(zip(fresh, self._encoded(fresh), strict=True))
+        return list(map(self.known.__getitem__, words))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.cut:
             return [got + self.end for got in self._encoded(texts)]
+        column = pa.array(texts, pa.large_string())
+        if self.model_batch and sum(map(len, texts)):
+            data, offsets = np.frombuffer(column.buffers()[2], np.uint8), np.frombuffer(column.buffers()[1], np.int64)[:len(texts) + 1]
+            whole = column.buffers()[2].to_pybytes()
+            if not any(token in whole for token in self.added):
+                return self._by_pieces(*_pieces(data[:offsets[-1]], offsets))
         parts = [t.replace("\n", " ").split(" ") for t in texts]
-        words = set().union(*parts)
-        fresh = list(words.difference(self.known))
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known, fresh = {}, list(words)
-        self.known.update(zip(fresh, self._encoded(fresh), strict=True))
+        self._looked_up(list(set().union(*parts)))
         return [b"".join(map(self.known.__getitem__, p)) + self.end for p in parts]
 
+    def _by_pieces(self, pieces: pa.Array, first: np.ndarray) -> list[bytes]:
+        coded = pieces.dictionary_encode()
+        got, at = self._looked_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), coded.indices.to_numpy()
+        size = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        begin = np.cumsum(size) - size
+        each = size[at]
+        end = np.cumsum(each)
+        ids = np.frombuffer(b"".join(got), np.uint32)[np.repeat(begin[at] - end + each, each) + np.arange(end[-1])]
+        cuts = np.concatenate([[0], end])[first].tolist()
+        return [ids[a:b].tobytes() + self.end for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+#: The encoder of a Python worker, so that later tasks find its words.
+_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
+
+
+def _encoder(tokenizer: str, end_id: int) -> WordEncoder:
+    if (tokenizer, end_id) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[tokenizer, end_id] = WordEncoder(tokenizer, end_id)
+    return _ENCODERS[tokenizer, end_id]
+
 
 def write_ids(documents: DataFrame, path: str, tokenizer_path: str, end_id: int = 1, partitions: int | None = None) -> None:
     """Encode doc_id and text, and write the ids to ``path`` in ascending doc_id order.
@@ -400,7 +519,7 @@ def write_ids(documents: DataFrame, path: str, tokenizer_path: str, end_id: int
     ordered = rows.repartitionByRange(number, "doc_id", "_h").sortWithinPartitions(*order).select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard = WordEncoder(tokenizer, end_id), TaskContext.get().partitionId()
+        encoder, shard = _encoder(tokenizer, end_id), TaskContext.get().partitionId()
         segment, names, ids, held = 0, [], [], 0
         for batch in batches:
             docs, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()

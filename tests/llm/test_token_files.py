@@ -118,3 +118,32 @@ def test_long_texts_and_forgotten_words(spark, tmp_path, monkeypatch):
     library = Tokenizer.from_file(PATH)
     got = {r.doc_id: r.ids for r in token_files.read_ids(spark, str(tmp_path / "t")).collect()}
     assert got == {i: [*library.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+
+
+def test_words_between_ascii_characters_are_cut_off():
+    """Words beside commas share one call of the model; what the pattern or the normalizer would join stays whole."""
+    with open(PATH, encoding="utf-8") as file:
+        encoder = token_files.WordEncoder(file.read(), 1)
+    texts = [
+        "Straße,ÉTÉ! (été) don't 'sun x's !'t o'RE 'L", "e\u0301cole cafe\u0301, H\u0331 =\u0338 a\u0338", "œuvre naïve— a×b÷c ÿ\x9f\u00a0z\x1cq\tw",
+        "", "a\r\nb  c", "1a2b ½x _y", "<|endoftext|> <|startoftext|>a", "İstanbul ΣΑΣ К кот", "word" * 700 + ",Word", " ", "\n", "ends", "",
+    ]
+    library = Tokenizer.from_file(PATH)
+    want = [[*library.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    for part in (slice(None), *(slice(i, i + 1) for i in range(len(texts)))):
+        got = encoder(texts[part])
+        assert [np.frombuffer(g, np.uint32).tolist() for g in got] == want[part]
+    assert {"straße", "été", "don", "'t "} <= set(encoder.known) and "ÉTÉ!" not in encoder.known
+    rng = np.random.default_rng(5)
+    signs = list("aZéÉß'st ,.\n\t1—\u0301œ<|×")
+    some = ["".join(rng.choice(signs, 40)) for _ in range(500)]
+    assert [np.frombuffer(g, np.uint32).tolist()[:-1] for g in encoder(some)] == [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
+
+
+def test_a_worker_keeps_its_encoder_and_large_ids_are_coded():
+    with open(PATH, encoding="utf-8") as file:
+        tokenizer_file = file.read()
+    assert token_files._encoder(tokenizer_file, 1) is token_files._encoder(tokenizer_file, 1)
+    assert token_files._encoder(tokenizer_file, 2).end != token_files._encoder(tokenizer_file, 1).end
+    ids = np.array([1 << 31, 5, 1 << 31, 7] * 900, np.uint32)
+    assert (token_files.unpack(token_files.pack([3], np.array([3600]), ids))[2] == ids).all()
