@@ -44,13 +44,15 @@ START_IDS = 1 << 18
 #: Encoded words that a task remembers, characters of text encoded at a time.
 REMEMBERED = 600_000
 SLICE_CHARS = 1 << 22
+#: Words encoded as one text.
+LINE_WORDS = 32
 
-_MAGIC = b"TIDS2\0"
+_MAGIC = b"TIDS3\0"
 _HEAD = "<QQQQI"  # documents, blocks, bytes of the index and of the starting model, checksum
 _BLOCK = "<III"  # ids, bytes of the code, checksum
 _CELLS = 4096  # contexts of a block and order
 _LEVELS = 8  # of confidence, the lowest bits of a cell; a cell of -1 is empty
-_TOP, _BOTTOM, _BYTE = np.uint64(1 << 56), np.uint64(1 << 48), np.uint64(8)
+_TOP, _BOTTOM, _WORD = np.uint64(1 << 48), np.uint64(1 << 44), np.uint64(16)
 _SCHEMA = "shard int, segment int, documents bigint, ids bigint, payload binary"
 
 
@@ -163,7 +165,7 @@ class _Models:
 
 
 def _settle(low: np.ndarray, span: np.ndarray, take) -> None:
-    """Shift out the leading bytes that no later step can change."""
+    """Shift out the leading 16 bits that no later step can change."""
     moves = low ^ (low + span)
     rows = ((moves < _TOP) | (span < _BOTTOM)).nonzero()[0]
     lo, sp, moves = low[rows], span[rows], moves[rows]
@@ -171,9 +173,9 @@ def _settle(low: np.ndarray, span: np.ndarray, take) -> None:
         tight = (moves >= _TOP).nonzero()[0]  # the interval lies across a border: keep the part below it
         if len(tight):
             sp[tight] = (~lo[tight] + np.uint64(1)) & (_BOTTOM - np.uint64(1))
-        take(rows, lo >> np.uint64(56))
-        lo <<= _BYTE
-        sp <<= _BYTE
+        take(rows, lo >> np.uint64(48))
+        lo <<= _WORD
+        sp <<= _WORD
         low[rows], span[rows] = lo, sp
         moves = lo ^ (lo + sp)
         more = ((moves < _TOP) | (sp < _BOTTOM)).nonzero()[0]
@@ -186,8 +188,8 @@ def _write_blocks(numbers: np.ndarray, lengths: np.ndarray, start: _Start) -> li
     models = _Models(start, blocks)
     low = np.zeros(blocks, np.uint64)
     span = np.full(blocks, np.uint64(0xFFFFFFFFFFFFFFFF))
-    width = most * 5 + 16
-    out = np.zeros(blocks * width, np.uint8)
+    width = most * 4 + 8
+    out = np.zeros(blocks * width, ">u2")
     begin = np.arange(blocks) * width
     end = begin.copy()
 
@@ -219,9 +221,10 @@ def _write_blocks(numbers: np.ndarray, lengths: np.ndarray, start: _Start) -> li
         models.update(number, hit)
         _settle(lo, sp, take)
     every = np.arange(blocks)
-    for _ in range(8):
-        take(every, low >> np.uint64(56))
-        low <<= _BYTE
+    low += np.uint64((1 << 32) - 1)  # what the reader takes for missing words are zeros
+    for _ in range(2):
+        take(every, low >> np.uint64(48))
+        low <<= _WORD
     return [out[a:b].tobytes() for a, b in zip(begin, end, strict=True)]
 
 
@@ -230,12 +233,14 @@ def _read_blocks(coded: list[bytes], lengths: np.ndarray, start: _Start) -> np.n
     blocks, most = len(coded), int(lengths[0])
     models = _Models(start, blocks)
     slots = np.repeat(np.arange(len(start.chances)), start.chances)
-    width = max(map(len, coded)) + 16
-    data = np.zeros((blocks, width), np.uint8)
+    width = max(map(len, coded)) // 2 + 8
+    data = np.zeros((blocks, width), np.uint64)
     for b, c in enumerate(coded):
-        data[b, :len(c)] = np.frombuffer(c, np.uint8)
-    code = data[:, :8].copy().view(">u8")[:, 0].astype(np.uint64)
-    data, at = data.ravel(), np.arange(blocks) * width + 8
+        data[b, :len(c) // 2] = np.frombuffer(c, ">u2", len(c) // 2)
+    code = np.zeros(blocks, np.uint64)
+    for k in range(4):
+        code = code << _WORD | data[:, k]
+    data, at = data.ravel(), np.arange(blocks) * width + 4
     end = np.arange(1, blocks + 1) * width - 1
     low = np.zeros(blocks, np.uint64)
     span = np.full(blocks, np.uint64(0xFFFFFFFFFFFFFFFF))
@@ -243,7 +248,7 @@ def _read_blocks(coded: list[bytes], lengths: np.ndarray, start: _Start) -> np.n
 
     def take(rows: np.ndarray, _) -> None:
         here = at[rows]
-        code[rows] = (code[rows] << _BYTE) | data[np.minimum(here, end[rows])]  # damaged code may end too early
+        code[rows] = (code[rows] << _WORD) | data[np.minimum(here, end[rows])]  # damaged code may end too early
         at[rows] = here + 1
 
     active = blocks
@@ -439,17 +444,31 @@ class WordEncoder:
         self.known: dict[str, bytes] = {}
         self.model_batch = None
         if self.cut and splits_words(settings):
-            from tokenizers.pre_tokenizers import ByteLevel
+            from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
             model = Tokenizer(library.model)
-            if any(t["type"] == "ByteLevel" for t in _steps(settings, "pre_tokenizer", "pretokenizers")):
-                model.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+            level = any(t["type"] == "ByteLevel" for t in _steps(settings, "pre_tokenizer", "pretokenizers"))
+            model.pre_tokenizer = Sequence([WhitespaceSplit(), *[ByteLevel(add_prefix_space=False, use_regex=False)] * level])
+            suffix, vocab = settings["model"].get("end_of_word_suffix"), library.get_vocab()
+            self.last = np.zeros(max(vocab.values(), default=0) + 1, bool)
+            if any(c.isascii() and not c.isalnum() for c in suffix or ""):  # so no letters of a word look like its end
+                self.last[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
             self.model_batch = model.encode_batch_fast
             self.added = [t["content"].encode() for t in settings.get("added_tokens") or []]
 
     def _encoded(self, texts: list[str], by=None) -> Iterator[bytes]:
         return (array("I", got.ids).tobytes() for got in (by or self.encode_batch)(texts, add_special_tokens=False))
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of plain words by the model, many in a call; ids of a word's end show where the next one begins."""
+        lines = [" ".join(words[a:a + LINE_WORDS]) for a in range(0, len(words), LINE_WORDS)]
+        ids = np.frombuffer(b"".join(self._encoded(lines, self.model_batch)), np.uint32)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words) or len(ends) and ends[-1] != len(ids):
+            return list(self._encoded(words, self.model_batch))
+        raw, ends = ids.tobytes(), (4 * ends).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
     def _looked_up(self, words: list[str]) -> list[bytes]:
         """The ids of all different ``words``."""
         got = list(map(self.known.get, words))
@@ -460,7 +479,7 @@ class WordEncoder:
             self.known, fresh = {}, words
         if self.model_batch:
             plain = [w for w in fresh if _PLAIN(w)]
-            self.known.update(zip(plain, self._encoded(plain, self.model_batch), strict=True))
+            self.known.update(zip(plain, self._words(plain), strict=True))
             fresh = [w for w in fresh if w not in self.known]
         self.known.update(zip(fresh, self._encoded(fresh), strict=True))
         return list(map(self.known.__getitem__, words))

@@ -147,3 +147,27 @@ def test_a_worker_keeps_its_encoder_and_large_ids_are_coded():
     assert token_files._encoder(tokenizer_file, 2).end != token_files._encoder(tokenizer_file, 1).end
     ids = np.array([1 << 31, 5, 1 << 31, 7] * 900, np.uint32)
     assert (token_files.unpack(token_files.pack([3], np.array([3600]), ids))[2] == ids).all()
+
+
+@pytest.mark.parametrize("suffix", [None, "s"])
+def test_words_of_one_call_are_told_apart(suffix):
+    """Ids of many words come from one text; without marks of a word's end, or with missing letters, words are encoded one by one."""
+    import json
+
+    settings = json.loads(tokenizer({"type": "Split", "pattern": {"Regex": token_files._PATTERN}, "behavior": "Removed", "invert": True}, {"type": "Lowercase"}))
+    settings["model"]["end_of_word_suffix"] = suffix
+    vocab = settings["model"]["vocab"]
+    if suffix:
+        vocab.update({f"{c}s": 200 + i for i, c in enumerate("abcdes")})
+    file = json.dumps(settings)
+    assert token_files.splits_words(settings)
+    library, encoder = Tokenizer.from_str(file), token_files.WordEncoder(file, 7)
+    for texts in (["ab Cd, EA abc", "a bb!"], ["ab q d é É ac", "ès fa"], ["", "!"], ["ass sab as sa ba"]):
+        assert [np.frombuffer(g, np.uint32).tolist() for g in encoder(texts)] == [[*library.encode(t, add_special_tokens=False).ids, 7] for t in texts]
+
+
+def test_blocks_of_very_many_different_ids():
+    """Order 0 of half a million ids needs chances finer than the shortest interval of the coder may blur."""
+    ids = np.random.default_rng(6).permutation(1 << 19).astype(np.uint32)
+    payload = token_files.pack([0], np.array([len(ids)]), ids)
+    assert (token_files.unpack(payload)[2] == ids).all()
